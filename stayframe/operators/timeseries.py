@@ -169,3 +169,33 @@ def coverage_stats(block: DataFrame, features: list[str]) -> DataFrame:
                    F.avg("missing_frac").alias("missing_mean"),
                    F.min("missing_frac").alias("missing_min"),
                    F.max("missing_frac").alias("missing_max"))
+
+
+def window_grid(rows: DataFrame, features: list[str], n_windows: int = 4) -> DataFrame:
+    """subjects with data x features x windows, n default 0. The
+    feature x window grid is config-sized, so it is broadcast."""
+    spark = rows.sparkSession
+    grid = spark.createDataFrame([(f, w) for f in features for w in range(n_windows)],
+                                 "feature_name string, window int")
+    subj = rows.select("subject_id").distinct()
+    n = rows.groupBy("subject_id", "feature_name", "window").agg(F.count(F.lit(1)).alias("n"))
+    full = subj.crossJoin(F.broadcast(grid))
+    return (full.join(n, ["subject_id", "feature_name", "window"], "left")
+            .select("subject_id", "feature_name", "window", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+
+
+def ffill_long(rows: DataFrame, features: list[str], n_windows: int = 4) -> DataFrame:
+    """F7 in long form: grid + stats, then ``last(ignoreNulls)`` over the
+    rows up to the current window. Each window partition holds exactly
+    ``n_windows`` rows, so the frame is bounded whatever the data."""
+    from pyspark.sql import Window
+    spark = rows.sparkSession
+    grid = spark.createDataFrame([(f, w) for f in features for w in range(n_windows)],
+                                 "feature_name string, window int")
+    full = rows.select("subject_id").distinct().crossJoin(F.broadcast(grid))
+    st = window_stats(rows)
+    j = full.join(st, ["subject_id", "feature_name", "window"], "left")
+    w = (Window.partitionBy("subject_id", "feature_name").orderBy("window")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return j.select("subject_id", "feature_name", "window",
+                    *[F.last(s, ignorenulls=True).over(w).alias(s) for s in FILLED])

@@ -1,4 +1,4 @@
 """Import every query module so the registry is complete."""
 
-from stayframe.plans import q_cohort  # noqa: F401
+from stayframe.plans import q_cohort, q_timeseries  # noqa: F401
 from stayframe.plans.registry import QUERIES  # noqa: F401
