@@ -86,12 +86,11 @@ PHI_SPAN = r"(?d)\[\*\*.*?\*\*\]"
 
 
 def clean_text(c) -> Column:
-    """Remove ``[**..**]`` spans, lower, strip, non-letters -> space.
+    """Remove ``[**..**]`` spans, lower, strip, then non-letters -> space.
     Null input becomes the empty string."""
     no_phi = F.regexp_replace(F.coalesce(col_(c), F.lit("")), PHI_SPAN, " ")
-    lowered = F.lower(no_phi)
-    letters = F.regexp_replace(lowered, r"[^\p{L}\s]", " ")
-    return F.regexp_replace(letters, r"^\s+|\s+$", "")
+    stripped = F.regexp_replace(F.lower(no_phi), r"^\s+|\s+$", "")
+    return F.regexp_replace(stripped, r"[^\p{L}\s]", " ")
 
 
 def tokens(cleaned) -> Column:
