@@ -27,15 +27,31 @@ def quantile_splits(df: DataFrame, col: str, buckets: int, rel_err: float = 1e-3
     return [float("-inf")] + inner + [float("inf")]
 
 
+def _bucket_per_key(d: DataFrame, keys: list[str], o: str, buckets: int, rel_err: float) -> DataFrame:
+    """Bucket index from split points computed per key, so every key (a
+    feature, a group) spreads over up to ``buckets`` ranges whatever its
+    scale. ``percentile_approx`` is a mergeable sketch aggregate; the
+    bucket is the count of splits below the value (``buckets`` compares)."""
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    acc = int(round(1.0 / rel_err))
+    splits = d.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(o, probs, acc)).alias("__s"))
+    j = d.join(splits, keys, "inner")
+    return j.withColumn("__b", F.size(F.filter(F.col("__s"), lambda x: x < F.col(o))).cast("double")).drop("__s")
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: str, measures: list[str],
-                buckets: int = DEFAULT_BUCKETS, descending: bool = False) -> DataFrame:
+                buckets: int = DEFAULT_BUCKETS, descending: bool = False, rel_err: float = 1e-3) -> DataFrame:
     """For rows unique on (keys, order): add ``{m}_before`` = sum of ``m``
     over rows of the same keys whose order value is strictly smaller (or
-    strictly larger when ``descending``)."""
+    strictly larger when ``descending``). Without keys the split points are
+    one small sketch result; with keys they are computed per key."""
     o = "__o"
     d = df.withColumn(o, (-F.col(order) if descending else F.col(order)).cast("double"))
-    splits = quantile_splits(d, o, buckets)
-    d = Bucketizer(splits=splits, inputCol=o, outputCol="__b", handleInvalid="keep").transform(d)
+    if keys:
+        d = _bucket_per_key(d, keys, o, min(buckets, 64), rel_err)
+    else:
+        splits = quantile_splits(d, o, buckets, rel_err)
+        d = Bucketizer(splits=splits, inputCol=o, outputCol="__b", handleInvalid="keep").transform(d)
     totals = d.groupBy(*keys, "__b").agg(*[F.sum(m).alias(m) for m in measures])
     w_off = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "__b", *[F.coalesce(F.sum(m).over(w_off), F.lit(0)).alias(f"{m}__off")

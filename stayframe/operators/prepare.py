@@ -81,8 +81,9 @@ def topk_categories(df: DataFrame, col: str, k: int = TOP_K) -> DataFrame:
     """B2 fit: the ``k`` most frequent values after MISSING imputation,
     ties broken by name (a rank over the small value-count table)."""
     vc = df.groupBy(impute_missing_token(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.desc("n"), F.asc("value"))
-    return vc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    top = vc.orderBy(F.desc("n"), F.asc("value")).limit(k)   # distributed top-k, no full sort
+    w = Window.orderBy(F.desc("n"), F.asc("value"))           # ranks over k rows only
+    return top.withColumn("rank", F.row_number().over(w))
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -211,7 +211,9 @@ def q_prepare_features(spark, d):
 
 def _fit(spark, d, label="quality", max_iter=30):
     s, prep = _prep(spark, d, label)
-    x = prep.transform(s, ["subject_id", "split", label]).cache()
+    # reliable checkpoint (spark.checkpoint.dir): boosting re-reads the
+    # matrix every round, and a lost executor must not replay the lineage
+    x = prep.transform(s, ["subject_id", "split", label]).checkpoint(eager=True)
     spw = B.class_weight(s, label).first()["scale_pos_weight"]
     params = T.BEST_PARAMS["mortality"]
     model = T.train_classifier(x, label, params, spw * params["spw_factor"], max_iter)
@@ -232,7 +234,7 @@ def q_train_classifier(spark, d):
 def q_grid_search(spark, d):
     """T2 on a reduced grid (depth x learning rate)."""
     s, prep = _prep(spark, d)
-    x = prep.transform(s, ["subject_id", "split", "quality"]).cache()
+    x = prep.transform(s, ["subject_id", "split", "quality"]).checkpoint(eager=True)
     grid = {"max_depth": [3, 5], "learning_rate": [0.1, 0.2], "min_child_weight": [5], "subsample": [1.0],
             "colsample": [0.8]}
     _, table = T.grid_search(x, "quality", 1.0, grid, max_iter=10)
