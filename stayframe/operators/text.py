@@ -99,17 +99,21 @@ def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int
     return w2v.fit(tokenised.select("tokens"))
 
 
-def note_vectors(tokenised: DataFrame, vocabulary: DataFrame, dims: int, key: str = "row_id") -> DataFrame:
+def note_vectors(tokenised: DataFrame, model: Word2VecModel, key: str = "row_id") -> DataFrame:
     """Mean of the vectors of in-vocabulary tokens per note (zeros if
-    none). ``Word2VecModel.transform`` divides by all tokens, so the mean is
-    built here: explode, join the vocabulary (an ordinary join: the
-    vocabulary grows with the corpus), ``Summarizer.mean``."""
-    words = tokenised.select(key, F.explode("tokens").alias("word"))
-    hit = words.join(vocabulary.select("word", "vector"), "word", "inner")
-    means = hit.groupBy(key).agg(Summarizer.mean(F.col("vector")).alias("vec"))
-    zeros = array_to_vector(F.array_repeat(F.lit(0.0), dims))
-    out = tokenised.select(key, "subject_id", "admission_id").join(means, key, "left")
-    return out.withColumn("vec", F.coalesce(F.col("vec"), zeros))
+    none). ``Word2VecModel.transform`` (model broadcast once, JVM loop per
+    row) returns the sum of in-vocabulary vectors divided by *all* tokens;
+    rescaling by ``n_tokens / n_in_vocabulary`` gives the in-vocabulary
+    mean. The in-vocabulary count comes from a semi join of the exploded
+    tokens against the vocabulary words (strings only, no vectors)."""
+    words = model.getVectors().select("word")
+    n_in = (tokenised.select(key, F.explode("tokens").alias("word"))
+            .join(words, "word", "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("n_in")))
+    t = model.transform(tokenised.select(key, "subject_id", "admission_id", "tokens"))
+    t = t.join(n_in, key, "left")
+    scale = F.when(F.col("n_in") > 0, F.size("tokens") / F.col("n_in")).otherwise(F.lit(0.0))
+    arr = F.transform(vector_to_array(F.col("w2v_mean_all")), lambda x: x * scale)
+    return t.select(key, "subject_id", "admission_id", array_to_vector(arr).alias("vec"))
 
 
 def mean_vector_by_group(vectors: DataFrame, vector_col: str = "vec",
@@ -138,5 +142,5 @@ def embedding_features(notes: DataFrame, cohort: DataFrame, model: Word2VecModel
         model = train_word_vectors(with_tokens(fit_notes) if fit_notes is not None else n,
                                    vector_size=vector_size, min_count=min_count)
     dims = model.getVectorSize()
-    vecs = note_vectors(n, model.getVectors(), dims)
+    vecs = note_vectors(n, model)
     return expand_vector(mean_vector_by_group(vecs), cohort, dims), model

@@ -13,7 +13,9 @@ from stayframe.sources.io import scan_typed, value_counts
 
 
 def _ids(spark, d):
-    return ad.subjects(spark, d).select("subject_id")
+    """The cohort id list: every customer key (read directly, one column)."""
+    from stayframe.sources.io import read_table
+    return read_table(spark, d, "customer", ["c_custkey"]).select(F.col("c_custkey").alias("subject_id"))
 
 
 def cohort_df(spark, d):

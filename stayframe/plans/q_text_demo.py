@@ -171,7 +171,7 @@ def q_note_vector(spark, d):
     """In-vocabulary mean vector per note (rows-only check)."""
     notes = N.with_tokens(ad.document_notes(spark, d))
     model = N.train_word_vectors(notes, vector_size=50)
-    v = N.note_vectors(notes, model.getVectors(), 50)
+    v = N.note_vectors(notes, model)
     from pyspark.ml.functions import vector_to_array
     return v.select("row_id", vector_to_array("vec").alias("vec"))
 

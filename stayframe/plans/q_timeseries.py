@@ -127,6 +127,22 @@ def q_extract_window_halfopen(spark, d):
         .select("subject_id", "row_id", "feature_name")
 
 
+@register("extract_to_parquet", A.with_(A.MEASUREMENTS, A.MEAS_COHORT) + """
+SELECT m.subject_id, m.row_id, m.feature_name, m.valuenum FROM meas m JOIN mcohort c ON m.admission_id = c.admission_id
+WHERE m.charttime >= c.admittime AND m.charttime < c.admittime + INTERVAL 48 HOUR""")
+def q_extract_to_parquet(spark, d):
+    """The X1 extract written straight to parquet under the session's
+    checkpoint dir (shared storage on a cluster) and read back, so later
+    stages start from the written table, not the lineage."""
+    import uuid
+    from stayframe.session import checkpoint_dir
+    from stayframe.sources.io import write_stage
+    ext = X.extract_window(ad.measurements(spark, d), ad.measurement_episodes(spark, d), 48.0) \
+        .select("subject_id", "row_id", "feature_name", "valuenum")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stages/extract-{uuid.uuid4().hex}"
+    return write_stage(ext, path)
+
+
 @register("extract_window_closed", A.with_(A.MEASUREMENTS, A.MEAS_COHORT) + """
 SELECT m.subject_id, m.row_id FROM meas m JOIN mcohort c ON m.admission_id = c.admission_id
 WHERE m.charttime BETWEEN c.admittime AND c.admittime + INTERVAL 48 HOUR""")

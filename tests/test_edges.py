@@ -230,3 +230,20 @@ def test_calibration_bins_edges(spark):
     df = spark.createDataFrame([(0.1,), (0.10000001,), (0.3,), (1.0,), (0.0,)], "y_pred double")
     got = [r.b for r in df.select(E.calibration_bin().alias("b")).collect()]
     assert got == [0, 1, 2, 9, 0]
+
+
+def test_note_vectors_in_vocabulary_mean(spark):
+    """The rescaled transform equals the explicit in-vocabulary mean."""
+    from pyspark.ml.functions import vector_to_array
+    from stayframe.operators import text as N
+    texts = ["alpha beta gamma alpha", "beta beta delta", "zeta", "alpha [**x**] beta 42 gamma", ""]
+    rows = [(i, i, i, t, "Nursing") for i, t in enumerate(texts * 4)]
+    notes = N.with_tokens(spark.createDataFrame(rows, "row_id long, subject_id long, admission_id long, "
+                                                      "text string, category string"))
+    model = N.train_word_vectors(notes, vector_size=8, min_count=2, partitions=1)
+    vocab = {r.word: list(r.vector) for r in model.getVectors().collect()}
+    got = {r.row_id: r.v for r in N.note_vectors(notes, model).select("row_id", vector_to_array("vec").alias("v")).collect()}
+    for r in notes.collect():
+        inv = [vocab[t] for t in r.tokens if t in vocab]
+        want = [sum(c) / len(inv) for c in zip(*inv)] if inv else [0.0] * 8
+        assert got[r.row_id] == pytest.approx(want, abs=1e-6)
