@@ -200,16 +200,23 @@ def fit_preparation(train: DataFrame, plan: ColumnPlan | None = None, topk_col:
     means = {k.split("::", 1)[1]: v for k, v in row.items() if k.startswith("mean::")}
     with_nulls = [k.split("::", 1)[1] for k, v in row.items() if k.startswith("null::") and v == 1]
     medians = {r["column"]: r["median"] for r in exact_medians(train, plan.other_numerics).collect()}
-    categories, keep = {}, []
-    for c in plan.categoricals:
-        if c == topk_col:
-            keep = [r["value"] for r in topk_categories(train, c, k).collect()]
-            mapped = F.when(impute_missing_token(c).isin(keep), impute_missing_token(c)).otherwise(F.lit(OTHER))
-            vals = train.select(mapped.alias("v")).distinct()
-        else:
-            vals = train.select(impute_missing_token(c).alias("v")).distinct()
-        # one-hot vocabulary: bounded by the number of distinct categories
-        categories[c] = sorted(r["v"] for r in vals.collect())
+    keep = []
+    if topk_col in plan.categoricals:
+        keep = [r["value"] for r in topk_categories(train, topk_col, k).collect()]
+    # one-hot vocabularies of every categorical in one pass (bounded by the
+    # number of distinct categories, which is what reaches the driver)
+    categories: dict = {c: [] for c in plan.categoricals}
+    if plan.categoricals:
+        vals = []
+        for c in plan.categoricals:
+            v = impute_missing_token(c)
+            if c == topk_col:
+                v = F.when(v.isin(keep), v).otherwise(F.lit(OTHER))
+            vals.append(F.struct(F.lit(c).alias("column"), v.alias("value")))
+        pairs = train.select(F.explode(F.array(*vals)).alias("kv")).select("kv.*").distinct()
+        for r in pairs.collect():
+            categories[r["column"]].append(r["value"])
+        categories = {c: sorted(v) for c, v in categories.items()}
     return PreparedModel(plan=asdict(plan), emb_means=means, medians=medians, numeric_with_nulls=with_nulls,
                          categories=categories, topk_keep=keep, topk_col=topk_col)
 
