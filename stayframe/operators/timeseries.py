@@ -59,39 +59,60 @@ def _key(feature: str, w: int) -> str:
     return f"{feature}\u0001{w}"
 
 
+def _q(name: str) -> str:
+    """Backtick-quoted identifier for SQL expression strings."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def wide_block(stats: DataFrame, features: list[str], n_windows: int = 4, eps: float = EPS) -> DataFrame:
     """F4/F6-F11 on one row per subject. The per-subject map holds at most
-    ``len(features) * n_windows`` entries, so collecting it is bounded."""
+    ``len(features) * n_windows`` entries, so collecting it is bounded.
+    Three flat projections (raw lookups -> fill and admission stats ->
+    diffs), each sent as one ``selectExpr`` so building a block of hundreds
+    of columns costs three driver round trips, not thousands."""
     entry = F.struct(
         F.concat_ws("\u0001", F.col("feature_name"), F.col("window").cast("string")).alias("key"),
         F.struct("n", "min", "max", "mean", "std", "first", "last").alias("value"))
     per_subject = stats.groupBy("subject_id").agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
-    cols = [F.col("subject_id")]
-    for f in features:
-        got = [F.col("m")[F.lit(_key(f, w))] for w in range(n_windows)]
-        n = [F.coalesce(g["n"], F.lit(0)).cast("bigint") for g in got]
-        n_adm = n[0]
-        for x in n[1:]:
-            n_adm = n_adm + x
-        first = F.coalesce(*[g["first"] for g in got])
-        last = F.coalesce(*[g["last"] for g in reversed(got)])
-        cols += [n_adm.alias(f"{f}_n_admission_measurements"),
-                 first.alias(f"{f}_first_admission_measurement"),
-                 last.alias(f"{f}_last_admission_measurement"),
-                 (last - first).alias(f"{f}_difference_last_first_admission_measurements")]
-        filled = {s: [F.coalesce(*[got[j][s] for j in range(w, -1, -1)]) for w in range(n_windows)]
-                  for s in FILLED}
+
+    def raw(fi, w, s_):
+        return f"__r{fi}_{w}_{s_}"
+
+    step1 = ["subject_id"]
+    for fi, f in enumerate(features):
         for w in range(n_windows):
-            cols.append(n[w].alias(f"{f}_window{w}_n_measurements"))
-            for s in FILLED:
-                cols.append(filled[s][w].alias(f"{f}_window{w}_{s}"))
-        means = filled["mean"]
+            key = f"concat({_lit(f)}, char(1), '{w}')"
+            for s_ in ("n", "min", "max", "mean", "std", "first", "last"):
+                step1.append(f"m[{key}].{s_} AS {raw(fi, w, s_)}")
+    step2 = ["subject_id"]
+    for fi, f in enumerate(features):
+        n = [f"CAST(coalesce({raw(fi, w, 'n')}, 0) AS BIGINT)" for w in range(n_windows)]
+        first = "coalesce(" + ", ".join(raw(fi, w, "first") for w in range(n_windows)) + ")"
+        last = "coalesce(" + ", ".join(raw(fi, w, "last") for w in reversed(range(n_windows))) + ")"
+        step2 += [f"{' + '.join(n)} AS {_q(f + '_n_admission_measurements')}",
+                  f"{first} AS {_q(f + '_first_admission_measurement')}",
+                  f"{last} AS {_q(f + '_last_admission_measurement')}",
+                  f"{last} - {first} AS {_q(f + '_difference_last_first_admission_measurements')}"]
+        for w in range(n_windows):
+            step2.append(f"{n[w]} AS {_q(f'{f}_window{w}_n_measurements')}")
+            for s_ in FILLED:
+                refs = ", ".join(raw(fi, j, s_) for j in range(w, -1, -1))
+                step2.append(f"coalesce({refs}) AS {_q(f'{f}_window{w}_{s_}')}")
+    step3 = []
+    for f in features:
+        means = [_q(f"{f}_window{w}_mean") for w in range(n_windows)]
         for i in range(n_windows - 1):
-            prev = means[i + 1] - means[i]
-            cols += [(means[0] - means[i + 1]).alias(f"{f}_diff{i}_baseline_mean"),
-                     prev.alias(f"{f}_diff{i}_previous_mean"),
-                     sign_label(prev, eps).alias(f"{f}_diff{i}_sign_mean")]
-    return per_subject.select(*cols)
+            prev = f"({means[i + 1]} - {means[i]})"
+            step3 += [f"{means[0]} - {means[i + 1]} AS {_q(f'{f}_diff{i}_baseline_mean')}",
+                      f"{prev} AS {_q(f'{f}_diff{i}_previous_mean')}",
+                      f"CASE WHEN {prev} IS NULL THEN NULL WHEN {prev} > {eps!r} THEN 'POS' "
+                      f"WHEN {prev} < {-eps!r} THEN 'NEG' ELSE 'ZERO' END AS {_q(f'{f}_diff{i}_sign_mean')}"]
+    wide = per_subject.selectExpr(*step1).selectExpr(*step2)
+    return wide.selectExpr("*", *step3)
 
 
 def feature_columns(features: list[str], n_windows: int = 4) -> list[str]:

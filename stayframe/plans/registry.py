@@ -38,13 +38,14 @@ def register(name: str, sql: str | None = None):
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating outputs to 6 places (the oracles do the same) and
     widen float to double."""
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        q = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits).alias(f.name)
-        cols.append(c)
-    return df.select(*cols)
+            exprs.append(f"round(CAST({q} AS DOUBLE), {digits}) AS {q}")
+        else:
+            exprs.append(q)
+    return df.selectExpr(*exprs)   # one driver round trip for any width
 
 
 def round_sql(sql: str, double_cols: list[str], digits: int = 6) -> str:
