@@ -137,7 +137,12 @@ def embedding_features(notes: DataFrame, cohort: DataFrame, model: Word2VecModel
                        fit_notes: DataFrame | None = None) -> tuple[DataFrame, Word2VecModel]:
     """Tokenise, (fit once on the training notes, Q17), note vectors,
     episode means, expanded columns. Returns (block, model)."""
-    n = with_tokens(notes if categories is None else category_filter(notes, categories))
+    # tokens are read by the vocabulary pass, the training pass, the
+    # transform and the in-vocabulary count: persist once (spills to disk;
+    # a lost executor recomputes its partitions from the lineage)
+    from pyspark import StorageLevel
+    n = with_tokens(notes if categories is None else category_filter(notes, categories)) \
+        .select("row_id", "subject_id", "admission_id", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
     if model is None:
         model = train_word_vectors(with_tokens(fit_notes) if fit_notes is not None else n,
                                    vector_size=vector_size, min_count=min_count)
