@@ -93,12 +93,15 @@ def assign_window(rows: DataFrame, window_hours: float = 12.0, time_col: str = "
 def note_window_stats(kept: DataFrame) -> DataFrame:
     """Per (path, category): notes, episodes with notes, min/p50/p90/max
     hours since start (exact percentiles over timed notes)."""
+    from stayframe.operators.prefix import exact_quantiles
     path = F.when(F.col("kept_via_chartdate_fallback"), "chartdate").otherwise("charttime")
+    k = kept.withColumn("path", path)
     h = F.col("hours_since_admit")
-    return (kept.groupBy(path.alias("path"), F.col("category"))
-            .agg(F.count(F.lit(1)).alias("n_notes"),
-                 F.count_distinct("admission_id").alias("n_episodes"),
-                 F.min(h).alias("min_hours"),
-                 F.percentile(h, 0.5).alias("p50_hours"),
-                 F.percentile(h, 0.9).alias("p90_hours"),
-                 F.max(h).alias("max_hours")))
+    counts = (k.groupBy("path", "category")
+              .agg(F.count(F.lit(1)).alias("n_notes"), F.count_distinct("admission_id").alias("n_episodes"),
+                   F.min(h).alias("min_hours"), F.max(h).alias("max_hours")))
+    # exact quantiles without collecting a category's values in one task
+    qs = exact_quantiles(k, ["path", "category"], "hours_since_admit", {"p50_hours": 0.5, "p90_hours": 0.9})
+    out = counts.join(qs, ["path", "category"], "left")
+    return out.select("path", "category", "n_notes", "n_episodes", "min_hours", "p50_hours", "p90_hours",
+                      "max_hours")

@@ -61,3 +61,30 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, measures: list[str],
     j = inner.join(offsets, [*keys, "__b"], "inner")
     return j.select(*df.columns, *[(F.col(f"{m}__off") + F.col(f"{m}__in")).alias(f"{m}_before")
                                    for m in measures])
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Exact continuous quantiles per key (linear interpolation between the
+    order statistics at positions floor/ceil of ``p * (n - 1)``), without
+    holding a group's values in one task: counts per (key, value), bucketed
+    prefix sums, then the two order statistics are picked by position.
+    ``probs`` maps output column -> probability."""
+    x = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("__v"))
+    g = x.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    p = prefix_sums(g, keys, "__v", ["__c"], buckets)
+    n = p.groupBy(*keys).agg(F.sum("__c").alias("__n"))
+    j = p.join(n, keys, "inner") if keys else p.crossJoin(n)
+
+    def at(k):  # 0-based position k falls in this value's run
+        return (F.col("__c_before") <= k) & (k < F.col("__c_before") + F.col("__c"))
+
+    aggs = []
+    for name, q in probs.items():
+        h = (F.col("__n") - 1) * F.lit(q)
+        aggs += [F.max(F.when(at(F.floor(h)), F.col("__v"))).alias(f"{name}__lo"),
+                 F.max(F.when(at(F.ceil(h)), F.col("__v"))).alias(f"{name}__hi"),
+                 F.max(h - F.floor(h)).alias(f"{name}__f")]
+    r = j.groupBy(*keys).agg(*aggs)
+    return r.select(*keys, *[(F.col(f"{k}__lo") + F.col(f"{k}__f") * (F.col(f"{k}__hi") - F.col(f"{k}__lo")))
+                             .alias(k) for k in probs])

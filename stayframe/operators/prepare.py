@@ -88,22 +88,14 @@ def topk_categories(df: DataFrame, col: str, k: int = TOP_K) -> DataFrame:
 
 def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     """Exact medians (mean of the two middle values for even counts) of
-    many columns at once: unpivot, count per (column, value), bucketed
-    prefix sums, pick the middle positions. No column is ever sorted in one
-    task."""
+    many columns at once: unpivot to (column, value), then exact bucketed
+    quantiles per column. No column is ever sorted in one task."""
+    from stayframe.operators.prefix import exact_quantiles
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, median double")
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), to_double(c).alias("value"))
-                                         for c in cols])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
-    g = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c"))
-    p = prefix_sums(g, ["column"], "value", ["c"])
-    n = p.groupBy("column").agg(F.sum("c").alias("n"))
-    j = p.join(n, "column")
-    lo, hi = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    at = lambda k: (F.col("c_before") < k) & (k <= F.col("c_before") + F.col("c"))
-    m = j.groupBy("column").agg(F.max(F.when(at(lo), F.col("value"))).alias("lo"),
-                                F.max(F.when(at(hi), F.col("value"))).alias("hi"))
-    return m.select("column", ((F.col("lo") + F.col("hi")) / 2.0).alias("median"))
+                                         for c in cols])).alias("kv")).select("kv.*")
+    return exact_quantiles(long, ["column"], "value", {"median": 0.5})
 
 
 @dataclass
