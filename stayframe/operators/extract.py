@@ -14,7 +14,7 @@ def _plus_hours(ts: str, hours: float) -> F.Column:
 
 def extract_window(measurements: DataFrame, cohort: DataFrame, hours: float = 48.0,
                    items: DataFrame | None = None, closed: bool = False,
-                   time_col: str = "charttime") -> DataFrame:
+                   time_col: str = "charttime", exclude_errors: bool = False) -> DataFrame:
     """X1 (half-open ``start <= t < start + hours``) / X2 (closed, BETWEEN).
 
     The item filter is a semi join against the (config-sized) dictionary,
@@ -24,6 +24,8 @@ def extract_window(measurements: DataFrame, cohort: DataFrame, hours: float = 48
     cohort's measured size.
     """
     m = measurements
+    if exclude_errors and "error" in m.columns:   # Q20: off by default, as in the extracts
+        m = m.where(~F.col("error").eqNullSafe(1))
     if items is not None:
         m = m.join(F.broadcast(items.select("itemid").distinct()), "itemid", "left_semi")
     c = cohort.select("admission_id", "admittime")

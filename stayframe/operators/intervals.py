@@ -139,7 +139,7 @@ def coverage_check(block: DataFrame, families: list[str], window_hours: float =
 
 def interval_features(overlaps: DataFrame, cohort: DataFrame, families: dict[str, list[str]] | None = None,
                       iv_routes=None, po_routes=None, window_hours: float = WINDOW_HOURS,
-                      suffix: str = SUFFIX, buckets: int = 32) -> DataFrame:
+                      suffix: str = SUFFIX, buckets: int = 32, no_meds_fill: int = 0) -> DataFrame:
     """One row per cohort episode: 9 order columns + any / hours /
     coverage per family. ``overlaps`` is the X5 output."""
     families = FAMILY_PATTERNS if families is None else families
@@ -153,7 +153,7 @@ def interval_features(overlaps: DataFrame, cohort: DataFrame, families: dict[str
     base = cohort.select("subject_id", "admission_id").distinct()
     out = base.join(stats, ["subject_id", "admission_id"], "left") \
               .join(cov_wide, ["subject_id", "admission_id"], "left")
-    return fill_and_cast(out, names, suffix)
+    return fill_and_cast(out, names, suffix, no_meds_fill)
 
 
 def block_columns(families: list[str], suffix: str = SUFFIX) -> tuple[list[str], list[str], list[str]]:
@@ -165,9 +165,12 @@ def block_columns(families: list[str], suffix: str = SUFFIX) -> tuple[list[str],
     return counts, flags, doubles
 
 
-def fill_and_cast(df: DataFrame, families: list[str], suffix: str = SUFFIX) -> DataFrame:
-    """Zeros for episodes without orders, fixed dtypes, stable order."""
+def fill_and_cast(df: DataFrame, families: list[str], suffix: str = SUFFIX, no_meds_fill: int = 0) -> DataFrame:
+    """Zeros for episodes without orders, fixed dtypes, stable order.
+    ``no_meds_fill=0`` reproduces the reference (the flag is then always 0,
+    Q3); ``1`` marks episodes without any order."""
     counts, flags, doubles = block_columns(families, suffix)
+    df = df.withColumn(f"no_meds{suffix}", F.coalesce(F.col(f"no_meds{suffix}"), F.lit(no_meds_fill)))
     cols = [F.col("subject_id"), F.col("admission_id")]
     cols += [F.coalesce(F.col(c), F.lit(0)).cast("int").alias(c) for c in counts]
     cols.append(F.coalesce(F.col(f"frac_iv_orders{suffix}"), F.lit(0.0)).cast("double").alias(f"frac_iv_orders{suffix}"))

@@ -84,9 +84,13 @@ def with_tokens(notes: DataFrame) -> DataFrame:
     return notes.withColumn("clean_text", clean_text("text")).withColumn("tokens", tokens("clean_text"))
 
 
-def category_filter(notes: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """N9."""
+def category_filter(notes: DataFrame, categories: list[str] | None = None, trim: bool = False) -> DataFrame:
+    """N9. ``trim=True`` compares trimmed names on both sides (Q15: the
+    counted list has ``Physician `` with a trailing space, this list has
+    ``Physician``); the default keeps the exact comparison."""
     categories = EMBEDDING_CATEGORIES if categories is None else categories
+    if trim:
+        return notes.where(F.trim(F.col("category")).isin([c.strip() for c in categories]))
     return notes.where(F.col("category").isin(categories))
 
 

@@ -48,6 +48,7 @@ class Config:
     n_windows: int = 4
     max_iter: int = 100
     embeddings: bool = False
+    tuned_weight: bool = True      # Q18: use the tuned positive weight (False: the raw ratio, as the reference)
 
 
 def cohort_for(ids: DataFrame, src: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -107,7 +108,8 @@ def train_targets(matrix: DataFrame, cfg: Config, targets=None) -> dict:
         x = prep.transform(s, ["subject_id", "split", target]).checkpoint(eager=True)
         spw = B.class_weight(s, target).first()["scale_pos_weight"]
         params = T.BEST_PARAMS[target]
-        model = T.train_classifier(x, target, params, spw * params["spw_factor"], cfg.max_iter)
+        weight = spw * params["spw_factor"] if cfg.tuned_weight else spw
+        model = T.train_classifier(x, target, params, weight, cfg.max_iter)
         cal = T.calibrate_isotonic(T.positive_probability(model, x.where(F.col("split") == "val")), target)
         out[target] = (prep, model, cal)
     return out

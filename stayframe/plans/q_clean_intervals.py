@@ -90,15 +90,15 @@ def q_unmapped_items(spark, d):
     return M.unmapped_items(_dirty(spark, d), ad.dirty_dictionary(spark))
 
 
-@register("assert_unique_mapping", """
+@register("assert_unique_mapping", A.with_(A.DICTIONARY) + """
 SELECT itemid, count(DISTINCT feature_name) AS n_names FROM (
   SELECT event_type AS itemid, event_type AS feature_name FROM events
-  UNION ALL SELECT 'view', 'TempC') t GROUP BY 1 HAVING count(DISTINCT feature_name) > 1""")
+  UNION ALL SELECT itemid, feature_name FROM dict) t GROUP BY 1 HAVING count(DISTINCT feature_name) > 1""")
 def q_assert_unique_mapping(spark, d):
-    """M6: conflicts in a dictionary built from the data plus one clash."""
+    """M6: conflicts in a dictionary merged from the data's own item names
+    and the bounds dictionary (every renamed item conflicts)."""
     e = ad.measurements(spark, d).select("itemid", "feature_name").distinct()
-    clash = spark.createDataFrame([("view", "TempC")], "itemid string, feature_name string")
-    return M.mapping_conflicts(e.unionByName(clash))
+    return M.mapping_conflicts(e.unionByName(ad.dirty_dictionary(spark).select("itemid", "feature_name")))
 
 
 @register("convert_unit", A.with_(A.DIRTY, A.DICTIONARY) + """

@@ -193,12 +193,13 @@ def q_mean_vector_by_group(spark, d):
 
 @register("expand_vector", round_sql("SELECT g.subject_id, g.subject_id AS admission_id, " + ", ".join(
     f"avg(CAST(e.embedding[{i + 1}] AS DOUBLE)) AS emb_{i}" for i in range(64))
-    + " FROM (SELECT CAST(r AS BIGINT) AS subject_id FROM range(0, 12) t(r)) g "
+    + " FROM (SELECT DISTINCT doc_id % 12 AS subject_id FROM documents) g "
       "LEFT JOIN embeddings e ON e.label = g.subject_id GROUP BY 1, 2", [f"emb_{i}" for i in range(64)]))
 def q_expand_vector(spark, d):
-    """``emb_i`` columns left-joined to a 12-group cohort (groups 10
-    and 11 have no vectors: nulls)."""
-    cohort = spark.range(0, 12).select(F.col("id").alias("subject_id"), F.col("id").alias("admission_id"))
+    """``emb_i`` columns left-joined to a cohort of twelve document
+    groups (``doc_id % 12``); groups 10 and 11 have no vectors: nulls."""
+    g = spark.read.parquet(f"{d}/documents.parquet").select((F.col("doc_id") % 12).alias("subject_id")).distinct()
+    cohort = g.select("subject_id", F.col("subject_id").alias("admission_id"))
     return N.expand_vector(_vec_means(spark, d), cohort, 64)
 
 
@@ -279,20 +280,23 @@ def q_enrich_from_table(spark, d):
             .join(ad.episodes(spark, d).select("admission_id", "priority_raw", "status_raw"), "admission_id", "left"))
 
 
-@register("coarse_group_by_prefix", """
-SELECT doc_id, CASE WHEN lower(w) LIKE 'white%' THEN 'white' WHEN lower(w) LIKE 'black%' THEN 'black'
-  WHEN lower(w) LIKE 'asian%' THEN 'asian' WHEN lower(w) LIKE 'hisp%' OR lower(w) LIKE 'latin%' THEN 'hispanic'
-  ELSE 'other' END AS eth_coarse
-FROM (SELECT doc_id, CASE WHEN doc_id % 6 = 0 THEN 'White - Russian' WHEN doc_id % 6 = 1 THEN 'BLACK/HAITIAN'
-        WHEN doc_id % 6 = 2 THEN 'asian - other' WHEN doc_id % 6 = 3 THEN 'Hispanic' WHEN doc_id % 6 = 4 THEN 'latina'
-        ELSE NULL END AS w FROM documents) t""")
+@register("coarse_group_by_prefix", A.with_(A.SUBJECTS) + """
+SELECT subject_id,
+  CASE WHEN lower(ethnicity_raw) LIKE 'white%' THEN 'white' WHEN lower(ethnicity_raw) LIKE 'black%' THEN 'black'
+       WHEN lower(ethnicity_raw) LIKE 'asian%' THEN 'asian'
+       WHEN lower(ethnicity_raw) LIKE 'hisp%' OR lower(ethnicity_raw) LIKE 'latin%' THEN 'hispanic'
+       ELSE 'other' END AS eth_coarse,
+  CASE WHEN lower(region_raw) LIKE 'white%' THEN 'white' WHEN lower(region_raw) LIKE 'black%' THEN 'black'
+       WHEN lower(region_raw) LIKE 'asian%' THEN 'asian'
+       WHEN lower(region_raw) LIKE 'hisp%' OR lower(region_raw) LIKE 'latin%' THEN 'hispanic'
+       ELSE 'other' END AS region_coarse
+FROM subjects""")
 def q_coarse_group_by_prefix(spark, d):
-    """D6 (null -> other, Q23)."""
-    doc = spark.read.parquet(f"{d}/documents.parquet").select("doc_id")
-    k = F.col("doc_id") % 6
-    raw = (F.when(k == 0, "White - Russian").when(k == 1, "BLACK/HAITIAN").when(k == 2, "asian - other")
-           .when(k == 3, "Hispanic").when(k == 4, "latina"))
-    return D.coarse_groups(doc.withColumn("w", raw), "w").select("doc_id", "eth_coarse")
+    """D6 on every subject's raw group columns (null -> other, Q23)."""
+    from stayframe.functions.expressions import coarse_group
+    s = ad.subjects(spark, d)
+    return s.select("subject_id", coarse_group("ethnicity_raw").alias("eth_coarse"),
+                    coarse_group("region_raw").alias("region_coarse"))
 
 
 @register("prefix_canonicalise", """

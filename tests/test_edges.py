@@ -247,3 +247,20 @@ def test_note_vectors_in_vocabulary_mean(spark):
         inv = [vocab[t] for t in r.tokens if t in vocab]
         want = [sum(c) / len(inv) for c in zip(*inv)] if inv else [0.0] * 8
         assert got[r.row_id] == pytest.approx(want, abs=1e-6)
+
+
+def test_decision_options(spark):
+    """Q3 no_meds fill and Q15 category trim."""
+    from stayframe.operators import text as N
+    cohort = ntz(spark.createDataFrame([(1, 1, ts(0)), (2, 2, ts(0))], "subject_id long, admission_id long, admittime timestamp"),
+                 "admittime")
+    orders = ntz(spark.createDataFrame([(1, 1, ts(1), ts(2), "x", "x", "IV")],
+                                       "subject_id long, admission_id long, startdate timestamp, enddate timestamp, "
+                                       "drug string, drug_name_generic string, route string"), "startdate", "enddate")
+    ov = X.interval_overlap(orders, cohort, 48.0)
+    ref = {r.subject_id: r["no_meds_0_48h"] for r in P.interval_features(ov, cohort).collect()}
+    opt = {r.subject_id: r["no_meds_0_48h"] for r in P.interval_features(ov, cohort, no_meds_fill=1).collect()}
+    assert ref == {1: 0, 2: 0} and opt == {1: 0, 2: 1}
+    notes = spark.createDataFrame([("Physician ",), ("Physician",), ("Nursing",)], "category string")
+    assert N.category_filter(notes).count() == 2
+    assert N.category_filter(notes, trim=True).count() == 3
