@@ -21,6 +21,7 @@ from stayframe.operators import model as T
 from stayframe.operators import prepare as B
 from stayframe.operators import text as N
 from stayframe.operators import timeseries as TS
+from stayframe.session import materialize
 from stayframe.sources.clinical import typed, with_row_id
 
 TARGETS = {"mortality": "mortality_proba", "prolonged_stay": "prolonged_LOS_proba",
@@ -100,12 +101,12 @@ def train_targets(matrix: DataFrame, cfg: Config, targets=None) -> dict:
     out = {}
     # one written copy of the matrix (spark.checkpoint.dir): every fit
     # statistic below reads it instead of replaying cohort + blocks
-    matrix = matrix.checkpoint(eager=True)
+    matrix = materialize(matrix)
     for target in targets or list(TARGETS):
-        s = B.stratified_split(matrix, target).checkpoint(eager=True)
+        s = materialize(B.stratified_split(matrix, target))
         plan = B.discover_columns(s, exclude=list(TARGETS) + ["split"])
         prep = B.fit_preparation(s.where(F.col("split") == "train"), plan)
-        x = prep.transform(s, ["subject_id", "split", target]).checkpoint(eager=True)
+        x = materialize(prep.transform(s, ["subject_id", "split", target]))
         spw = B.class_weight(s, target).first()["scale_pos_weight"]
         params = T.BEST_PARAMS[target]
         weight = spw * params["spw_factor"] if cfg.tuned_weight else spw
@@ -119,7 +120,7 @@ def score_unseen(ids: DataFrame, src: Sources, cfg: Config, bundles: dict) -> Da
     """Ids -> cohort -> the same blocks -> one probability per target:
     (subject_id, mortality_proba, prolonged_LOS_proba, readmission_proba)."""
     cohort, adm, pat = cohort_for(ids, src)
-    feats = AS.assemble_features(blocks_for(cohort, adm, pat, src, cfg)).checkpoint(eager=True)
+    feats = materialize(AS.assemble_features(blocks_for(cohort, adm, pat, src, cfg)))
     out = feats.select("subject_id")
     for target, (prep, model, cal) in bundles.items():
         pr = T.predict(model, cal, prep.transform(feats, ["subject_id"]), ["subject_id"])

@@ -11,6 +11,7 @@ from stayframe.operators import model as T
 from stayframe.operators import prepare as B
 from stayframe.plans import sql_adapters as A
 from stayframe.plans.registry import register, round_sql
+from stayframe.session import materialize
 from stayframe.sources import adapters as ad
 from stayframe.sources.io import read_table
 
@@ -57,7 +58,8 @@ def _plan(df):
 
 
 def _prep(spark, d, label="quality"):
-    s = split_matrix(spark, d, label)
+    # the fit statistics read the split matrix several times: write it once
+    s = materialize(split_matrix(spark, d, label))
     prep = B.fit_preparation(s.where(F.col("split") == "train"), _plan(s), TOPK_COL, TOPK)
     return s, prep
 
@@ -213,7 +215,7 @@ def _fit(spark, d, label="quality", max_iter=30):
     s, prep = _prep(spark, d, label)
     # reliable checkpoint (spark.checkpoint.dir): boosting re-reads the
     # matrix every round, and a lost executor must not replay the lineage
-    x = prep.transform(s, ["subject_id", "split", label]).checkpoint(eager=True)
+    x = materialize(prep.transform(s, ["subject_id", "split", label]))
     spw = B.class_weight(s, label).first()["scale_pos_weight"]
     params = T.BEST_PARAMS["mortality"]
     model = T.train_classifier(x, label, params, spw * params["spw_factor"], max_iter)
@@ -234,7 +236,7 @@ def q_train_classifier(spark, d):
 def q_grid_search(spark, d):
     """T2 on a reduced grid (depth x learning rate)."""
     s, prep = _prep(spark, d)
-    x = prep.transform(s, ["subject_id", "split", "quality"]).checkpoint(eager=True)
+    x = materialize(prep.transform(s, ["subject_id", "split", "quality"]))
     grid = {"max_depth": [3, 5], "learning_rate": [0.1, 0.2], "min_child_weight": [5], "subsample": [1.0],
             "colsample": [0.8]}
     _, table = T.grid_search(x, "quality", 1.0, grid, max_iter=10)

@@ -63,3 +63,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
+
+
+def materialize(df):
+    """Cut the lineage with a reliable checkpoint under
+    ``spark.checkpoint.dir`` (survives executor loss; never a local
+    checkpoint). The frame is persisted first so the checkpoint write reads
+    the cached partitions instead of recomputing the plan a second time;
+    the cache is dropped once the checkpoint exists."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
