@@ -94,11 +94,14 @@ def union_coverage(tagged: DataFrame, families: list[str], window_hours: float =
     """Length of the union of overlap intervals per (episode, family),
     touching intervals merged; coverage = min(union, W) / W.
 
-    Hot episodes are split: the window is cut into ``buckets`` equal time
-    slices, each interval is clipped to the slices it touches (at most
-    ``buckets`` pieces), and gaps-and-islands runs per (episode, family,
-    slice). Slices partition the time axis, so the per-slice union lengths
-    add up exactly, and no single task holds a whole hot episode.
+    Sweep form: with intervals ordered by (start, end), interval i adds
+    ``max(0, end_i - max(start_i, M_{i-1}))`` where ``M_{i-1}`` is the
+    largest end seen before it; the sum is the union length, exactly. The
+    running max is two-level so a hot episode never sits in one task: each
+    interval goes to ONE time slice by its start (``buckets`` slices of the
+    window), slice maxima are prefix-maxed over at most ``buckets`` rows,
+    and the in-slice running max is a window per (episode, family, slice).
+    No row is duplicated.
     """
     width = int(round(window_hours * HOUR_US / buckets))
     long = tagged.select("admission_id", "subject_id", "overlap_start", "overlap_end", "admittime",
@@ -106,22 +109,20 @@ def union_coverage(tagged: DataFrame, families: list[str], window_hours: float =
                          .alias("family")).where(F.col("family").isNotNull())
     rel_s = F.timestamp_diff("MICROSECOND", F.col("admittime"), F.col("overlap_start"))
     rel_e = F.timestamp_diff("MICROSECOND", F.col("admittime"), F.col("overlap_end"))
-    long = long.select("admission_id", "subject_id", "family", rel_s.alias("s"), rel_e.alias("e"))
-    b0 = F.floor(F.col("s") / F.lit(width))
-    b1 = F.floor((F.col("e") - F.lit(1)) / F.lit(width))
-    pieces = long.select("*", F.explode(F.sequence(b0, b1)).alias("bucket"))
-    pieces = pieces.select(
-        "admission_id", "subject_id", "family", "bucket",
-        F.greatest(F.col("s"), F.col("bucket") * width).alias("s"),
-        F.least(F.col("e"), (F.col("bucket") + 1) * width).alias("e")).where(F.col("e") > F.col("s"))
-    w = Window.partitionBy("admission_id", "family", "bucket").orderBy("s", "e")
-    prev_end = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = pieces.withColumn("new_island", F.when(prev_end.isNull() | (F.col("s") > prev_end), 1).otherwise(0))
-    islands = flagged.withColumn("island", F.sum("new_island").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    lengths = (islands.groupBy("admission_id", "subject_id", "family", "bucket", "island")
-               .agg((F.max("e") - F.min("s")).alias("len_us")))
-    total = (lengths.groupBy("subject_id", "admission_id", "family")
-             .agg((F.sum("len_us") / F.lit(float(HOUR_US))).alias("union_hours")))
+    keys = ["admission_id", "subject_id", "family"]
+    d = long.select(*keys, rel_s.alias("s"), rel_e.alias("e"))
+    d = d.withColumn("slice", F.least(F.greatest(F.floor(F.col("s") / F.lit(width)), F.lit(0)),
+                                      F.lit(buckets - 1)))
+    tops = d.groupBy(*keys, "slice").agg(F.max("e").alias("slice_max"))
+    w_off = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tops.select(*keys, "slice", F.max("slice_max").over(w_off).alias("before_slice"))
+    w_in = Window.partitionBy(*keys, "slice").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("before_in", F.max("e").over(w_in)).join(offsets, [*keys, "slice"], "inner")
+    prev = F.greatest(F.col("before_in"), F.col("before_slice"))        # greatest skips nulls
+    start = F.when(prev.isNull(), F.col("s")).otherwise(F.greatest(F.col("s"), prev))
+    added = F.greatest(F.col("e") - start, F.lit(0))
+    total = (d.groupBy("subject_id", "admission_id", "family")
+             .agg((F.sum(added) / F.lit(float(HOUR_US))).alias("union_hours")))
     return total.withColumn("coverage", F.least(F.col("union_hours"), F.lit(window_hours)) / F.lit(window_hours))
 
 
