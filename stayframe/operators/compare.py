@@ -82,8 +82,10 @@ def mann_whitney(long: DataFrame, feature: str = "feature", group: str = "grp",
     n = n0 + n1
     u0 = F.col("r0") - n0 * (n0 + 1) / 2.0
     umax = F.greatest(u0, n0 * n1 - u0)
-    sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    z = (umax - n0 * n1 / 2.0 - 0.5) / sigma
+    # nullif guards: under ANSI a zero divisor raises; a single row or an
+    # all-tied feature has no defined z
+    sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.col("ties") / F.nullif(n * (n - 1), F.lit(0.0))))
+    z = (umax - n0 * n1 / 2.0 - 0.5) / F.nullif(sigma, F.lit(0.0))
     return agg.select(
         feature, F.col("n0").cast("bigint").alias("n0"), F.col("n1").cast("bigint").alias("n1"),
         u0.alias("u_statistic"), ((F.col("m0_lo") + F.col("m0_hi")) / 2.0).alias("median_group_false"),

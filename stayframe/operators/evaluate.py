@@ -66,8 +66,8 @@ def roc_points(preds: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     tot = c.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     j = c.crossJoin(tot)
     return j.select(F.col("y_pred").alias("threshold"),
-                    ((F.col("neg_before") + F.col("neg")) / F.col("n_neg")).alias("fpr"),
-                    ((F.col("pos_before") + F.col("pos")) / F.col("n_pos")).alias("tpr"))
+                    ((F.col("neg_before") + F.col("neg")) / F.nullif(F.col("n_neg"), F.lit(0))).alias("fpr"),
+                    ((F.col("pos_before") + F.col("pos")) / F.nullif(F.col("n_pos"), F.lit(0))).alias("tpr"))
 
 
 def pr_points(preds: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -77,7 +77,7 @@ def pr_points(preds: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     tp = F.col("pos_before") + F.col("pos")
     fp = F.col("neg_before") + F.col("neg")
     return c.crossJoin(tot).select(F.col("y_pred").alias("threshold"), (tp / (tp + fp)).alias("precision"),
-                                   (tp / F.col("n_pos")).alias("recall"))
+                                   (tp / F.nullif(F.col("n_pos"), F.lit(0))).alias("recall"))
 
 
 def calibration_bin(p: str = "y_pred") -> F.Column:

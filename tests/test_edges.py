@@ -264,3 +264,16 @@ def test_decision_options(spark):
     notes = spark.createDataFrame([("Physician ",), ("Physician",), ("Nursing",)], "category string")
     assert N.category_filter(notes).count() == 2
     assert N.category_filter(notes, trim=True).count() == 3
+
+
+def test_mann_whitney_small_and_tied(spark):
+    from stayframe.operators import compare as G
+    df = spark.createDataFrame([("a", True, 1.0), ("a", False, 1.0), ("a", True, 1.0),
+                                ("b", True, 1.0), ("b", False, 2.0), ("b", False, 3.0), ("b", True, 0.5)],
+                               "feature string, grp boolean, value double")
+    got = {r.feature: r for r in G.mann_whitney(df, buckets=2).collect()}
+    assert got["a"].z is None and got["a"].u_statistic == 1.0
+    # b: false {2, 3}, true {1, 0.5}: U(false) = 4, medians 2.5 and 0.75
+    assert got["b"].u_statistic == 4.0
+    assert got["b"].median_group_false == 2.5 and got["b"].median_group_true == 0.75
+    assert 0.0 <= got["b"].p_value <= 1.0
