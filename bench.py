@@ -61,7 +61,11 @@ def main():
         times = [run_once(spark, fn, sf_dir) for _ in range(repeats)]
         results[name] = round(statistics.median(times), 3)
         spark.catalog.clearCache()
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    tag = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(tag)
+    except ValueError:
+        sf = tag
     print(json.dumps({"metric": "median_sec_per_query", "value": round(sum(results.values()), 3), "unit": "sec",
                       "queries": results, "sf": sf, "cpus": cpus, "repeats": repeats}))
 
