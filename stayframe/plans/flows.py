@@ -50,6 +50,9 @@ class Config:
     max_iter: int = 100
     embeddings: bool = False
     tuned_weight: bool = True      # Q18: use the tuned positive weight (False: the raw ratio, as the reference)
+    vector_size: int = 200
+    min_count: int = 5
+    w2v_model: object = None       # fitted on the training cohort, reused for scoring
 
 
 def cohort_for(ids: DataFrame, src: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -65,7 +68,22 @@ def labels_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame) -> DataFrame:
             .select("subject_id", "admission_id", *[F.col(t).cast("int").alias(t) for t in TARGETS]))
 
 
-def blocks_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame, src: Sources, cfg: Config) -> list[DataFrame]:
+def embedding_block(cohort: DataFrame, src: Sources, cfg: Config, model=None):
+    """N14 inside the flow: notes in the closed window (X2) with the
+    ``IS DISTINCT FROM 1`` error rule (X4), the three embedding categories,
+    word vectors fitted once (on the training cohort) and reused when
+    scoring (Q17). Returns (block, model)."""
+    notes = typed("noteevents", src.noteevents)
+    notes = X.exclude_error_rows(notes, variant="distinct")
+    kept = X.extract_window(notes, cohort, cfg.window_hours, closed=True).drop("admittime")
+    kept = with_row_id(kept)
+    block, model = N.embedding_features(kept, cohort, model=model, categories=N.EMBEDDING_CATEGORIES,
+                                        vector_size=cfg.vector_size, min_count=cfg.min_count)
+    return block, model
+
+
+def blocks_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame, src: Sources, cfg: Config,
+               w2v=None) -> list[DataFrame]:
     blocks = [cohort.select("subject_id", "admission_id")]
     wh = cfg.window_hours / cfg.n_windows
     if cfg.include.get("demographics"):
@@ -87,6 +105,10 @@ def blocks_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame, src: Sources,
         notes = typed("noteevents", src.noteevents)
         kept = X.extract_notes(notes, cohort, cfg.window_hours)
         blocks.append(N.note_features(kept, cohort, window_hours=int(cfg.window_hours)))
+    if cfg.embeddings and src.noteevents is not None:
+        block, model = embedding_block(cohort, src, cfg, w2v)
+        cfg.w2v_model = model
+        blocks.append(block.drop("admission_id"))
     return blocks
 
 
@@ -120,7 +142,7 @@ def score_unseen(ids: DataFrame, src: Sources, cfg: Config, bundles: dict) -> Da
     """Ids -> cohort -> the same blocks -> one probability per target:
     (subject_id, mortality_proba, prolonged_LOS_proba, readmission_proba)."""
     cohort, adm, pat = cohort_for(ids, src)
-    feats = materialize(AS.assemble_features(blocks_for(cohort, adm, pat, src, cfg)))
+    feats = materialize(AS.assemble_features(blocks_for(cohort, adm, pat, src, cfg, cfg.w2v_model)))
     out = feats.select("subject_id")
     for target, (prep, model, cal) in bundles.items():
         pr = T.predict(model, cal, prep.transform(feats, ["subject_id"]), ["subject_id"])

@@ -47,15 +47,19 @@ def test_train_and_score(spark):
     src = _sources(spark)
     vit = spark.createDataFrame([(211, "HR", 0.0, 300.0), (223761, "TempF", 70.0, 120.0)],
                                 "itemid int, feature_name string, min_bound double, max_bound double")
-    cfg = flows.Config(dictionaries={"vitals": ("chartevents", vit)}, max_iter=5)
+    cfg = flows.Config(dictionaries={"vitals": ("chartevents", vit)}, max_iter=5, embeddings=True, vector_size=8,
+                       min_count=1)
     ids = spark.range(1, 121).select(F.col("id").cast("int").alias("subject_id"))
     mat = flows.training_matrix(ids, src, cfg)
     cols = set(mat.columns)
     assert {"HR_window3_mean", "TempC_diff2_sign_mean", "anticoagulant_coverage_0_48h",
-            "n_Nursing_notes", "has_Nursing Progress Note", "eth_broad"} <= cols
+            "n_Nursing_notes", "has_Nursing Progress Note", "eth_broad", "emb_7"} <= cols
+    fitted = cfg.w2v_model
+    assert fitted is not None
     assert mat.count() == mat.select("subject_id").distinct().count() > 0
     bundles = flows.train_targets(mat, cfg, ["mortality", "prolonged_stay"])
     scores = flows.score_unseen(ids.where("subject_id > 100"), src, cfg, bundles)
+    assert cfg.w2v_model is fitted          # word vectors reused, not refitted (Q17)
     rows = scores.collect()
     assert set(scores.columns) == {"subject_id", "mortality_proba", "prolonged_LOS_proba"}
     assert rows and all(0.0 <= r.mortality_proba <= 1.0 for r in rows)
