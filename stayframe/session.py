@@ -55,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would vanish with its executor
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for cluster runs")
     scratch = tempfile.mkdtemp(prefix="stayframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
@@ -77,3 +80,17 @@ def materialize(df):
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def recommended_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Partition sizing for a cluster run: about 128 MB per shuffle
+    partition (AQE coalesces the small ones and splits skewed ones), never
+    fewer than two tasks per core; input splits of the same size."""
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
