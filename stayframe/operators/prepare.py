@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayframe.operators.prefix import prefix_sums
 
 MISSING = "MISSING"
 OTHER = "OTHER"

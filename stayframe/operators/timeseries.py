@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.functions.expressions import sign_label
 from stayframe.operators.extract import assign_window, rejoin_two_keys
 
 EPS = 1e-8

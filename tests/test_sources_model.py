@@ -12,7 +12,7 @@ from stayframe.operators import model as T
 from stayframe.operators import prepare as B
 from stayframe.operators import timeseries as TS
 from stayframe.sources import io
-from tests.conftest import SF_SMALL
+
 
 
 def _scratch():

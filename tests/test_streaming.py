@@ -1,7 +1,6 @@
 """The streaming window statistics equal the batch ones."""
 
 import os
-import shutil
 import tempfile
 
 import pytest
