@@ -24,6 +24,7 @@ def mortality(cohort: DataFrame, episodes: DataFrame, subjects: DataFrame,
     return j.select("subject_id", "admission_id",
                     (in_stay | (~in_stay & after)).alias("mortality"),
                     in_stay.alias("death_in_stay"), (~in_stay & after).alias("death_after"),
+                    after.alias("death_within_window"),
                     null_safe_flag(~in_stay & (F.col("dod") < F.col("dischtime"))).alias("death_before_discharge"))
 
 
@@ -57,7 +58,7 @@ def label_audit(mort: DataFrame, prolonged: DataFrame, readmit: DataFrame) -> Da
         F.lit("mortality").alias("label"),
         F.count_if(F.col("mortality")).alias("positives"),
         F.count_if(~F.col("mortality")).alias("negatives"),
-        F.count_if(F.col("death_in_stay") & F.col("death_after")).alias("overlap"),
+        F.count_if(F.col("death_in_stay") & F.col("death_within_window")).alias("overlap"),
         F.count_if(F.col("death_before_discharge")).alias("flagged"))
     p = prolonged.agg(
         F.lit("prolonged_stay").alias("label"),

@@ -207,7 +207,7 @@ def q_readmission(spark, d):
 @register("label_audit", A.with_(*A.COHORT_CHAIN, A.SECOND, MORT_SQL, READMIT_SQL) + """
 SELECT 'mortality' AS label, count(*) FILTER (WHERE in_stay OR after30) AS positives,
        count(*) FILTER (WHERE NOT (in_stay OR after30)) AS negatives,
-       count(*) FILTER (WHERE in_stay AND after30 AND NOT in_stay) AS overlap,
+       count(*) FILTER (WHERE in_stay AND after30) AS overlap,
        count(*) FILTER (WHERE NOT in_stay AND before_disch) AS flagged,
        round(count(*) FILTER (WHERE in_stay OR after30) * 100.0 / count(*), 6) AS positive_pct FROM mort
 UNION ALL
