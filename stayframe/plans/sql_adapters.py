@@ -14,7 +14,7 @@ EPISODES = """episodes AS (
     CASE WHEN o_orderkey % 97 <> 0 THEN o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) END AS admittime,
     CASE WHEN o_orderkey % 89 <> 0 THEN o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT))
          + to_hours(CAST(o_orderkey * 7 % 400 - 5 AS BIGINT)) END AS dischtime,
-    CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS expire_flag,
+    CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 0 THEN 1 WHEN o_orderkey % 41 = 0 THEN NULL ELSE 0 END AS expire_flag,
     o_orderpriority AS priority_raw, o_orderstatus AS status_raw
   FROM orders)"""
 

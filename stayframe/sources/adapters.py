@@ -44,8 +44,8 @@ def episodes(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     start = F.timestamp_add("MINUTE", (k % 1440).cast("int"), F.col("o_orderdate"))
     end = F.timestamp_add("HOUR", (k * 7 % 400 - 5).cast("int"), start)
-    flag = (F.when(k % 41 == 0, F.lit(None).cast("int"))
-            .when((F.col("o_orderstatus") == "F") & (k % 5 == 0), F.lit(1)).otherwise(F.lit(0)))
+    flag = (F.when((F.col("o_orderstatus") == "F") & (k % 5 == 0), F.lit(1))
+            .when(k % 41 == 0, F.lit(None).cast("int")).otherwise(F.lit(0)))
     return o.select(
         F.col("o_custkey").alias("subject_id"),
         k.alias("admission_id"),
