@@ -33,3 +33,17 @@ def test_cohort_reads_only_needed_columns(spark):
     plan = _plan(QS["build_cohort"](spark, SF_SMALL))
     assert "o_totalprice" not in plan
     assert "c_acctbal" not in plan
+
+
+def test_union_coverage_does_not_duplicate_rows(spark):
+    """The sweep form assigns each interval to one slice: the only
+    generator in the plan is the per-family explode, not a slice sequence."""
+    plan = _plan(QS["union_coverage"](spark, SF_SMALL))
+    assert "sequence(" not in plan
+
+
+def test_keyed_prefix_has_no_lambda(spark):
+    """Keyed buckets come from a generated binary search, not a per-row
+    higher-order function."""
+    plan = _plan(QS["mann_whitney"](spark, SF_SMALL))
+    assert "lambdafunction" not in plan.lower()
