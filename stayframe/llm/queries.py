@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jump_shard, packing
+from . import bitplane, jump_shard, packing, quality_rules, simhash
 from .common import documents
 
 
@@ -12,6 +12,17 @@ def op3_jump_shard(spark, sf_dir):
     return jump_shard.shard_documents(documents(spark, sf_dir), 8)
 
 
+def op5_simhash_pivots(spark, sf_dir):
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_adaptive_rules(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "lang", "source", "text")
+    judged = quality_rules.judge(docs, keep=["doc_id"])
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_best_fit_packing(spark, sf_dir):
     packed = packing.pack_documents(documents(spark, sf_dir))
     return packed.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
@@ -24,5 +35,5 @@ def op10_bitplane_ids(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jump_shard, op9_best_fit_packing, op10_bitplane_ids)}
+QUERIES = {f.__name__: f for f in (op3_jump_shard, op5_simhash_pivots, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
 SQL: dict[str, str] = {}
