@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jump_shard, packing, quality_rules, simhash
+from . import bitplane, jump_shard, packing, quality_rules, simhash, suffix_dedup
 from .common import documents
 
 
@@ -17,6 +17,11 @@ def op5_simhash_pivots(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_suffix_repeats(spark, sf_dir):
+    found = suffix_dedup.remove_repeats(documents(spark, sf_dir), ["doc_id"])
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_adaptive_rules(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "lang", "source", "text")
     judged = quality_rules.judge(docs, keep=["doc_id"])
@@ -35,5 +40,5 @@ def op10_bitplane_ids(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jump_shard, op5_simhash_pivots, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
+QUERIES = {f.__name__: f for f in (op3_jump_shard, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
 SQL: dict[str, str] = {}
