@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jump_shard, packing, quality_rules, simhash, suffix_dedup
+from . import bitplane, jump_shard, packing, quality_rules, simhash, suffix_dedup, weighted_sampling
 from .common import documents
 
 
@@ -12,6 +12,10 @@ def op3_jump_shard(spark, sf_dir):
     return jump_shard.shard_documents(documents(spark, sf_dir), 8)
 
 
+def op4_weighted_sampling(spark, sf_dir):
+    return weighted_sampling.fingerprint_documents(documents(spark, sf_dir))
+
+
 def op5_simhash_pivots(spark, sf_dir):
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -40,5 +44,5 @@ def op10_bitplane_ids(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jump_shard, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
+QUERIES = {f.__name__: f for f in (op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
 SQL: dict[str, str] = {}
