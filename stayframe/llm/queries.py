@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jump_shard, packing, quality_rules, simhash, suffix_dedup, weighted_sampling
+from . import bitplane, jump_shard, packing, quality_mil, quality_rules, simhash, suffix_dedup, weighted_sampling
 from .common import documents
 
 
+def op1_attention_mil(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return quality_mil.score(docs, quality_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op3_jump_shard(spark, sf_dir):
     return jump_shard.shard_documents(documents(spark, sf_dir), 8)
 
@@ -44,5 +49,5 @@ def op10_bitplane_ids(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
+QUERIES = {f.__name__: f for f in (op1_attention_mil, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
 SQL: dict[str, str] = {}
