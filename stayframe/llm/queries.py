@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bitplane, jump_shard, packing, quality_mil, quality_rules, simhash, suffix_dedup, weighted_sampling
+from . import attention_lm, bitplane, jump_shard, packing, quality_mil, quality_rules, simhash, suffix_dedup, weighted_sampling
 from .common import documents
 
 
@@ -37,6 +37,10 @@ def op7_adaptive_rules(spark, sf_dir):
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_attention_lm(spark, sf_dir):
+    return attention_lm.score_documents(documents(spark, sf_dir))
+
+
 def op9_best_fit_packing(spark, sf_dir):
     packed = packing.pack_documents(documents(spark, sf_dir))
     return packed.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
@@ -49,5 +53,5 @@ def op10_bitplane_ids(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_attention_mil, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op9_best_fit_packing, op10_bitplane_ids)}
+QUERIES = {f.__name__: f for f in (op1_attention_mil, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op8_attention_lm, op9_best_fit_packing, op10_bitplane_ids)}
 SQL: dict[str, str] = {}

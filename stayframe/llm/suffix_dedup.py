@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .blobs import pack, unpack
 from .common import stage, text_of
 from .suffix_sort import sort_suffixes
 
@@ -98,21 +98,6 @@ def anchors(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: in
 
 # -- blobs ------------------------------------------------------------------
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    head = np.array([len(arrays), *[a.nbytes for a in arrays]], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
-
-
-def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    at, out = 8 * (n + 1), []
-    for size, kind in zip(np.frombuffer(raw, "<i8", n, 8).tolist(), kinds):
-        out.append(np.frombuffer(raw[at:at + size], kind))
-        at += size
-    return out
-
-
 def _five_bytes(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).reshape(-1)
 
@@ -185,7 +170,7 @@ def _chunks(docs: DataFrame, keep: list[str]) -> DataFrame:
                     writer.write_batch(part)
                 chunk = (TaskContext.get().partitionId() << 32) + made
                 yield _rows({"chunk": pa.int64(), "kind": pa.int32(), "blob": pa.binary(), "others": pa.binary()}, [
-                    (chunk, _HELD, _pack(ids[first:upto], sizes[first:upto], np.frombuffer(body, np.uint8)), sink.getvalue().to_pybytes())])
+                    (chunk, _HELD, pack(ids[first:upto], sizes[first:upto], np.frombuffer(body, np.uint8)), sink.getvalue().to_pybytes())])
                 first, made = upto, made + 1
 
     return rows.mapInArrow(gather, _CHUNK_SCHEMA)
@@ -200,7 +185,7 @@ def _with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
 # -- 2. anchors that several documents have -----------------------------------
 
 def _hashes_of(blob: bytes, length: int, gram: int, buckets: int):
-    ids, sizes, buffer = _unpack(blob, "<i8", "<i8", np.uint8)
+    ids, sizes, buffer = unpack(blob, "<i8", "<i8", np.uint8)
     starts, ends = _bounds(sizes)
     h, low, high = anchors(buffer, starts, ends, length, gram)
     bucket = (h >> np.uint64(40)) % np.uint64(buckets)
@@ -284,11 +269,11 @@ def _send_slices(length, gram, buckets):
             cuts = np.flatnonzero(np.diff(bucket[f], prepend=-1, append=-1)).tolist()
             for a, b in zip(cuts, cuts[1:]):
                 part = f[a:b]
-                out.append((int(bucket[part[0]]), chunk, _ANSWER, _pack(
+                out.append((int(bucket[part[0]]), chunk, _ANSWER, pack(
                     np.arange(a, b, dtype="<i4"), size[part].astype("<i4"), ids[doc[part]], _gather(buffer, low[part], size[part])[0])))
             own = np.empty(len(by), "<i4")
             own[by] = number
-            out.append((int(chunk % buckets), chunk, _OWN, _pack(low.astype("<i8"), n.astype("<i4"), own, ids[doc[f]])))
+            out.append((int(chunk % buckets), chunk, _OWN, pack(low.astype("<i8"), n.astype("<i4"), own, ids[doc[f]])))
             yield _rows(_MESSAGE, out)
 
     return run
@@ -325,7 +310,7 @@ def _answer_slices(length):
             if kind == _OWN:
                 yield _rows(_MESSAGE, [(bucket, chunk, kind, blob)])
             else:
-                held.setdefault(bucket, []).append((chunk, *_unpack(blob, "<i4", "<i4", "<i8", np.uint8)))
+                held.setdefault(bucket, []).append((chunk, *unpack(blob, "<i4", "<i4", "<i8", np.uint8)))
         for bucket, sent in held.items():
             size = np.concatenate([s[2] for s in sent]).astype(np.int64)
             doc_id = np.concatenate([s[3] for s in sent])
@@ -360,7 +345,7 @@ def _answer_slices(length):
                 ids = of[np.repeat(first[mine], count) + place]
                 smaller = ids < np.repeat(own_id, count)
                 if smaller.any():
-                    out.append((bucket, chunk, _ANSWER, _pack(np.repeat(own, count)[smaller], place[smaller].astype("<u2"), ids[smaller])))
+                    out.append((bucket, chunk, _ANSWER, pack(np.repeat(own, count)[smaller], place[smaller].astype("<u2"), ids[smaller])))
             yield _rows(_MESSAGE, out)
 
     return run
@@ -372,10 +357,10 @@ def _cover(n_bytes, ids, ends, told, length):
     """Mark the bytes that a smaller document has."""
     if _OWN not in told:
         return np.zeros(n_bytes, bool)
-    low, n, own, least = _unpack(told[_OWN][0], "<i8", "<i4", "<i4", "<i8")
+    low, n, own, least = unpack(told[_OWN][0], "<i8", "<i4", "<i4", "<i8")
     known = np.repeat(least[:, None], int(n.max()), axis=1)
     for blob in told.get(_ANSWER, []):
-        slice_, place, doc_id = _unpack(blob, "<i4", "<u2", "<i8")
+        slice_, place, doc_id = unpack(blob, "<i4", "<u2", "<i8")
         known[slice_, place] = doc_id
     begin, _ = _bounds(n.astype(np.int64))
     place = np.arange(int(n.sum())) - np.repeat(begin, n)
@@ -390,7 +375,7 @@ def _cover(n_bytes, ids, ends, told, length):
 def _finish(length):
     def run(batches):
         for _, blob, others, told in _by_chunk(batches):
-            ids, sizes, buffer = _unpack(blob, "<i8", "<i8", np.uint8)
+            ids, sizes, buffer = unpack(blob, "<i8", "<i8", np.uint8)
             starts, ends = _bounds(sizes)
             gone = _cover(len(buffer), ids, ends, told, length)
             row = pa.ipc.open_stream(others).read_all().combine_chunks().column(0)
