@@ -51,7 +51,8 @@ def _let(value: Column, f) -> Column:
 
 
 def _covered(hashes: Column) -> Column:
-    """Words in windows of WINDOW words that occur twice or more."""
+    """Words in windows of WINDOW words that occur twice or more. ``hashes``
+    must be a bound value: every window looks into it."""
     def walk(found):  # (hash, place) in order; a place counts if a neighbour has its hash
         twice = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda k: (
             F.get(found, k - 1)["h"].eqNullSafe(F.get(found, k)["h"]) | F.get(found, k + 1)["h"].eqNullSafe(F.get(found, k)["h"])))
@@ -59,10 +60,16 @@ def _covered(hashes: Column) -> Column:
         return F.aggregate(places, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
                            lambda a, p: F.struct((a["n"] + p + WINDOW - F.greatest(p, a["end"])).alias("n"), (p + WINDOW).alias("end")))["n"]
 
-    windows = F.transform(F.sequence(F.lit(0), F.size(hashes) - WINDOW), lambda i: F.xxhash64(F.slice(hashes, i + 1, WINDOW)))
-    return F.when(F.size(hashes) <= WINDOW, 0).otherwise(_let(windows, lambda w: F.when(
-        F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(_let(
-            F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), walk))))
+    def windows(step, width, h):  # hashes of windows, each of two of half the width
+        if width > WINDOW:
+            return _let(F.slice(h, 1, F.size(h) - WINDOW + 1), found)
+        return _let(F.zip_with(h, F.slice(h, step + 1, F.size(h)), lambda a, b: F.xxhash64(a, b)), lambda x: windows(width, 2 * width, x))
+
+    def found(w):
+        return F.when(F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(_let(
+            F.sort_array(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), walk))
+
+    return F.when(F.size(hashes) <= WINDOW, 0).otherwise(windows(1, 2, hashes))
 
 
 def counts(text: Column) -> Column:
@@ -74,7 +81,7 @@ def counts(text: Column) -> Column:
             F.length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
             (F.size(found) - F.size(F.array_distinct(found))).cast("long").alias("n_dup_lines"),
-            _covered(F.transform(words, lambda w: F.xxhash64(w))).cast("long").alias("n_repeat_words"),
+            _let(F.transform(words, lambda w: F.xxhash64(w)), _covered).cast("long").alias("n_repeat_words"),
             F.size(found).cast("long").alias("n_lines")))
 
     return _let(F.array_remove(F.split(text, SPACE), ""), of)
