@@ -33,6 +33,11 @@ def _steps(texts: list[bytes]):
         yield held
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    """Sums of the values before each place, modulo 2^64."""
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)))
+
+
 def encode(texts: list[bytes]):
     """Yield (vectors as float32 rows, passages of each text) step by step; a
     text without words has one passage of zeros."""
@@ -67,7 +72,7 @@ def _encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         counts = np.bincount(of_byte[:-2] * TRIGRAM_BINS + mixed, minlength=total * TRIGRAM_BINS)[:total * TRIGRAM_BINS].reshape(total, -1)
         x[:, :TRIGRAM_BINS] = np.sqrt(counts / np.maximum(counts.sum(1, keepdims=True), 1))
     if len(begin):
-        sums = np.concatenate(([0], np.cumsum(_WORD_BYTES[buffer], dtype=np.uint64)))
+        sums = _sums(_WORD_BYTES[buffer])
         name = (sums[stop] - sums[begin]) * np.uint64(0x9E3779B97F4A7C15) + _WORD_BYTES[buffer[begin]] * (stop - begin).astype(np.uint64)
         by = np.lexsort((name, of_word))
         new = np.ones(len(by), bool)
@@ -80,3 +85,27 @@ def _encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             distinct / n, np.minimum(length / n / 10, 3), kinds[:, 2] / size, kinds[:, 3] / size, kinds[:, 4] / size,
             kinds[:, 5] / size, np.log1p(words) / 5, words > 0], axis=1)
     return x, n_passages
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def word_bins(texts: list[bytes], bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, bin) of the distinct bins of each text's words, in order,
+    and the words of each text. A-Z count as a-z; only letters of a word and
+    bytes beyond ASCII name its bin, so marks around it do not matter."""
+    buffer = _LOWER[np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)]
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    inside = ~_SPACE[buffer]
+    begin = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
+    stop = np.flatnonzero(inside & ~np.concatenate((inside[1:], [False]))) + 1
+    doc = np.searchsorted(ends, begin, "right")
+    kind = _KIND[buffer]
+    letter = (kind == 1) | (kind == 5)
+    sums = _sums(np.where(letter, _WORD_BYTES[buffer], np.uint64(0)))
+    pairs = _sums(np.where(letter[1:] & letter[:-1], _WORD_BYTES[buffer[1:]] * (_WORD_BYTES[buffer[:-1]] | np.uint64(1)), np.uint64(0)))
+    name = (sums[stop] - sums[begin]) + (pairs[stop - 1] - pairs[begin]) * np.uint64(0x9E3779B97F4A7C15)
+    bin_ = ((name ^ name >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(40)) % np.uint64(bins)
+    key = np.unique(doc * bins + bin_.astype(np.int64))
+    return key // bins, key % bins, np.bincount(doc, minlength=len(texts))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import attention_lm, bitplane, jump_shard, packing, quality_mil, quality_rules, simhash, suffix_dedup, weighted_sampling
+from . import attention_lm, bitplane, jump_shard, mixing, packing, quality_mil, quality_rules, simhash, suffix_dedup, weighted_sampling
 from .common import documents
 
 
@@ -13,6 +13,11 @@ def op1_attention_mil(spark, sf_dir):
     return quality_mil.score(docs, quality_mil.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op2_soft_mixing(spark, sf_dir):
+    mixed = mixing.mix(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mixed.select("row.doc_id", "tokens", *[f"p_{d}" for d in mixing.DOMAINS], "rate", "copies")
+
+
 def op3_jump_shard(spark, sf_dir):
     return jump_shard.shard_documents(documents(spark, sf_dir), 8)
 
@@ -53,5 +58,5 @@ def op10_bitplane_ids(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_attention_mil, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op8_attention_lm, op9_best_fit_packing, op10_bitplane_ids)}
+QUERIES = {f.__name__: f for f in (op1_attention_mil, op2_soft_mixing, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op8_attention_lm, op9_best_fit_packing, op10_bitplane_ids)}
 SQL: dict[str, str] = {}
