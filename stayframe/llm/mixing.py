@@ -28,7 +28,7 @@ WEIGHTS = (0.96, 0.03, 0.01)
 MAX_RATE = 1.0
 #: Hashed words, training passes, steps of a posterior, and of the gradient.
 BINS, EPOCHS, RATE, SEED = 1 << 15, 8, 0.2, 9
-LEVELS, MAX_STEPS, TOLERANCE = 256, 200, 1e-4
+LEVELS, MAX_STEPS, TOLERANCE = 256, 60, 1e-4
 
 
 class DomainClassifier:
@@ -150,10 +150,30 @@ def replay(p: Column, steps: list[tuple], size: float, max_rate: float) -> Colum
     return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps]), start, move)
 
 
+def _totals(cells: DataFrame, steps: list[tuple], size: float, max_rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tokens of the domains at the rates and at the look-ahead."""
+    d = len(DOMAINS)
+
+    def run(batches):
+        for batch in batches:
+            p = np.array(batch.column(0).to_pylist(), float).reshape(-1, d)
+            tokens = batch.column(1).to_numpy()
+            rate = ahead = np.ones(len(p))
+            for *off, momentum in steps:
+                new = np.clip(ahead - size * (p @ np.array(off)), 0, max_rate)
+                rate, ahead = new, new + momentum * (new - rate)
+            sums = np.concatenate([(p * (tokens * x)[:, None]).sum(0) for x in (rate, ahead)])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums.tolist()], names=[f"s{k}" for k in range(2 * d)])
+
+    names = [f"s{k}" for k in range(2 * d)]
+    found = cells.select("p", "tokens").mapInArrow(run, ", ".join(f"{n} double" for n in names)).agg(*[F.sum(n) for n in names]).first()
+    return np.array(found[:d]), np.array(found[d:])
+
+
 def fit_rates(cells: DataFrame, weights=WEIGHTS, max_rate: float = MAX_RATE):
-    """cells (p, tokens): gradient steps and step size that make the expected
-    domain totals match the targets. Only the domain totals and the matrix
-    of their products reach the driver."""
+    """cells (p, tokens): the gradient steps (with momentum) and their size
+    that bring the expected domain totals to the targets, in least squares
+    where they are out of reach. Only sums over domains reach the driver."""
     d = range(len(DOMAINS))
     p = lambda k: F.get(F.col("p"), F.lit(k))
     total = cells.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * p(k)).alias(f"m{k}") for k in d],
@@ -163,20 +183,14 @@ def fit_rates(cells: DataFrame, weights=WEIGHTS, max_rate: float = MAX_RATE):
     mass = np.array([total[f"m{k}"] for k in d]) / total["n"]
     gram = np.array([[total[f"g{a}{b}"] for b in d] for a in d]) / total["n"]
     goal = np.array(weights) / weights[0] * mass[0]
-    size = 1 / np.linalg.eigvalsh(gram)[-1]
-    steps, t = [], 1.0
+    size, steps, t, last = 1 / np.linalg.eigvalsh(gram)[-1], [], 1.0, mass
     while len(steps) < MAX_STEPS:
-        state = replay(F.col("p"), steps, size, max_rate)
-        now = cells.select("tokens", "p", state.alias("s")).agg(
-            *[F.sum(F.col("tokens") * p(k) * F.col("s.ahead")).alias(f"a{k}") for k in d],
-            *[F.sum(F.col("tokens") * p(k) * F.col("s.rate")).alias(f"r{k}") for k in d]).first()
-        off = np.array([now[f"r{k}"] for k in d]) / total["n"] - goal
-        if steps and (np.abs(off).max() < TOLERANCE or np.abs(off - last).max() < TOLERANCE / 100):
+        at_rate, at_ahead = (x / total["n"] for x in _totals(cells, steps, size, max_rate))
+        if steps and (np.abs(at_rate - goal).max() < TOLERANCE or np.abs(at_rate - last).max() < TOLERANCE / 10):
             break
-        last = off
         t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        steps.append((*(np.array([now[f"a{k}"] for k in d]) / total["n"] - goal), (t - 1) / t_next))
-        t = t_next
+        steps.append((*(at_ahead - goal), (t - 1) / t_next))
+        t, last = t_next, at_rate
     return steps, size
 
 
@@ -192,7 +206,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights=WEIGHTS, max_rate: float = M
     every document is of the first domain.
     """
     placed = stage(posteriors(docs, fit(docs, labels)), "posteriors")
-    cells = stage(placed.groupBy("p").agg(F.sum("tokens").cast("double").alias("tokens")), "cells")
+    cells = stage(placed.groupBy("p").agg(F.sum("tokens").cast("double").alias("tokens")).coalesce(8), "cells")
     steps, size = fit_rates(cells, weights, max_rate)
     rated = placed.select("row", "tokens", "p", replay(F.col("p"), steps, size, max_rate)["rate"].alias("rate"))
     name = F.coalesce(F.col("row.doc_id").cast("string"), F.col("row.text").cast("string"), F.lit(""))

@@ -1,7 +1,7 @@
 """Bounded-space online best-fit packing of token sequences.
 
-Each task reads its documents once, in order, and keeps at most
-``open_bins`` unfinished sequences. A bitset with one bit for each amount of
+Each task reads its documents once, a bounded number at a time, and keeps at
+most ``open_bins`` unfinished sequences. A bitset with one bit for each amount of
 free space finds the open sequence that a piece fills best; when a new one
 must be opened beyond the bound, the fullest is closed. Nothing is shuffled
 and a task's state does not grow with its input.
@@ -18,6 +18,8 @@ from .common import text_of
 from .tokens import default_path, piece_encoder
 
 CAPACITY, END_ID, OPEN_BINS = 2048, 0, 512
+#: Documents that wait together; of these the longest pieces are placed first.
+LOOK_AHEAD = 1000
 
 _SCHEMA = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 
@@ -74,26 +76,27 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity:
         encoder, bins = piece_encoder(path), BestFit(capacity, open_bins)
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
-            out = [[] for _ in range(7)]
-            held = 0
+            waiting, held = [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py()) + end
-                for piece, at in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * at:4 * (at + capacity)]
-                    sequence, offset = bins.place(len(part) // 4)
-                    for column, value in zip(out, (doc_id, piece, at, len(part) // 4, part, first + sequence, offset)):
-                        column.append(value)
-                held += len(ids)
-                if held > 1 << 23:
-                    yield _batch(out)
-                    out, held = [[] for _ in range(7)], 0
-            if out[0]:
-                yield _batch(out)
+                waiting.append((doc_id, encoder.encode(text.as_py()) + end))
+                held += len(waiting[-1][1])
+                if len(waiting) == LOOK_AHEAD or held > 1 << 23:
+                    yield _placed(waiting, bins, capacity, first)
+                    waiting, held = [], 0
+            if waiting:
+                yield _placed(waiting, bins, capacity, first)
 
     return docs.select(F.col("doc_id").cast("long"), text_of()).mapInArrow(run, _SCHEMA)
 
 
-def _batch(columns: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-    names = ("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=list(names))
+def _placed(waiting: list[tuple], bins: BestFit, capacity: int, first: int) -> pa.RecordBatch:
+    """Cut the documents (doc_id, ids) into pieces and place them."""
+    pieces = [(doc_id, piece, at, ids[4 * at:4 * (at + capacity)])
+              for doc_id, ids in waiting for piece, at in enumerate(range(0, len(ids) // 4, capacity))]
+    pieces.sort(key=lambda p: -len(p[3]))  # stable: equal lengths in order of arrival
+    places = [bins.place(len(p[3]) // 4) for p in pieces]
+    columns = [*zip(*pieces), [len(p[3]) // 4 for p in pieces], [first + s for s, _ in places], [o for _, o in places]]
+    names = ("doc_id", "piece", "start", "ids", "length", "sequence_id", "offset")
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+    made = {n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)}
+    return pa.RecordBatch.from_pydict({n: made[n] for n in ("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")})

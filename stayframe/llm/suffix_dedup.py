@@ -19,6 +19,7 @@ so hot groups are reduced before any shuffle.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -421,3 +422,13 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
     schema = T.StructType([T.StructField("row", row), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
                            T.StructField("kept", T.BinaryType())])
     return _with_answers(chunks, found).mapInArrow(_finish(length), schema)
+
+
+def with_text(found: DataFrame) -> DataFrame:
+    """Adds kept_text: the remaining bytes as text, where a character that
+    lost some of its bytes is left out whole."""
+    @F.pandas_udf("string")
+    def decode(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: b.decode("utf-8", "ignore"))
+
+    return found.withColumn("kept_text", decode("kept"))
