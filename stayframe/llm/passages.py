@@ -46,8 +46,8 @@ def encode(texts: list[bytes]):
 
 
 def _encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    buffer = np.frombuffer(b"".join(t + b" " for t in texts), np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in texts])
+    buffer = np.frombuffer(b"".join(t + b"  " for t in texts), np.uint8)
+    ends = np.cumsum([len(t) + 2 for t in texts])
     starts = np.concatenate(([0], ends[:-1]))
     inside = ~_SPACE[buffer]
     begin = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
@@ -69,7 +69,10 @@ def _encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if len(buffer) > 2:
         mixed = _MIX[0][buffer[:-2]] + _MIX[1][buffer[1:-1]] + _MIX[2][buffer[2:]]
         mixed = (mixed ^ mixed >> np.uint32(15)) % np.uint32(TRIGRAM_BINS)
-        counts = np.bincount(of_byte[:-2] * TRIGRAM_BINS + mixed, minlength=total * TRIGRAM_BINS)[:total * TRIGRAM_BINS].reshape(total, -1)
+        own = np.ones(len(buffer), bool)  # trigrams that begin in a text end in the two spaces behind it
+        own[ends - 1] = own[ends - 2] = False
+        own = np.flatnonzero(own)
+        counts = np.bincount(of_byte[own] * TRIGRAM_BINS + mixed[own], minlength=total * TRIGRAM_BINS).reshape(total, -1)
         x[:, :TRIGRAM_BINS] = np.sqrt(counts / np.maximum(counts.sum(1, keepdims=True), 1))
     if len(begin):
         sums = _sums(_WORD_BYTES[buffer])

@@ -199,6 +199,8 @@ def _send_hashes(length, gram, buckets):
         for batch in batches:
             for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids, _, ends, bucket, rest, low, _ = _hashes_of(blob, length, gram, buckets)
+                if not len(low):  # every document is shorter than a string
+                    continue
                 doc = np.searchsorted(ends, low, "right")
                 by = np.lexsort((ids[doc], rest, bucket))
                 bucket, rest, doc_id = bucket[by], rest[by], ids[doc][by]
