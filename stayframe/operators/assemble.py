@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +36,25 @@ def assert_unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
+def _assert_one_to_one(blocks: list[DataFrame]) -> None:
+    """A3 for every block at once: keys as text, tagged by block."""
+    keyed = [enforce_id_types(b).select(F.lit(k).alias("block"), F.concat_ws(",", *[
+        F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ID_COLUMNS if c in b.columns]).alias("key"))
+        for k, b in enumerate(blocks)]
+    bad = duplicate_keys(reduce(DataFrame.unionByName, keyed), ["block", "key"]).limit(1).collect()
+    if bad:
+        raise ValueError(f"feature block {bad[0]['block']} has key {bad[0]['key']} {bad[0]['n']} times")
+
+
 def assemble_features(blocks: list[DataFrame], label: DataFrame | None = None) -> DataFrame:
-    """A2: inner one-to-one joins of the chosen blocks, label joined last.
+    """A2: inner one-to-one joins of the chosen blocks, label joined last. A
+    key that a block has twice is an error: one aggregate over the keys of
+    all blocks looks for it before anything is joined.
     Every block is keyed by subject, so the joins shuffle on the same key
     and Spark reuses the partitioning from one join to the next."""
     if not blocks:
         raise ValueError("no feature block chosen")
+    _assert_one_to_one([*blocks, *([label] if label is not None else [])])
     out = enforce_id_types(blocks[0])
     for b in blocks[1:]:
         b = enforce_id_types(b)

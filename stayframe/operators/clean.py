@@ -40,7 +40,7 @@ def to_numeric_drop(df: DataFrame) -> DataFrame:
 
 def _with_bounds(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     b = dictionary.select("itemid", "min_bound", "max_bound").dropDuplicates(["itemid"])
-    return df.join(F.broadcast(b), "itemid", "left")
+    return df.join(b, "itemid", "left")
 
 
 def bounds_filter(df: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -66,11 +66,11 @@ def bounds_audit(df: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def map_feature_name(df: DataFrame, dictionary: DataFrame, policy: str = "warn") -> DataFrame:
-    """M5: item -> feature name by broadcast left join. ``policy``: ``warn``
+    """M5: item -> feature name by left join. ``policy``: ``warn``
     / ``keep`` keep unmapped rows with a null name (see ``unmapped_items``
     for the ledger); ``raise`` fails when any row is unmapped."""
     mapping = dictionary.select("itemid", "feature_name").dropDuplicates(["itemid"])
-    out = df.drop("feature_name").join(F.broadcast(mapping), "itemid", "left")
+    out = df.drop("feature_name").join(mapping, "itemid", "left")
     if policy == "raise":
         bad = out.where(F.col("feature_name").isNull()).select("itemid").limit(1).collect()
         if bad:
@@ -80,7 +80,7 @@ def map_feature_name(df: DataFrame, dictionary: DataFrame, policy: str = "warn")
 
 def unmapped_items(df: DataFrame, dictionary: DataFrame) -> DataFrame:
     """M5 ledger: rows per item that has no dictionary entry."""
-    return (df.join(F.broadcast(dictionary.select("itemid")), "itemid", "left_anti")
+    return (df.join(dictionary.select("itemid"), "itemid", "left_anti")
             .groupBy("itemid").agg(F.count(F.lit(1)).alias("n_rows")))
 
 

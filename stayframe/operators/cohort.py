@@ -7,7 +7,7 @@ that owns a third of all episodes never lands in one task whole.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.expressions import age_years, hours_between, null_safe_flag
@@ -44,14 +44,10 @@ def first_episode(episodes: DataFrame) -> DataFrame:
 
 def nth_episode(episodes: DataFrame, n: int = 2) -> DataFrame:
     """C3 core: n-th episode per subject ordered by (start NULLS LAST, id).
-    Repeated min + anti join: each round is a partial aggregation, so the
-    work stays parallel however many episodes one subject has."""
-    rest = episodes.select("subject_id", "admission_id", "admittime", "dischtime")
-    picked = None
-    for _ in range(n):
-        picked = _pick_min(rest, nulls_last=True)
-        rest = rest.join(picked.select("subject_id", "admission_id"), ["subject_id", "admission_id"], "left_anti")
-    return picked
+    Spark keeps only the first ``n`` rows of each subject before the shuffle."""
+    place = F.row_number().over(Window.partitionBy("subject_id").orderBy(F.col("admittime").asc_nulls_last(), "admission_id"))
+    return (episodes.select("subject_id", "admission_id", "admittime", "dischtime").withColumn("__n", place)
+            .where(F.col("__n") <= n).where(F.col("__n") == n).drop("__n"))
 
 
 def second_episode(cohort: DataFrame, episodes: DataFrame, n: int = 2) -> DataFrame:

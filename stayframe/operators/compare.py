@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.operators.prefix import DEFAULT_BUCKETS, prefix_sums
+from stayframe.session import materialize
 
 # Coefficients of the Abramowitz-Stegun 7.1.26 approximation of erfc
 # (absolute error below 1.5e-7); Spark SQL has no erf/erfc built-in.
@@ -114,23 +115,18 @@ def chi_square(df: DataFrame, features: list[str], group: str) -> DataFrame:
     """Per feature chi-square statistic over the full table (zero
     cells included), dof, share of expected < 5, Yates for 2x2, and a
     Wilson-Hilferty p-value."""
-    parts = []
-    for f in features:
-        ct = crosstab_long(df, f, group).withColumn("feature", F.lit(f))
-        parts.append(ct)
-    ct = parts[0]
-    for p in parts[1:]:
-        ct = ct.unionByName(p)
-    cats = ct.select("feature", "category").distinct()
-    grps = ct.select("feature", "group").distinct()
-    cells = cats.join(grps, "feature").join(ct, ["feature", "category", "group"], "left") \
-        .withColumn("observed", F.coalesce("observed", F.lit(0)))
-    wf = Window.partitionBy("feature")
-    cells = (cells.withColumn("row_t", F.sum("observed").over(Window.partitionBy("feature", "category")))
-             .withColumn("col_t", F.sum("observed").over(Window.partitionBy("feature", "group")))
-             .withColumn("n", F.sum("observed").over(wf))
-             .withColumn("r", F.size(F.collect_set("category").over(wf)))
-             .withColumn("k", F.size(F.collect_set("group").over(wf))))
+    long = (df.where(F.col(group).isNotNull())
+            .select(F.col(group).cast("string").alias("group"), F.explode(F.array(*[
+                F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("string").alias("category")) for f in features])).alias("c"))
+            .select("c.feature", "c.category", "group").where(F.col("category").isNotNull()))
+    # one pass over the rows; everything below reads the table of counts
+    ct = materialize(long.groupBy("feature", "category", "group").agg(F.count(F.lit(1)).alias("observed")))
+    rows = ct.groupBy("feature", "category").agg(F.sum("observed").alias("row_t"))
+    cols = ct.groupBy("feature", "group").agg(F.sum("observed").alias("col_t"))
+    size = (rows.groupBy("feature").agg(F.sum("row_t").alias("n"), F.count(F.lit(1)).alias("r"))
+            .join(cols.groupBy("feature").agg(F.count(F.lit(1)).alias("k")), "feature"))
+    cells = (rows.join(cols, "feature").join(size, "feature").join(ct, ["feature", "category", "group"], "left")
+             .withColumn("observed", F.coalesce("observed", F.lit(0))))
     e = F.col("row_t") * F.col("col_t") / F.col("n")
     dof = (F.col("r") - 1) * (F.col("k") - 1)
     diff = e - F.col("observed")

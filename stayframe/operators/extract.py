@@ -27,7 +27,7 @@ def extract_window(measurements: DataFrame, cohort: DataFrame, hours: float = 48
     if exclude_errors and "error" in m.columns:   # Q20: off by default, as in the extracts
         m = m.where(~F.col("error").eqNullSafe(1))
     if items is not None:
-        m = m.join(F.broadcast(items.select("itemid").distinct()), "itemid", "left_semi")
+        m = m.join(items.select("itemid").distinct(), "itemid", "left_semi")
     c = cohort.select("admission_id", "admittime")
     j = m.join(c, "admission_id", "inner")
     t, start = F.col(time_col), F.col("admittime")

@@ -6,11 +6,12 @@ from __future__ import annotations
 import itertools
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.operators.evaluate import average_precision
@@ -25,8 +26,11 @@ BEST_PARAMS = {
     "readmission": dict(max_depth=3, learning_rate=0.2, min_child_weight=5, subsample=1.0, colsample=0.8,
                         spw_factor=2.0),
 }
+# Boosting stops when the validation error no longer falls, at the latest here.
+MAX_ROUNDS = 4000
+# The grid's last axis multiplies the train-set class weight of the target.
 GRID = {"max_depth": [3, 5, 7], "learning_rate": [0.03, 0.10, 0.20], "min_child_weight": [1, 5, 10],
-        "subsample": [0.6, 0.8, 1.0], "colsample": [0.6, 0.8, 1.0]}
+        "subsample": [0.6, 0.8, 1.0], "colsample": [0.6, 0.8, 1.0], "spw_factor": [0.5, 1.0, 2.0]}
 BLOCK_CODES = "dvlgpne"  # demographics vitals labs gcs prescriptions notes embeddings
 
 
@@ -36,7 +40,7 @@ def with_weights(df: DataFrame, label: str, spw: float) -> DataFrame:
             .withColumn("is_val", F.col("split") == "val"))
 
 
-def train_classifier(train_val: DataFrame, label: str, params: dict, spw: float, max_iter: int = 200,
+def train_classifier(train_val: DataFrame, label: str, params: dict, spw: float, max_iter: int = MAX_ROUNDS,
                      seed: int = 1407) -> GBTClassificationModel:
     """GBT with class weights, early stopping on the validation rows.
     (No L1/L2 terms exist in Spark's GBT; ``min_child_weight`` maps to the
@@ -53,24 +57,27 @@ def positive_probability(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("p_raw", vector_to_array("probability")[1])
 
 
-def grid_search(train_val: DataFrame, label: str, spw: float, grid: dict | None = None, max_iter: int = 50,
-                limit: int | None = None) -> tuple[dict, DataFrame]:
-    """Each setting trained on train, scored by validation AP (E2). The
-    loop is over settings only; every fit and score is a Spark job.
+def grid_search(train_val: DataFrame, label: str, spw: float, grid: dict | None = None, max_iter: int = MAX_ROUNDS,
+                threads: int = 4) -> tuple[dict, DataFrame]:
+    """Every setting of the grid trained on train, scored by validation
+    AP (E2). Settings run ``threads`` at a time; every fit and score is a
+    Spark job. ``spw`` is the class weight that ``spw_factor`` multiplies.
+    (Spark's boosted trees have no regularisation terms to search.)
     Returns the best setting and the (setting, AP) table."""
     grid = grid or GRID
     keys = list(grid)
     combos = [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
-    if limit:
-        combos = combos[:limit]
     spark = train_val.sparkSession
-    rows = []
-    for c in combos:
-        m = train_classifier(train_val, label, c, spw, max_iter)
+
+    def one(c):
+        m = train_classifier(train_val, label, c, spw * c.get("spw_factor", 1.0), max_iter)
         val = positive_probability(m, train_val.where(F.col("split") == "val"))
         ap = average_precision(val.select(F.col(label).cast("int").alias("y_true"),
                                           F.col("p_raw").alias("y_pred"))).first()["average_precision"]
-        rows.append((json.dumps(c), float(ap) if ap is not None else None))
+        return json.dumps(c), float(ap) if ap is not None else None
+
+    with ThreadPoolExecutor(threads) as pool:
+        rows = list(pool.map(one, combos))
     table = spark.createDataFrame(rows, "params string, val_average_precision double")
     best = max(rows, key=lambda r: -1 if r[1] is None else r[1])
     return json.loads(best[0]), table
@@ -95,7 +102,7 @@ def predict(model, calibrator: IsotonicRegressionModel | None, df: DataFrame, ke
 def feature_importance(model, names: list[str], top: int = 30) -> DataFrame:
     """T5: per-feature importance (Spark's gain-based average), top-k."""
     imp = model.featureImportances.toArray().tolist()
-    spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(imp) if v > 0]
     df = spark.createDataFrame(rows, "feature string, gain double")
     return df.orderBy(F.desc("gain"), "feature").limit(top)
@@ -104,24 +111,21 @@ def feature_importance(model, names: list[str], top: int = 30) -> DataFrame:
 def save_bundle(path: str, prep: PreparedModel, model, calibrator, meta: dict) -> None:
     """Preparation statistics, model, calibrator, columns and run
     metadata under one directory (ML writers, no pickles)."""
-    spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     model.write().overwrite().save(os.path.join(path, "model"))
     if calibrator is not None:
         calibrator.write().overwrite().save(os.path.join(path, "calibrator"))
-    payload = {"prep": prep.to_json(), "meta": json.dumps(meta)}
+    payload = {"prep": prep.to_json(), "meta": json.dumps(meta), "calibrated": calibrator is not None}
     spark.createDataFrame([payload]).coalesce(1).write.mode("overwrite").json(os.path.join(path, "bundle"))
 
 
 def load_bundle(path: str):
-    spark = __import__("pyspark.sql", fromlist=["SparkSession"]).SparkSession.getActiveSession()
+    spark = SparkSession.getActiveSession()
     row = spark.read.json(os.path.join(path, "bundle")).first()
     prep = PreparedModel.from_json(row["prep"])
     model = GBTClassificationModel.load(os.path.join(path, "model"))
-    cal_path = os.path.join(path, "calibrator")
-    try:
-        calibrator = IsotonicRegressionModel.load(cal_path)
-    except Exception:  # noqa: BLE001 - no calibrator saved
-        calibrator = None
+    # a bundle that was saved with a calibrator does not load without it
+    calibrator = IsotonicRegressionModel.load(os.path.join(path, "calibrator")) if row["calibrated"] else None
     return prep, model, calibrator, json.loads(row["meta"])
 
 

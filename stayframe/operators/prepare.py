@@ -24,8 +24,7 @@ TOP_K = 40
 # Fixed values that must equal the reference: the explicit categorical
 # columns.
 EXPLICIT_CATEGORICALS = ["eth_raw", "eth_broad", "gender", "insurance", "admission_type", "admission_location"]
-NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType,
-           T.BooleanType)
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
 @dataclass
@@ -116,7 +115,7 @@ class PreparedModel:
         if p.embeddings:
             all_null = F.lit(True)
             for c in p.embeddings:
-                all_null = all_null & F.col(f"`{c}`").isNull()
+                all_null = all_null & to_double(c).isNull()
             out.append(all_null.cast("double").alias("emb_missing"))
             names.append("emb_missing")
             for c in p.embeddings:
@@ -131,7 +130,7 @@ class PreparedModel:
                 out.append((v == F.lit(cat)).cast("double").alias(nm))
                 names.append(nm)
         for c in p.count_like:
-            out.append(F.col(f"`{c}`").isNull().cast("double").alias(f"missingindicator_{c}"))
+            out.append(to_double(c).isNull().cast("double").alias(f"missingindicator_{c}"))
             names.append(f"missingindicator_{c}")
         for c in p.count_like:
             out.append(F.coalesce(to_double(c), F.lit(0.0)).alias(c))
@@ -140,7 +139,7 @@ class PreparedModel:
             out.append(log1p_count(F.coalesce(to_double(c), F.lit(0.0))).alias(f"{c}_log1p"))
             names.append(f"{c}_log1p")
         for c in p.flag_like:
-            out.append(F.col(f"`{c}`").isNull().cast("double").alias(f"missingindicator_{c}"))
+            out.append(to_double(c).isNull().cast("double").alias(f"missingindicator_{c}"))
             names.append(f"missingindicator_{c}")
         for c in p.flag_like:
             out.append(F.coalesce(to_double(c), F.lit(0.0)).alias(c))
@@ -151,7 +150,7 @@ class PreparedModel:
             names.append(c)
         for c in p.other_numerics:
             if c in self.numeric_with_nulls:
-                out.append(F.col(f"`{c}`").isNull().cast("double").alias(f"missingindicator_{c}"))
+                out.append(to_double(c).isNull().cast("double").alias(f"missingindicator_{c}"))
                 names.append(f"missingindicator_{c}")
         self.output_columns = names
         return out
@@ -186,7 +185,7 @@ def fit_preparation(train: DataFrame, plan: ColumnPlan | None = None, topk_col:
     for c in plan.embeddings:
         stats_cols.append(F.avg(to_double(c)).alias(f"mean::{c}"))
     for c in plan.other_numerics:
-        stats_cols.append(F.max(F.col(f"`{c}`").isNull().cast("int")).alias(f"null::{c}"))
+        stats_cols.append(F.max(to_double(c).isNull().cast("int")).alias(f"null::{c}"))
     row = train.agg(*stats_cols).first().asDict() if stats_cols else {}
     means = {k.split("::", 1)[1]: v for k, v in row.items() if k.startswith("mean::")}
     with_nulls = [k.split("::", 1)[1] for k, v in row.items() if k.startswith("null::") and v == 1]

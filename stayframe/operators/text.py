@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.functions.expressions import clean_text, tokens
+from stayframe.session import materialize
 
 # Fixed values that must equal the reference: the twelve counted note
 # categories (trailing spaces included), the three categories used for
@@ -44,6 +45,8 @@ NOTE_DESCRIPTIONS = [
 ]
 NO_CATEGORY = "NO_CATEGORY"
 WINDOW_HOURS = 48
+# Word vectors are trained in this many partitions on every cluster.
+WORD_VECTOR_PARTITIONS = 8
 
 
 def note_aggregates(kept: DataFrame, categories: list[str], descriptions: list[str]) -> DataFrame:
@@ -95,12 +98,17 @@ def category_filter(notes: DataFrame, categories: list[str] | None = None, trim:
 
 
 def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int = 5, min_count: int = 5,
-                       seed: int = 1407, partitions: int | None = None, max_iter: int = 1) -> Word2VecModel:
-    """Skip-gram word vectors trained as a Spark job."""
-    n_part = partitions or max(1, tokenised.sparkSession.sparkContext.defaultParallelism)
+                       seed: int = 1407, partitions: int = WORD_VECTOR_PARTITIONS, max_iter: int = 1) -> Word2VecModel:
+    """Skip-gram word vectors trained as a Spark job. The rows are dealt
+    to a fixed number of partitions by content and sorted, so the vectors do
+    not depend on the cluster or on how the input was partitioned; a note is
+    one sentence, however long."""
+    rows = tokenised.select("tokens").withColumn("k", F.md5(F.array_join("tokens", " ").cast("binary")))
+    rows = rows.repartition(partitions, "k").sortWithinPartitions("k")
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, seed=seed,
-                   inputCol="tokens", outputCol="w2v_mean_all", numPartitions=n_part, maxIter=max_iter)
-    return w2v.fit(tokenised.select("tokens"))
+                   inputCol="tokens", outputCol="w2v_mean_all", numPartitions=partitions, maxIter=max_iter,
+                   maxSentenceLength=2**31 - 1)
+    return w2v.fit(rows.select("tokens"))
 
 
 def note_vectors(tokenised: DataFrame, model: Word2VecModel, key: str = "row_id") -> DataFrame:
@@ -108,13 +116,16 @@ def note_vectors(tokenised: DataFrame, model: Word2VecModel, key: str = "row_id"
     none). ``Word2VecModel.transform`` (model broadcast once, JVM loop per
     row) returns the sum of in-vocabulary vectors divided by *all* tokens;
     rescaling by ``n_tokens / n_in_vocabulary`` gives the in-vocabulary
-    mean. The in-vocabulary count comes from a semi join of the exploded
-    tokens against the vocabulary words (strings only, no vectors)."""
+    mean. The in-vocabulary count is a function of the tokens alone: it is
+    worked out once for each distinct token list (a semi join of its exploded
+    tokens against the vocabulary words) and joined on that list's digest, so
+    rows that share an id, or whole rows that repeat, do not add up."""
     words = model.getVectors().select("word")
-    n_in = (tokenised.select(key, F.explode("tokens").alias("word"))
-            .join(words, "word", "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("n_in")))
-    t = model.transform(tokenised.select(key, "subject_id", "admission_id", "tokens"))
-    t = t.join(n_in, key, "left")
+    t = tokenised.select(key, "subject_id", "admission_id", "tokens").withColumn(
+        "__k", F.sha2(F.array_join("tokens", " ").cast("binary"), 256))
+    n_in = (t.select("__k", "tokens").dropDuplicates(["__k"]).select("__k", F.explode("tokens").alias("word"))
+            .join(words, "word", "left_semi").groupBy("__k").agg(F.count(F.lit(1)).alias("n_in")))
+    t = model.transform(t).join(n_in, "__k", "left")
     scale = F.when(F.col("n_in") > 0, F.size("tokens") / F.col("n_in")).otherwise(F.lit(0.0))
     arr = F.transform(vector_to_array(F.col("w2v_mean_all")), lambda x: x * scale)
     return t.select(key, "subject_id", "admission_id", array_to_vector(arr).alias("vec"))
@@ -142,11 +153,9 @@ def embedding_features(notes: DataFrame, cohort: DataFrame, model: Word2VecModel
     """Tokenise, (fit once on the training notes, Q17), note vectors,
     episode means, expanded columns. Returns (block, model)."""
     # tokens are read by the vocabulary pass, the training pass, the
-    # transform and the in-vocabulary count: persist once (spills to disk;
-    # a lost executor recomputes its partitions from the lineage)
-    from pyspark import StorageLevel
-    n = with_tokens(notes if categories is None else category_filter(notes, categories)) \
-        .select("row_id", "subject_id", "admission_id", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
+    # transform and the in-vocabulary count: written once
+    n = materialize(with_tokens(notes if categories is None else category_filter(notes, categories))
+                    .select("row_id", "subject_id", "admission_id", "tokens"))
     if model is None:
         model = train_word_vectors(with_tokens(fit_notes) if fit_notes is not None else n,
                                    vector_size=vector_size, min_count=min_count)

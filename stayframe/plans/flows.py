@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +45,10 @@ class Config:
     """Item dictionaries (itemid, feature_name, min_bound, max_bound) per
     measurement block, block switches (letters of ``dvlgpne``), model size."""
     dictionaries: dict = field(default_factory=dict)     # block -> (source table, dictionary DataFrame)
-    include: dict = field(default_factory=lambda: {"demographics": True, "prescriptions": True, "notes": True})
+    include: dict = field(default_factory=lambda: {"demographics": True, "prescriptions": True})  # notes: off unless asked for
     window_hours: float = 48.0
     n_windows: int = 4
-    max_iter: int = 100
+    max_iter: int = T.MAX_ROUNDS
     embeddings: bool = False
     tuned_weight: bool = True      # Q18: use the tuned positive weight (False: the raw ratio, as the reference)
     vector_size: int = 200
@@ -68,22 +69,25 @@ def labels_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame) -> DataFrame:
             .select("subject_id", "admission_id", *[F.col(t).cast("int").alias(t) for t in TARGETS]))
 
 
-def embedding_block(cohort: DataFrame, src: Sources, cfg: Config, model=None):
+def embedding_block(cohort: DataFrame, src: Sources, cfg: Config, model=None, train_ids: DataFrame | None = None):
     """N14 inside the flow: notes in the closed window (X2) with the
     ``IS DISTINCT FROM 1`` error rule (X4), the three embedding categories,
-    word vectors fitted once (on the training cohort) and reused when
-    scoring (Q17). Returns (block, model)."""
+    word vectors fitted once, on the notes of ``train_ids`` only, and reused
+    when scoring (Q17). Returns (block, model)."""
     notes = typed("noteevents", src.noteevents)
     notes = X.exclude_error_rows(notes, variant="distinct")
     kept = X.extract_window(notes, cohort, cfg.window_hours, closed=True).drop("admittime")
     kept = with_row_id(kept)
+    fit_notes = None
+    if model is None and train_ids is not None:
+        fit_notes = N.category_filter(kept, N.EMBEDDING_CATEGORIES).join(train_ids, "subject_id", "left_semi")
     block, model = N.embedding_features(kept, cohort, model=model, categories=N.EMBEDDING_CATEGORIES,
-                                        vector_size=cfg.vector_size, min_count=cfg.min_count)
+                                        vector_size=cfg.vector_size, min_count=cfg.min_count, fit_notes=fit_notes)
     return block, model
 
 
 def blocks_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame, src: Sources, cfg: Config,
-               w2v=None) -> list[DataFrame]:
+               w2v=None, train_ids: DataFrame | None = None) -> list[DataFrame]:
     blocks = [cohort.select("subject_id", "admission_id")]
     wh = cfg.window_hours / cfg.n_windows
     if cfg.include.get("demographics"):
@@ -106,7 +110,7 @@ def blocks_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame, src: Sources,
         kept = X.extract_notes(notes, cohort, cfg.window_hours)
         blocks.append(N.note_features(kept, cohort, window_hours=int(cfg.window_hours)))
     if cfg.embeddings and src.noteevents is not None:
-        block, model = embedding_block(cohort, src, cfg, w2v)
+        block, model = embedding_block(cohort, src, cfg, w2v, train_ids)
         cfg.w2v_model = model
         blocks.append(block.drop("admission_id"))
     return blocks
@@ -114,7 +118,37 @@ def blocks_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame, src: Sources,
 
 def training_matrix(ids: DataFrame, src: Sources, cfg: Config) -> DataFrame:
     cohort, adm, pat = cohort_for(ids, src)
-    return AS.assemble_features(blocks_for(cohort, adm, pat, src, cfg), labels_for(cohort, adm, pat))
+    labels = materialize(labels_for(cohort, adm, pat))
+    blocks = blocks_for(cohort, adm, pat, src, cfg, train_ids=train_subjects(labels))
+    return AS.assemble_features(blocks, labels)
+
+
+def train_subjects(labels: DataFrame) -> DataFrame:
+    """Subjects that are training rows for every target: what is fitted for
+    all targets together (word vectors) may see no others."""
+    kept = labels.select("subject_id")
+    for target in TARGETS:
+        split = B.stratified_split(labels.select("subject_id", target), target)
+        kept = kept.join(split.where(F.col("split") == "train").select("subject_id"), "subject_id", "left_semi")
+    return kept
+
+
+def save_models(path: str, cfg: Config, bundles: dict) -> None:
+    """T6 for a whole run: one bundle for each target and the word vectors."""
+    for target, (prep, model, cal) in bundles.items():
+        T.save_bundle(f"{path}/{target}", prep, model, cal, {"target": target, "embeddings": cfg.w2v_model is not None})
+    if cfg.w2v_model is not None:
+        cfg.w2v_model.write().overwrite().save(f"{path}/word_vectors")
+
+
+def load_models(path: str, targets=None) -> tuple[dict, object]:
+    """Bundles by target and the word vectors (None if the run had none)."""
+    bundles, with_vectors = {}, False
+    for target in targets or list(TARGETS):
+        prep, model, cal, meta = T.load_bundle(f"{path}/{target}")
+        bundles[target] = (prep, model, cal)
+        with_vectors |= bool(meta["embeddings"])
+    return bundles, Word2VecModel.load(f"{path}/word_vectors") if with_vectors else None
 
 
 def train_targets(matrix: DataFrame, cfg: Config, targets=None) -> dict:

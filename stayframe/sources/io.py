@@ -93,7 +93,7 @@ def write_stage(df: DataFrame, path: str, overwrite: bool = True,
 
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")  # left by a write that finished
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hpath)
 
