@@ -97,14 +97,20 @@ def category_filter(notes: DataFrame, categories: list[str] | None = None, trim:
     return notes.where(F.col("category").isin(categories))
 
 
+def pinned_rows(tokenised: DataFrame, partitions: int = WORD_VECTOR_PARTITIONS) -> DataFrame:
+    """Token lists dealt by content to a fixed number of partitions and
+    sorted, so that training reads the same rows in the same places on every
+    cluster, however the input was partitioned. (Spark's fit still numbers
+    words of equal count, and adds partial sums, in the order they arrive.)"""
+    rows = tokenised.select("tokens").withColumn("k", F.md5(F.array_join("tokens", " ").cast("binary")))
+    return rows.repartition(partitions, "k").sortWithinPartitions("k")
+
+
 def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int = 5, min_count: int = 5,
                        seed: int = 1407, partitions: int = WORD_VECTOR_PARTITIONS, max_iter: int = 1) -> Word2VecModel:
-    """Skip-gram word vectors trained as a Spark job. The rows are dealt
-    to a fixed number of partitions by content and sorted, so the vectors do
-    not depend on the cluster or on how the input was partitioned; a note is
-    one sentence, however long."""
-    rows = tokenised.select("tokens").withColumn("k", F.md5(F.array_join("tokens", " ").cast("binary")))
-    rows = rows.repartition(partitions, "k").sortWithinPartitions("k")
+    """Skip-gram word vectors trained as a Spark job; a note is one
+    sentence, however long."""
+    rows = pinned_rows(tokenised, partitions)
     w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, seed=seed,
                    inputCol="tokens", outputCol="w2v_mean_all", numPartitions=partitions, maxIter=max_iter,
                    maxSentenceLength=2**31 - 1)

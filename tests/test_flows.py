@@ -48,6 +48,7 @@ def test_train_and_score(spark):
     vit = spark.createDataFrame([(211, "HR", 0.0, 300.0), (223761, "TempF", 70.0, 120.0)],
                                 "itemid int, feature_name string, min_bound double, max_bound double")
     cfg = flows.Config(dictionaries={"vitals": ("chartevents", vit)}, max_iter=5, embeddings=True, vector_size=8,
+                       include={"demographics": True, "prescriptions": True, "notes": True},
                        min_count=1)
     ids = spark.range(1, 121).select(F.col("id").cast("int").alias("subject_id"))
     mat = flows.training_matrix(ids, src, cfg)
