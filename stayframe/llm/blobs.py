@@ -20,3 +20,12 @@ def unpack(blob: bytes, *kinds) -> list[np.ndarray]:
         out.append(np.frombuffer(raw[at:at + size], kind))
         at += size
     return out
+
+
+def planes(x: np.ndarray) -> np.ndarray:
+    """The bytes of unsigned numbers, all lowest first: they compress better."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T)
+
+
+def from_planes(raw: np.ndarray, width: int) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(width, -1).T).reshape(-1).view(f"<u{width}")
