@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import attention_lm, bitplane, jump_shard, mixing, packing, quality_mil, quality_rules, simhash, suffix_dedup, weighted_sampling
 from .common import documents
+from .sql import SQL  # noqa: F401  (the entry point reads both)
 
 
 def op1_attention_mil(spark, sf_dir):
@@ -59,4 +60,3 @@ def op10_bitplane_ids(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_attention_mil, op2_soft_mixing, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op8_attention_lm, op9_best_fit_packing, op10_bitplane_ids)}
-SQL: dict[str, str] = {}
