@@ -10,7 +10,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayframe.operators.prefix import DEFAULT_BUCKETS, prefix_sums
+from stayframe.operators.prefix import prefix_sums
 from stayframe.session import materialize
 
 # Coefficients of the Abramowitz-Stegun 7.1.26 approximation of erfc
@@ -50,7 +50,7 @@ def pivot_mean(long: DataFrame, keys: list[str], feature: str, value: str, featu
 
 
 def mann_whitney(long: DataFrame, feature: str = "feature", group: str = "grp", value: str = "value",
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Per feature, U of the ``false`` group, medians of both groups,
     tie-corrected normal z and two-sided p with continuity correction.
 

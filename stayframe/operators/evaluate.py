@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.operators.prefix import DEFAULT_BUCKETS, prefix_sums
+from stayframe.operators.prefix import prefix_sums
 
 # Inner edges of the ten equal-width calibration bins, as produced by an
 # evenly spaced grid over [0, 1] (so 0.30000000000000004, not 0.3).
@@ -26,7 +26,7 @@ def score_counts(preds: DataFrame, keys: list[str] | None = None) -> DataFrame:
                  F.sum((1 - F.col("y_true")).cast("long")).alias("neg")))
 
 
-def auroc(preds: DataFrame, keys: list[str] | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def auroc(preds: DataFrame, keys: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Rank AUC with ties counted half:
     sum_s pos_s * (neg below s + neg_s / 2) / (P * N); null with one class."""
     keys = keys or []
@@ -39,7 +39,7 @@ def auroc(preds: DataFrame, keys: list[str] | None = None, buckets: int = DEFAUL
 
 
 def average_precision(preds: DataFrame, keys: list[str] | None = None,
-                      buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Step-wise AP = sum over thresholds (descending) of
     (recall gain) x precision; null when a key has one class only."""
     keys = keys or []
@@ -60,7 +60,7 @@ def basic_metrics(preds: DataFrame) -> DataFrame:
                      F.count(F.lit(1)).alias("n"))
 
 
-def roc_points(preds: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_points(preds: DataFrame, buckets: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, every point kept."""
     c = prefix_sums(score_counts(preds), [], "y_pred", ["pos", "neg"], buckets, descending=True)
     tot = c.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
@@ -70,7 +70,7 @@ def roc_points(preds: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
                     ((F.col("pos_before") + F.col("pos")) / F.nullif(F.col("n_pos"), F.lit(0))).alias("tpr"))
 
 
-def pr_points(preds: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def pr_points(preds: DataFrame, buckets: int | None = None) -> DataFrame:
     """(threshold, precision, recall) per distinct score."""
     c = prefix_sums(score_counts(preds), [], "y_pred", ["pos", "neg"], buckets, descending=True)
     tot = c.agg(F.sum("pos").alias("n_pos"))
@@ -96,7 +96,7 @@ def calibration_curve(preds: DataFrame) -> DataFrame:
 
 
 def group_average_precision(preds: DataFrame, groups: DataFrame, group_col: str = "grp",
-                            buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                            buckets: int | None = None) -> DataFrame:
     """AP per group; every group of ``groups`` appears (count 0, AP
     null when empty or one class). Null group labels are excluded (Q23)."""
     ap = average_precision(preds.where(F.col(group_col).isNotNull()), [group_col], buckets)
@@ -105,7 +105,7 @@ def group_average_precision(preds: DataFrame, groups: DataFrame, group_col: str
     return j.select(group_col, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), "average_precision")
 
 
-def metrics_report(preds: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def metrics_report(preds: DataFrame, buckets: int | None = None) -> DataFrame:
     """One row with AUROC, AUPRC, Brier, prevalence, n."""
     a = auroc(preds, buckets=buckets)
     p = average_precision(preds, buckets=buckets).select(F.col("average_precision").alias("auprc"))

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 256
+# Ranges of one key, unless the caller names a number (a generated search over them must stay small).
+KEY_BUCKETS = 64
 
 
 def quantile_splits(df: DataFrame, col: str, buckets: int, rel_err: float = 1e-3) -> list[float]:
@@ -49,7 +51,7 @@ def _bucket_per_key(d: DataFrame, keys: list[str], o: str, buckets: int, rel_err
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order: str, measures: list[str],
-                buckets: int = DEFAULT_BUCKETS, descending: bool = False, rel_err: float = 1e-3) -> DataFrame:
+                buckets: int | None = None, descending: bool = False, rel_err: float = 1e-3) -> DataFrame:
     """For rows unique on (keys, order): add ``{m}_before`` = sum of ``m``
     over rows of the same keys whose order value is strictly smaller (or
     strictly larger when ``descending``). Without keys the split points are
@@ -57,9 +59,9 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, measures: list[str],
     o = "__o"
     d = df.withColumn(o, (-F.col(order) if descending else F.col(order)).cast("double"))
     if keys:
-        d = _bucket_per_key(d, keys, o, min(buckets, 64), rel_err)
+        d = _bucket_per_key(d, keys, o, buckets or KEY_BUCKETS, rel_err)
     else:
-        splits = quantile_splits(d, o, buckets, rel_err)
+        splits = quantile_splits(d, o, buckets or DEFAULT_BUCKETS, rel_err)
         d = Bucketizer(splits=splits, inputCol=o, outputCol="__b", handleInvalid="keep").transform(d)
     totals = d.groupBy(*keys, "__b").agg(*[F.sum(m).alias(m) for m in measures])
     w_off = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,7 +75,7 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, measures: list[str],
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact continuous quantiles per key (linear interpolation between the
     order statistics at positions floor/ceil of ``p * (n - 1)``), without
     holding a group's values in one task: counts per (key, value), bucketed

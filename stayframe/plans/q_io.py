@@ -33,22 +33,18 @@ def q_cohort_ids(spark, d):
     return io.cohort_ids(spark, p)
 
 
-@register("item_dictionary", """SELECT event_type AS itemid, upper(event_type) AS feature_name,
-  CAST(min(value) AS DOUBLE) AS min_bound, CAST(max(value) AS DOUBLE) AS max_bound FROM events GROUP BY 1""")
+@register("item_dictionary", """SELECT CAST(ascii(event_type) AS BIGINT) AS itemid, upper(event_type) AS feature_name,
+  CAST(min(value) AS DOUBLE) AS min_bound, CAST(max(value) AS DOUBLE) AS max_bound FROM events GROUP BY event_type""")
 def q_item_dictionary(spark, d):
     """S3: a dictionary CSV derived from the events (per type: name and the
     observed value range) read with the dictionary reader."""
     p = _path(spark, "dict")
     e = io.read_table(spark, d, "events", ["event_type", "value"])
     e.groupBy("event_type").agg(F.min("value").alias("min"), F.max("value").alias("max")).select(
-        F.col("event_type").alias("itemid"), F.col("event_type").alias("measurement name"),
+        F.ascii("event_type").alias("itemid"), F.col("event_type").alias("measurement name"),
         F.upper("event_type").alias("feature name"), "min", "max", F.lit("").alias("units")) \
         .write.mode("overwrite").option("header", True).csv(p)
-    raw = spark.read.option("header", True).csv(p)
-    io.require_columns(raw, ["itemid", "feature name"])
-    return raw.select(F.col("itemid"), F.col("`feature name`").alias("feature_name"),
-                      F.col("min").try_cast("double").alias("min_bound"),
-                      F.col("max").try_cast("double").alias("max_bound"))
+    return io.item_dictionary(spark, p)
 
 
 @register("write_stage", A.with_(A.EPISODES) + """

@@ -122,9 +122,9 @@ def q_note_features(spark, d):
     f"bool_or(coalesce(description = '{x}', false)) AS \"has_{x}\"" for x in LANGS) + " FROM dnotes GROUP BY 1")
 def q_has_description(spark, d):
     """N5 on documents (description = language; ``it`` never occurs)."""
-    n = ad.document_notes(spark, d)
-    return n.groupBy("subject_id").agg(
-        *[F.max(F.coalesce(F.col("description") == x, F.lit(False))).alias(f"has_{x}") for x in LANGS])
+    n = ad.document_notes(spark, d).withColumns(
+        {"hours_since_admit": F.lit(None).cast("double"), "charttime": F.lit(None).cast("timestamp_ntz")})
+    return N.note_aggregates(n, [], LANGS).select("subject_id", *[f"has_{x}" for x in LANGS])
 
 
 CLEAN_SQL = r"""regexp_replace(regexp_replace(lower(regexp_replace(coalesce(text, ''), '\[\*\*.*?\*\*\]', ' ', 'g')),

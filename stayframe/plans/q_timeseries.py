@@ -193,9 +193,9 @@ def q_drop_unnamed(spark, d):
     """F0 on the dirty view with dictionary names (unmapped items -> null)."""
     named = M.map_feature_name(ad.dirty_measurements(spark, d), ad.dirty_dictionary(spark), policy="keep")
     rows = X.rejoin_two_keys(named, ad.measurement_episodes(spark, d), 480.0)
-    ok = F.col("feature_name").isNotNull() & F.col("valuenum").isNotNull()
-    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~ok).alias("n_dropped"),
-                    F.count_if(ok).alias("n_kept"))
+    kept = TS.drop_unnamed(rows).agg(F.count(F.lit(1)).alias("n_kept"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(kept).select(
+        "n_rows", (F.col("n_rows") - F.col("n_kept")).alias("n_dropped"), "n_kept")
 
 
 @register("count_per_feature", A.with_(A.MEASUREMENTS, A.MEAS_COHORT, rows_sql(DENSE_H)) + """

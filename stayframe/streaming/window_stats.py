@@ -5,9 +5,10 @@ in practice, so the per-(subject, feature, window) statistics are kept as
 streaming state: a stream-static join to the episode table, the same
 window expression as the batch plan, and mergeable aggregates (count, sum,
 sum of squares, min, max, first/last by time). ``update`` mode emits the
-changed groups each trigger; the sink upserts them. A watermark bounds the
-state: once event time passes an episode's last window plus the allowed
-lateness, its rows are final.
+changed groups each trigger; the sink upserts them. The watermark drops late
+rows only: no grouping key carries event time, so the state keeps one row for
+each (subject, feature, window) seen and grows with the subjects, not with
+the measurements.
 """
 
 from __future__ import annotations
