@@ -342,3 +342,18 @@ def q_score_unseen(spark, d):
         pr = T.predict(model, cal, prep.transform(unseen, ["subject_id"]), ["subject_id"])
         out = out.join(pr.select("subject_id", F.col("y_pred").between(0, 1).alias(f"{label}_in_range")), "subject_id", "left")
     return out
+
+
+@register("block_choice", A.with_(MAT) + """
+SELECT string_agg(letter, '' ORDER BY place) AS code FROM (
+  SELECT DISTINCT CASE WHEN column_name = 'lang' THEN 0 WHEN column_name LIKE 'n\\_%' ESCAPE '\\' THEN 5 ELSE 6 END AS place,
+         CASE WHEN column_name = 'lang' THEN 'd' WHEN column_name LIKE 'n\\_%' ESCAPE '\\' THEN 'n' ELSE 'e' END AS letter
+  FROM (DESCRIBE SELECT * FROM mat)
+  WHERE column_name = 'lang' OR column_name LIKE 'n\\_%' ESCAPE '\\' OR column_name LIKE 'emb\\_%' ESCAPE '\\') t""")
+def q_block_choice(spark, d):
+    """The code of the blocks that the assembled matrix holds, by its
+    column names."""
+    columns = matrix(spark, d).columns
+    include = {"demographics": "lang" in columns, "notes": any(c.startswith("n_") for c in columns),
+               "embeddings": any(c.startswith("emb_") for c in columns)}
+    return spark.createDataFrame([(T.block_choice(include),)], "code string")

@@ -367,3 +367,13 @@ def q_coverage_stats(spark, d):
 def q_ts_features(spark, d):
     """the whole block, 480 h / 4 windows, 5 features x 33 columns."""
     return _block(spark, d, DENSE_H)
+
+
+@register("stable_column_order", f"""SELECT row_number() OVER () - 1 AS position, column_name AS "column"
+FROM (DESCRIBE {_full(SPARSE_H)}) t""")
+def q_stable_column_order(spark, d):
+    """the columns of the time-series block, feature by feature:
+    admission, windows, diffs."""
+    block = _block(spark, d, SPARSE_H)
+    ordered = [c for c in block.columns if c not in TS.feature_columns(FEATURES)] + TS.feature_columns(FEATURES)
+    return spark.createDataFrame([(k, c) for k, c in enumerate(ordered)], "position long, column string")
