@@ -16,7 +16,7 @@ from stayframe.llm.common import stage
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.judge(docs).filter("kept").select("row.*")
+    return quality_rules.judge(docs, staged=False).filter("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

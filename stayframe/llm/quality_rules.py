@@ -137,16 +137,19 @@ def thresholds(sketch: DataFrame, min_rows: int = MIN_GROUP_ROWS) -> DataFrame:
                     .when(F.col("l_rows") >= min_rows, F.col("l_fences")).otherwise(F.col("a_fences")).alias("fences")))
 
 
-def judge(docs: DataFrame, keep: list[str] | None = None, min_rows: int = MIN_GROUP_ROWS) -> DataFrame:
+def judge(docs: DataFrame, keep: list[str] | None = None, min_rows: int = MIN_GROUP_ROWS, staged: bool = True) -> DataFrame:
     """Judge every row of ``docs`` (text, lang, source and any other columns).
 
     Returns row (a struct of the columns ``keep``, by default all), the
     counts, base_failed and kept. The counts are staged with the kept
-    columns, so that the texts are read and counted once. A null text has no words and fails; null lang or
+    columns, so that the texts are read and counted once; ``staged=False``
+    counts them twice and writes nothing, for kept columns that hold texts. A null text has no words and fails; null lang or
     source form groups of their own; repeated rows are judged alike; an
     empty table gives no rows. Columns of ``docs`` may have any names.
     """
-    measured = stage(measure(docs, docs.columns if keep is None else keep), "measures")
+    measured = measure(docs, docs.columns if keep is None else keep)
+    if staged:
+        measured = stage(measured, "measures")
     fences = thresholds(sketches(measured), min_rows).select(
         F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), "fences")
     joined = measured.join(fences, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
