@@ -53,6 +53,8 @@ class Config:
     tuned_weight: bool = True      # Q18: use the tuned positive weight (False: the raw ratio, as the reference)
     vector_size: int = 200
     min_count: int = 5
+    unmapped: str = "warn"         # items without a feature name: "warn" keeps them aside, "raise" stops
+    exclude_errors: bool = False   # Q20: chart rows flagged as errors stay unless asked otherwise
     w2v_model: object = None       # fitted on the training cohort, reused for scoring
 
 
@@ -97,8 +99,8 @@ def blocks_for(cohort: DataFrame, adm: DataFrame, pat: DataFrame, src: Sources,
         if raw is None or not cfg.include.get(block, True):
             continue
         meas = with_row_id(typed(table, raw))
-        ext = X.extract_window(meas, cohort, cfg.window_hours, items=dictionary)
-        clean = M.alias_feature(M.clean_measurements(ext.drop("admittime"), dictionary))
+        ext = X.extract_window(meas, cohort, cfg.window_hours, items=dictionary, exclude_errors=cfg.exclude_errors)
+        clean = M.alias_feature(M.clean_measurements(ext.drop("admittime"), dictionary, policy=cfg.unmapped))
         feats = sorted({r["feature_name"] for r in
                         M.alias_feature(dictionary.select("feature_name")).distinct().collect()})
         blocks.append(TS.ts_features(clean, cohort, feats, wh, cfg.n_windows).drop("admission_id"))

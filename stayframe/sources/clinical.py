@@ -11,6 +11,12 @@ from stayframe.sources.io import scan_typed
 
 TS, INT, STR, DBL, DATE = "timestamp_ntz", "int", "string", "double", "date"
 
+# The source's descriptive prescription columns.
+PRESCRIPTION_DETAILS = ["drug_type", "drug_name_poe", "formulary_drug_cd", "gsn", "ndc", "prod_strength",
+                        "dose_val_rx", "dose_unit_rx", "form_val_disp", "form_unit_disp"]
+# Columns that a source may lack; they are left out then.
+OPTIONAL = {"chartevents": {"error"}, "prescriptions": set(PRESCRIPTION_DETAILS)}
+
 SCHEMAS: dict[str, dict[str, tuple[str, str]]] = {
     "admissions": {
         "subject_id": ("SUBJECT_ID", INT), "admission_id": ("HADM_ID", INT), "admittime": ("ADMITTIME", TS),
@@ -22,13 +28,14 @@ SCHEMAS: dict[str, dict[str, tuple[str, str]]] = {
                  "gender_raw": ("GENDER", STR)},
     "chartevents": {"subject_id": ("SUBJECT_ID", INT), "admission_id": ("HADM_ID", INT), "itemid": ("ITEMID", INT),
                     "charttime": ("CHARTTIME", TS), "valuenum": ("VALUENUM", DBL), "value": ("VALUE", STR),
-                    "valueuom": ("VALUEUOM", STR)},
+                    "valueuom": ("VALUEUOM", STR), "error": ("ERROR", INT)},
     "labevents": {"subject_id": ("SUBJECT_ID", INT), "admission_id": ("HADM_ID", INT), "itemid": ("ITEMID", INT),
                   "charttime": ("CHARTTIME", TS), "valuenum": ("VALUENUM", DBL), "value": ("VALUE", STR),
                   "valueuom": ("VALUEUOM", STR)},
     "prescriptions": {"subject_id": ("SUBJECT_ID", INT), "admission_id": ("HADM_ID", INT),
                       "startdate": ("STARTDATE", TS), "enddate": ("ENDDATE", TS), "drug": ("DRUG", STR),
-                      "drug_name_generic": ("DRUG_NAME_GENERIC", STR), "route": ("ROUTE", STR)},
+                      "drug_name_generic": ("DRUG_NAME_GENERIC", STR), "route": ("ROUTE", STR),
+                      **{c: (c.upper(), STR) for c in PRESCRIPTION_DETAILS}},
     "noteevents": {"subject_id": ("SUBJECT_ID", INT), "admission_id": ("HADM_ID", INT),
                    "charttime": ("CHARTTIME", TS), "chartdate": ("CHARTDATE", DATE), "category": ("CATEGORY", STR),
                    "description": ("DESCRIPTION", STR), "text": ("TEXT", STR), "iserror": ("ISERROR", INT)},
@@ -38,7 +45,8 @@ SCHEMAS: dict[str, dict[str, tuple[str, str]]] = {
 def typed(name: str, df: DataFrame) -> DataFrame:
     """Typed, renamed projection of one source table."""
     have = {c.upper(): c for c in df.columns}
-    schema = {k: (have.get(src.upper(), src), typ) for k, (src, typ) in SCHEMAS[name].items()}
+    schema = {k: (have.get(src.upper(), src), typ) for k, (src, typ) in SCHEMAS[name].items()
+              if src.upper() in have or k not in OPTIONAL.get(name, ())}
     return scan_typed(df, schema)
 
 
