@@ -386,3 +386,32 @@ def test_language_model_scores_each_token_once():
         assert abs(total / math.log(10) - s) < 1e-3
     total = np.exp(model.within)
     assert np.allclose(np.bincount(model.classes, weights=total)[np.unique(model.classes)], 1)
+
+
+def test_language_model_learns_from_every_training_id(spark, monkeypatch):
+    from stayframe.llm import attention
+
+    encoder = piece_encoder(default_path())
+    size, end = len(encoder.ends), len(encoder.ends) - 1
+    rng = np.random.default_rng(5)
+    names = ["".join(rng.choice(list("abcdefghiklmnoprstu"), 6)) for _ in range(3000)]
+    rows = [(0, " ".join(names[:2000]))] + [(k, names[1000 + k]) for k in range(1, 2000)]  # one long, many short
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(attention_lm, "CHUNK_BYTES", 10_000)
+    corpus = attention_lm._read_corpus(frame, default_path(), 8)
+    train = [t for r, t in zip(rows, ids_of(rows, end)) if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    assert len(train[0]) > 1500
+    counts = np.bincount(np.concatenate(train).astype(int), minlength=size)
+    assert (attention_lm._subword_counts(corpus, size) == counts).all()
+    slot, expected = attention.frequent_slots(counts), np.zeros((size, attention.SINGLES + 1))
+    for t in train:
+        np.add.at(expected, (t.astype(int), slot[np.append(end, t[:-1]).astype(int)]), 1)
+    assert (attention_lm._contexts(corpus, counts, end) == expected).all()
+    model = attention_lm._fit(corpus, size, end)
+    first = attention.AttentionModel(counts, model.classes)
+    inputs = np.unique(np.concatenate([t[:-1] for t in train])).astype(int)
+    assert (model.p["E"][inputs] != first.p["E"][inputs]).any(1).all()
+    unseen = np.setdiff1d(np.flatnonzero(counts == 0), [end])
+    assert (model.p["E"][unseen] == first.p["E"][unseen]).all()
+    before, after = (m.log10(np.concatenate(train), np.array([len(t) for t in train]), end).sum() for m in (first, model))
+    assert after > before
