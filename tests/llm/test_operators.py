@@ -142,6 +142,17 @@ def test_weighted_sampling(spark, docs, rows, empty):
     assert weighted_sampling.fingerprint_documents(empty).count() == 0
 
 
+def test_likeness_of_the_default_samples(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").dropDuplicates(["doc_id"])
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    got = {g.doc_id: g.near_edited for g in weighted_sampling.fingerprint_documents(docs).collect()}
+    order, off = sorted(texts, reverse=True), []
+    for k, after in zip(order, order[1:] + order[:1]):
+        third = len(texts[k]) // 3
+        off.append(abs(got[k] - jaccard(bag(texts[k]), bag(texts[k][:len(texts[k]) - third] + texts[after][:third]))))
+    assert np.mean(np.array(off) > 0.15) < 0.06
+
+
 # -- 5 -------------------------------------------------------------------------
 
 def brute_fingerprint(text):
