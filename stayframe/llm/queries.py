@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import attention_lm, bitplane, jump_shard, mixing, packing, quality_mil, quality_rules, simhash, suffix_dedup, weighted_sampling
-from .common import documents
+from . import (attention_lm, bitplane, byte_bpe, jump_shard, mixing, packing, prefix_trie, quality_mil, quality_rules, simhash, suffix_dedup, vector_codes,
+               weighted_sampling)
+from .common import documents, stage
 from .sql import SQL  # noqa: F401  (the entry point reads both)
 
 
@@ -59,4 +60,23 @@ def op10_bitplane_ids(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_attention_mil, op2_soft_mixing, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op8_attention_lm, op9_best_fit_packing, op10_bitplane_ids)}
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_nodes(prefix_trie.conversations(spark, sf_dir))
+
+
+def op12_byte_bpe(spark, sf_dir):
+    decoded = byte_bpe.decode_documents(byte_bpe.encode_documents(documents(spark, sf_dir)))
+    return decoded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.compress(vector_codes.embeddings(spark, sf_dir))
+    rows = stage(coded.select("row.vec_id", "row.label", F.lower(F.hex("codes")).alias("code"), "error"), "codes")
+    by_label = rows.groupBy("label").agg(F.sum("error").alias("label_error"))
+    return rows.join(by_label, rows["label"].eqNullSafe(by_label["label"])).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_attention_mil, op2_soft_mixing, op3_jump_shard, op4_weighted_sampling, op5_simhash_pivots, op6_suffix_repeats, op7_adaptive_rules, op8_attention_lm, op9_best_fit_packing, op10_bitplane_ids,
+                              op11_prefix_trie, op12_byte_bpe, op13_vector_codes)}

@@ -91,4 +91,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND coalesce(passed, false) AS kept
 FROM judged LEFT JOIN verdict USING (row)"""
 
-SQL = {"op3_jump_shard": JUMP_SHARD, "op6_suffix_repeats": SUFFIX_REPEATS, "op7_adaptive_rules": ADAPTIVE_RULES}
+#: Every node of the rebuilt conversations by the digest of its path; sums over
+#: its subtree from the path of each node's smallest member.
+PREFIX_TRIE = r"""
+WITH crc_table AS (SELECT list(list_reduce([i] || range(8), lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+              FROM range(256) r(i)),
+turns AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || '/' || coalesce(role, '') || coalesce(text, '')), length(text)) AS pos
+          FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, count(*) AS n, hex(encode(CAST(c AS VARCHAR))) AS x FROM turns GROUP BY c),
+heads AS (SELECT c, n, xor(list_reduce([4294967295] || list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT)),
+                               lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h FROM ids, crc_table),
+lifted AS (SELECT a.c, a.h, least(coalesce(b.n, 0), a.h) AS m FROM heads a LEFT JOIN heads b ON b.c = a.c - a.c % 100),
+rebuilt AS (SELECT l.c, t.pos AS d, t.role, t.text FROM lifted l JOIN turns t ON t.c = l.c - l.c % 100 AND t.pos <= l.h
+            UNION ALL SELECT l.c, t.pos - l.h + l.m, t.role, t.text FROM lifted l JOIN turns t ON t.c = l.c AND t.pos > l.h),
+paths AS (SELECT c, d, length(text) AS chars, md5(string_agg(md5(length(role) || '/' || role || text), '') OVER (PARTITION BY c ORDER BY d)) AS node FROM rebuilt
+          UNION ALL SELECT c, 0, 0, '' FROM ids),
+steps AS (SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent, d = max(d) OVER (PARTITION BY c) AS ends FROM paths),
+nodes AS (SELECT node, any_value(d) AS depth, any_value(parent) AS parent, any_value(chars) AS chars, min(c) AS c, count(*) AS n,
+                 coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '') AS own FROM steps GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS k FROM nodes WHERE parent IS NOT NULL GROUP BY 1),
+below AS (SELECT s.node, sum((v.n - 1) * v.chars) AS saved, sum(CASE WHEN k.k IS NULL THEN 1 ELSE 0 END) AS leaves
+          FROM nodes v JOIN steps s ON s.c = v.c AND s.d <= v.depth LEFT JOIN kids k ON k.node = v.node GROUP BY s.node)
+SELECT v.c AS conv_id, CAST(v.depth AS BIGINT) AS depth, u.c AS parent_conv_id, v.n AS n_convs, coalesce(k.k, 0) AS n_children,
+       CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(v.own) AS ends_sha256
+FROM nodes v JOIN below b USING (node) LEFT JOIN kids k USING (node) LEFT JOIN nodes u ON u.node = v.parent"""
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Rounds written one after another; distances by component, in whole numbers."""
+    near = """SELECT r, p, min(d * 256 + e) % 256 AS e, min(d * 256 + e) // 256 AS d FROM (
+  SELECT a.r, a.p, b.e, CAST(sum((a.x - b.x) * (a.x - b.x)) AS HUGEINT) AS d FROM cells a JOIN book{k} b ON a.p = b.p AND a.j = b.j GROUP BY 1, 2, 3) z GROUP BY 1, 2"""
+    steps = "".join(f"""near{k} AS MATERIALIZED ({near.format(k=k)}),
+mean{k} AS (SELECT n.p, n.e, c.j, CAST(sum(c.x) AS BIGINT) AS s, count(*) AS n FROM near{k} n JOIN cells c ON n.r = c.r AND n.p = c.p GROUP BY 1, 2, 3),
+book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, b.j, CASE WHEN m.n IS NULL THEN b.x ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS x
+  FROM book{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.e = m.e AND b.j = m.j),
+""" for k in range(rounds))
+    return f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ranked AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS r FROM kept),
+flat AS (SELECT r, unnest(v) AS x, unnest(range(len(v))) AS i, len(v) // {parts} AS w FROM ranked),
+cells AS MATERIALIZED (SELECT r, x, i // w AS p, i % w AS j FROM flat),
+book0 AS MATERIALIZED (SELECT p, r AS e, j, x FROM cells WHERE r < {entries}),
+{steps}last AS (SELECT r, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM ({near.format(k=rounds)}) z GROUP BY r)
+SELECT v.vec_id, l.code, l.error, CAST(sum(l.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, j)) FROM book{rounds}) AS codebooks_sha256
+FROM ranked v JOIN last l USING (r)"""
+
+
+SQL = {"op3_jump_shard": JUMP_SHARD, "op6_suffix_repeats": SUFFIX_REPEATS, "op7_adaptive_rules": ADAPTIVE_RULES, "op11_prefix_trie": PREFIX_TRIE, "op13_vector_codes": _vector_codes()}
