@@ -1,13 +1,18 @@
-"""Risk model per outcome (T1-T9): boosted trees trained as Spark jobs,
-isotonic calibration, importance, persistence, scoring."""
+"""Risk model per outcome (T1-T9): boosted trees trained as Spark jobs and
+stopped by the validation rows' average precision, isotonic calibration,
+importance, persistence, scoring."""
 
 from __future__ import annotations
 
 import itertools
 import json
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -16,6 +21,7 @@ from pyspark.sql import functions as F
 
 from stayframe.operators.evaluate import average_precision
 from stayframe.operators.prepare import PreparedModel
+from stayframe.session import checkpoint_dir
 
 # Fixed values that must equal the reference: tuned settings per target.
 # ``scale_pos_weight`` multiplies the train-set negative/positive ratio.
@@ -26,51 +32,194 @@ BEST_PARAMS = {
     "readmission": dict(max_depth=3, learning_rate=0.2, min_child_weight=5, subsample=1.0, colsample=0.8,
                         spw_factor=2.0),
 }
-# Boosting stops when the validation error no longer falls, at the latest here.
-MAX_ROUNDS = 4000
-# The grid's last axis multiplies the train-set class weight of the target.
+# Boosting ends here at the latest, or when this many rounds brought no better
+# validation average precision.
+MAX_ROUNDS, PATIENCE = 4000, 100
+# The grid's last axis multiplies the train-set class weight; its values differ by target.
+WEIGHT_FACTORS = {"mortality": [0.5, 1.0, 1.5], "prolonged_stay": [0.75, 1.0, 1.25], "readmission": [0.5, 1.0, 2.0]}
 GRID = {"max_depth": [3, 5, 7], "learning_rate": [0.03, 0.10, 0.20], "min_child_weight": [1, 5, 10],
-        "subsample": [0.6, 0.8, 1.0], "colsample": [0.6, 0.8, 1.0], "spw_factor": [0.5, 1.0, 2.0]}
+        "subsample": [0.6, 0.8, 1.0], "colsample": [0.6, 0.8, 1.0]}
 BLOCK_CODES = "dvlgpne"  # demographics vitals labs gcs prescriptions notes embeddings
 
 
 def with_weights(df: DataFrame, label: str, spw: float) -> DataFrame:
-    """Positive rows weighted by ``spw``; validation rows flagged."""
-    return (df.withColumn("weight", F.when(F.col(label).cast("int") == 1, F.lit(float(spw))).otherwise(F.lit(1.0)))
-            .withColumn("is_val", F.col("split") == "val"))
-
-
-def train_classifier(train_val: DataFrame, label: str, params: dict, spw: float, max_iter: int = MAX_ROUNDS,
-                     seed: int = 1407) -> GBTClassificationModel:
-    """GBT with class weights, early stopping on the validation rows.
-    (No L1/L2 terms exist in Spark's GBT; ``min_child_weight`` maps to the
-    minimum instances per node.)"""
-    d = with_weights(train_val.where(F.col("split").isin("train", "val")), label, spw)
-    gbt = GBTClassifier(featuresCol="features", labelCol="y", weightCol="weight", validationIndicatorCol="is_val",
-                        maxIter=max_iter, stepSize=params["learning_rate"], maxDepth=params["max_depth"],
-                        subsamplingRate=params["subsample"], featureSubsetStrategy=str(params["colsample"]),
+    """Positive rows weighted by ``spw``."""
+    return df.withColumn("weight", F.when(F.col(label).cast("int") == 1, F.lit(float(spw))).otherwise(F.lit(1.0)))
+
+
+def grid_for(target: str) -> dict:
+    """The full grid of a target: the shared axes and its own weight factors."""
+    return {**GRID, "spw_factor": WEIGHT_FACTORS[target]}
+
+
+@dataclass
+class Trees:
+    """An ensemble as flat arrays: node k goes to ``left[k]`` if its feature is
+    at most ``threshold[k]``, else to ``right[k]``; a leaf (feature -1) has
+    ``value[k]``. ``root`` and ``weight`` are by tree. The size is bounded by
+    rounds x 2^(depth + 1) nodes."""
+    root: np.ndarray
+    weight: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+
+    def outputs(self, x: np.ndarray) -> np.ndarray:
+        """Weighted output of every tree (columns) for every row of ``x``."""
+        at = np.tile(self.root, (len(x), 1))
+        rows = np.arange(len(x))[:, None]
+        while True:
+            f = self.feature[at]
+            inner = f >= 0
+            if not inner.any():
+                return self.value[at] * self.weight
+            left = x[rows, np.maximum(f, 0)] <= self.threshold[at]
+            at = np.where(inner, np.where(left, self.left[at], self.right[at]), at)
+
+
+def _session() -> SparkSession:
+    """The session, also in a thread that has none of its own."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
+def node_table(model: GBTClassificationModel) -> DataFrame:
+    """The ensemble's nodes as a table: tree, node, feature (null in a leaf),
+    threshold, left, right, value, gain (fall of the impurity by the split),
+    weight (summed row weights in the node)."""
+    spark = _session()
+    path = f"{checkpoint_dir(spark)}/nodes-{uuid.uuid4().hex}"
+    model.write().save(path)
+    n = F.col("nodeData")
+    split = n["leftChild"] >= 0
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), F.when(split, n["split"]["featureIndex"]).alias("feature"),
+        F.when(split, n["split"]["leftCategoriesOrThreshold"][0]).alias("threshold"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+        n["prediction"].alias("value"), F.when(split, n["gain"]).alias("gain"), n["impurityStats"][0].alias("weight"))
+
+
+def flat_trees(nodes: DataFrame, weights: list[float], first: int = 0) -> Trees:
+    """``node_table`` rows of the trees from ``first`` on as arrays."""
+    rows = nodes.where(F.col("tree") >= first).select("tree", "node", "feature", "threshold", "left", "right", "value").orderBy("tree", "node").toPandas()
+    tree = rows["tree"].to_numpy()
+    start = np.searchsorted(tree, np.arange(first, len(weights)))
+    base = start[tree - first] if len(tree) else tree
+    leaf = rows["feature"].isna().to_numpy()
+    child = {c: np.where(leaf, 0, base + rows[c].to_numpy()).astype(np.int64) for c in ("left", "right")}
+    return Trees(start.astype(np.int64), np.array(weights[first:], float), rows["feature"].fillna(-1).to_numpy().astype(np.int64),
+                 rows["threshold"].fillna(0.0).to_numpy().astype(float), child["left"], child["right"], rows["value"].to_numpy().astype(float))
+
+
+def staged_margins(rows: DataFrame, trees: Trees, features: str = "features", y_true: str = "y_true", base: str | None = None) -> DataFrame:
+    """(round, y_true, y_pred): the margin of every row after each tree, from
+    one pass over the rows (running sums over the trees). ``base`` names a
+    column with the margin before the first of these trees; rounds count the
+    given trees from 1."""
+    n = len(trees.root)
+    size = max(1, (1 << 18) // max(1, n))
+
+    def score(batches):
+        for batch in batches:
+            x = np.array(batch.column(0).flatten().to_numpy(zero_copy_only=False), float).reshape(batch.num_rows, -1)
+            y, start = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
+            for k in range(0, len(x), size):
+                margin = start[k:k + size, None] + np.cumsum(trees.outputs(x[k:k + size]), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(1, n + 1, dtype=np.int32), len(margin))), pa.array(np.repeat(y[k:k + size], n)),
+                     pa.array(margin.reshape(-1))], names=["round", "y_true", "y_pred"])
+
+    x = vector_to_array(features) if dict(rows.dtypes)[features] == "vector" else F.col(features)
+    start = F.col(base).cast("double") if base else F.lit(0.0)
+    return rows.select(x.alias("x"), F.col(y_true).cast("int").alias("y"), start.alias("start")).mapInArrow(score, "round int, y_true int, y_pred double")
+
+
+def staged_average_precision(rows: DataFrame, trees: Trees, features: str = "features", y_true: str = "y_true") -> DataFrame:
+    """(round, count, average_precision) after each tree: E2 keyed by the round."""
+    return average_precision(staged_margins(rows, trees, features, y_true), ["round"])
+
+
+def best_round(scores: list[float | None], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The round (from 1) with the best score so far when ``patience`` rounds
+    have passed without a better one, and whether that happened. Rounds
+    without a score (one class only) are no better than any other."""
+    best, at = -1.0, 1
+    for k, s in enumerate(scores, 1):
+        if s is not None and s > best:
+            best, at = s, k
+        if k - at >= patience:
+            return at, True
+    return at, False
+
+
+def truncated(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` trees."""
+    sc = _session().sparkContext
+    jvm, java = sc._jvm, model._java_obj
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = sc._gateway.new_array(jvm.double, rounds)
+    for k, (tree, weight) in enumerate(zip(list(java.trees())[:rounds], model.treeWeights)):
+        trees[k], weights[k] = tree, float(weight)
+    short = jvm.org.apache.spark.ml.classification.GBTClassificationModel(java.uid(), trees, weights, model.numFeatures, model.numClasses)
+    out = GBTClassificationModel(java.copyValues(short, jvm.org.apache.spark.ml.param.ParamMap()))
+    out._resetUid(java.uid())
+    return model._copyValues(out)
+
+
+def boost(train: DataFrame, label: str, params: dict, spw: float, rounds: int, seed: int = 1407) -> GBTClassificationModel:
+    """``rounds`` boosting rounds on the training rows. (No L1/L2 terms exist in
+    Spark's boosted trees; ``min_child_weight`` maps to the minimum instances
+    of a node.)"""
+    gbt = GBTClassifier(featuresCol="features", labelCol="y", weightCol="weight", maxIter=rounds, stepSize=params["learning_rate"],
+                        maxDepth=params["max_depth"], subsamplingRate=params["subsample"], featureSubsetStrategy=str(params["colsample"]),
                         minInstancesPerNode=int(params["min_child_weight"]), seed=seed, maxBins=64)
-    return gbt.fit(d.withColumn("y", F.col(label).cast("double")))
+    return gbt.fit(with_weights(train, label, spw).withColumn("y", F.col(label).cast("double")))
+
+
+def train_classifier(train_val: DataFrame, label: str, params: dict, spw: float, max_iter: int = MAX_ROUNDS, seed: int = 1407,
+                     patience: int = PATIENCE) -> GBTClassificationModel:
+    """Boosted trees with class weights, kept up to the round with the
+    best average precision on the validation rows once ``patience`` rounds
+    brought no better one (``max_iter`` rounds at most).
+
+    Spark grows an ensemble in one fit and cannot go on from one. So the fit
+    is repeated with twice the rounds until the stop lies within it: the same
+    seed gives the same first trees, and all fits together cost at most about
+    twice the last. Every fit's rounds are scored in one pass over the
+    validation rows (``staged_average_precision``); only one number for each
+    round reaches the driver."""
+    rows = train_val.where(F.col("split").isin("train", "val"))
+    val = rows.where(F.col("split") == "val").select("features", F.col(label).alias("y_true"))
+    rounds = min(max_iter, patience + max(8, patience // 4))
+    while True:
+        model = boost(rows.where(F.col("split") == "train"), label, params, spw, rounds, seed)
+        trees = flat_trees(node_table(model), list(model.treeWeights))
+        found = {r["round"]: r["average_precision"] for r in staged_average_precision(val, trees).collect()}
+        at, stopped = best_round([found.get(k) for k in range(1, len(trees.root) + 1)], patience)
+        if stopped or rounds >= max_iter or len(trees.root) < rounds:
+            return truncated(model, at)
+        rounds = min(max_iter, 2 * rounds)
 
 
 def positive_probability(model, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("p_raw", vector_to_array("probability")[1])
 
 
-def grid_search(train_val: DataFrame, label: str, spw: float, grid: dict | None = None, max_iter: int = MAX_ROUNDS,
-                threads: int = 4) -> tuple[dict, DataFrame]:
+def grid_search(train_val: DataFrame, label: str, spw: float, grid: dict | list[dict] | None = None, max_iter: int = MAX_ROUNDS,
+                threads: int = 4, patience: int = PATIENCE, target: str | None = None) -> tuple[dict, DataFrame]:
     """Every setting of the grid trained on train, scored by validation
-    AP (E2). Settings run ``threads`` at a time; every fit and score is a
-    Spark job. ``spw`` is the class weight that ``spw_factor`` multiplies.
-    (Spark's boosted trees have no regularisation terms to search.)
-    Returns the best setting and the (setting, AP) table."""
-    grid = grid or GRID
-    keys = list(grid)
-    combos = [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k] for k in keys])]
+    AP (E2). ``grid`` maps axes to values (every combination is tried) or
+    lists the settings; the default is the full grid of ``target``. Settings
+    run ``threads`` at a time; every fit and score is a Spark job. ``spw`` is
+    the class weight that ``spw_factor`` multiplies. (Spark's boosted trees
+    have no regularisation terms to search.) Returns the best setting, the
+    first of equals, and the (setting, AP) table."""
+    grid = grid or grid_for(target or label)
+    combos = grid if isinstance(grid, list) else [dict(zip(grid, vals)) for vals in itertools.product(*grid.values())]
     spark = train_val.sparkSession
 
     def one(c):
-        m = train_classifier(train_val, label, c, spw * c.get("spw_factor", 1.0), max_iter)
+        m = train_classifier(train_val, label, c, spw * c.get("spw_factor", 1.0), max_iter, patience=patience)
         val = positive_probability(m, train_val.where(F.col("split") == "val"))
         ap = average_precision(val.select(F.col(label).cast("int").alias("y_true"),
                                           F.col("p_raw").alias("y_pred"))).first()["average_precision"]
@@ -99,13 +248,20 @@ def predict(model, calibrator: IsotonicRegressionModel | None, df: DataFrame, ke
     return s.select(*keep, F.col("p_raw").alias("y_pred"))
 
 
+def gain_by_feature(nodes: DataFrame) -> DataFrame:
+    """(feature, gain, n_splits): the mean over the feature's splits of the loss
+    that each one removes (impurity fall x row weight of the node)."""
+    split = nodes.where(F.col("feature").isNotNull())
+    return split.groupBy("feature").agg(F.avg(F.col("gain") * F.col("weight")).alias("gain"), F.count(F.lit(1)).alias("n_splits"))
+
+
 def feature_importance(model, names: list[str], top: int = 30) -> DataFrame:
-    """T5: per-feature importance (Spark's gain-based average), top-k."""
-    imp = model.featureImportances.toArray().tolist()
-    spark = SparkSession.getActiveSession()
-    rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(imp) if v > 0]
-    df = spark.createDataFrame(rows, "feature string, gain double")
-    return df.orderBy(F.desc("gain"), "feature").limit(top)
+    """T5: (feature, gain) of the ``top`` features by mean gain of a split, from
+    the ensemble's nodes. Not normalised, so it does not depend on the others."""
+    found = gain_by_feature(node_table(model))
+    name = F.coalesce(F.element_at(F.array(*[F.lit(n) for n in names]), F.when(F.col("feature") < len(names), F.col("feature") + 1)),
+                      F.concat(F.lit("f"), F.col("feature").cast("string")))
+    return found.select(name.alias("feature"), "gain").orderBy(F.desc("gain"), "feature").limit(top)
 
 
 def save_bundle(path: str, prep: PreparedModel, model, calibrator, meta: dict) -> None:

@@ -165,9 +165,10 @@ class PreparedModel:
         keep = [k for k in (keep or []) if k in df.columns]
         exprs = self.expressions()
         safe = [f"__f{i}" for i in range(len(exprs))]
-        wide = df.select(*[F.col(k) for k in keep], *[e.alias(n) for e, n in zip(exprs, safe)])
+        kept = [F.col(f"`{k}`") for k in keep]
+        wide = df.select(*kept, *[e.alias(n) for e, n in zip(exprs, safe)])
         assembler = VectorAssembler(inputCols=safe, outputCol=output, handleInvalid="keep")
-        return assembler.transform(wide).select(*keep, output)
+        return assembler.transform(wide).select(*kept, output)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))

@@ -49,6 +49,7 @@ class Config:
     window_hours: float = 48.0
     n_windows: int = 4
     max_iter: int = T.MAX_ROUNDS
+    patience: int = T.PATIENCE     # rounds without a better validation average precision before boosting stops
     embeddings: bool = False
     tuned_weight: bool = True      # Q18: use the tuned positive weight (False: the raw ratio, as the reference)
     vector_size: int = 200
@@ -168,7 +169,7 @@ def train_targets(matrix: DataFrame, cfg: Config, targets=None) -> dict:
         spw = B.class_weight(s, target).first()["scale_pos_weight"]
         params = T.BEST_PARAMS[target]
         weight = spw * params["spw_factor"] if cfg.tuned_weight else spw
-        model = T.train_classifier(x, target, params, weight, cfg.max_iter)
+        model = T.train_classifier(x, target, params, weight, cfg.max_iter, patience=cfg.patience)
         cal = T.calibrate_isotonic(T.positive_probability(model, x.where(F.col("split") == "val")), target)
         out[target] = (prep, model, cal)
     return out
@@ -179,8 +180,8 @@ def score_unseen(ids: DataFrame, src: Sources, cfg: Config, bundles: dict) -> Da
     (subject_id, mortality_proba, prolonged_LOS_proba, readmission_proba)."""
     cohort, adm, pat = cohort_for(ids, src)
     feats = materialize(AS.assemble_features(blocks_for(cohort, adm, pat, src, cfg, cfg.w2v_model)))
-    out = feats.select("subject_id")
-    for target, (prep, model, cal) in bundles.items():
-        pr = T.predict(model, cal, prep.transform(feats, ["subject_id"]), ["subject_id"])
-        out = out.join(pr.withColumnRenamed("y_pred", TARGETS[target]), "subject_id", "left")
-    return out
+    out = feats
+    for target, (prep, model, cal) in bundles.items():  # one projection after another of the same rows, no joins
+        kept = [F.col(f"`{c}`") for c in out.columns]
+        out = T.predict(model, cal, prep.transform(out, out.columns), kept).withColumnRenamed("y_pred", TARGETS[target])
+    return out.select("subject_id", *[TARGETS[t] for t in bundles])

@@ -156,14 +156,15 @@ def q_impute_zero(spark, d):
     return prep.transform_columns(s, ["subject_id"]).select("subject_id", "n_chars", "n_lines", "has_digits")
 
 
-@register("save_bundle", None)
+@register("save_bundle", A.with_(*BASE) + "SELECT subject_id, true AS same FROM sp WHERE split = 'test'")
 def q_save_bundle(spark, d):
     """Preparation, model and calibrator saved to the checkpoint dir,
-    loaded back, and used to score the test split."""
+    loaded back; whether both score a row of the test split alike."""
     from stayframe.operators import model as T
-    from stayframe.plans.q_model import _fit
-    _, prep, x, model, cal = _fit(spark, d)
+    from stayframe.plans.q_model import _saved
+    x, prep, model, cal = _saved(spark, d)
     p = _path(spark, "bundle")
     T.save_bundle(p, prep, model, cal, {"target": "quality", "blocks": "ne"})
     prep2, model2, cal2, _ = T.load_bundle(p)
-    return T.predict(model2, cal2, x.where(F.col("split") == "test"), ["subject_id"])
+    both = T.predict(model, cal, x.where(F.col("split") == "test"), ["subject_id", "features"]).withColumnRenamed("y_pred", "before")
+    return T.predict(model2, cal2, both, ["subject_id", "before"]).select("subject_id", (F.col("y_pred") == F.col("before")).alias("same"))
