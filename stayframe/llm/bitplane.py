@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_path, stage, text_of
+from .common import frugal, shared_path, stage, text_of
 from .tokens import default_path, piece_encoder
 
 MAGIC, FOOTER = b"BITPLN01", struct.Struct("<qqqqqII")
@@ -183,9 +183,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str | None = None, e
              pa.array([len(m[2].docs) for m in made], pa.int64()), pa.array([m[2].n_ids for m in made], pa.int64())],
             names=["part", "file", "n_docs", "n_ids"])
 
-    encoded = rows.mapInArrow(encode, "part int, doc_id long, blob binary")
+    encoded = rows.mapInArrow(frugal(encode), "part int, doc_id long, blob binary")
     ordered = encoded.repartitionById(files, F.col("part")).sortWithinPartitions("part", "doc_id", "blob")
-    return stage(ordered.mapInArrow(write, _MANIFEST), "manifest")
+    return stage(ordered.mapInArrow(frugal(write), _MANIFEST), "manifest")
 
 
 def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
@@ -211,7 +211,7 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                     yield _documents(out)
 
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.repartitionById(n, F.pmod("part", F.lit(n))).mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
+    return files.repartitionById(n, F.pmod("part", F.lit(n))).mapInArrow(frugal(read), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def _documents(rows: list[tuple]) -> pa.RecordBatch:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import stage, text_of
+from .common import frugal, stage, text_of
 
 #: Code points of a chunk, of the overlap with the next one, and those before
 #: the end of a run in which its boundaries may still be wrong.
@@ -119,7 +119,7 @@ def _chunks(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
                         [pa.array([doc] * len(own), pa.string()), pa.array(list(own), pa.int64()), pa.array([n] * len(own), pa.int64()),
                          pa.array([text[i * chunk:(i + 1) * chunk + overlap] for i in own], pa.string())], names=["doc", "k", "n", "part"])
 
-    return rows.mapInArrow(cut, "doc string, k long, n long, part string")
+    return rows.mapInArrow(frugal(cut), "doc string, k long, n long, part string")
 
 
 def _edges(chunks: DataFrame, chunk: int, overlap: int, path: str, pattern: str) -> DataFrame:
@@ -137,7 +137,7 @@ def _edges(chunks: DataFrame, chunk: int, overlap: int, path: str, pattern: str)
             yield pa.RecordBatch.from_arrays([doc, pa.array(ks, pa.int64()), pa.array(lefts, kind), pa.array(rights, kind)],
                                              names=["doc", "k", "left", "right"])
 
-    return chunks.mapInArrow(find, "doc string, k long, left array<long>, right array<long>")
+    return chunks.mapInArrow(frugal(find), "doc string, k long, left array<long>, right array<long>")
 
 
 def _stitched(edges: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def _encode_chunks(chunks: DataFrame, spans: DataFrame, chunk: int, path: str, p
                                              names=["doc", "k", "ids", "text"])
 
     joined = chunks.join(spans, ["doc", "k"]).select("doc", "k", "part", "start", "stop", "loose", "open")
-    return joined.mapInArrow(encode, "doc string, k long, ids binary, text string")
+    return joined.mapInArrow(frugal(encode), "doc string, k long, ids binary, text string")
 
 
 def _encode_long(rows: DataFrame, chunk: int, overlap: int, path: str, pattern: str) -> DataFrame:
@@ -198,7 +198,7 @@ def _encode_long(rows: DataFrame, chunk: int, overlap: int, path: str, pattern:
             yield pa.RecordBatch.from_arrays([pa.array([doc], pa.string()), pa.array([b"".join(out)], pa.binary())], names=["doc", "ids"])
 
     parts = _encode_chunks(chunks, spans, chunk, path, pattern)
-    return parts.repartition(n, "doc").sortWithinPartitions("doc", "k").mapInArrow(assemble, "doc string, ids binary")
+    return parts.repartition(n, "doc").sortWithinPartitions("doc", "k").mapInArrow(frugal(assemble), "doc string, ids binary")
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | None = None, chunk: int = CHUNK,
@@ -233,7 +233,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str | No
             yield pa.RecordBatch.from_arrays([keys.slice(at, len(out)), pa.array(out, pa.binary())], names=["doc_id", "ids"])
 
     long = F.length("text") > chunk
-    short = rows.filter(~long).mapInArrow(whole, "doc_id long, ids binary")
+    short = rows.filter(~long).mapInArrow(frugal(whole), "doc_id long, ids binary")
     many = rows.filter(long).withColumn("doc", F.sha2("text", 256))
     distinct = many.groupBy("doc").agg(F.first("text").alias("text"))
     made = _encode_long(distinct, chunk, overlap, path, pattern)
@@ -255,4 +255,4 @@ def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str |
                 raw = pa.array([coder.decode(x.as_py()) if x.is_valid else None for x in part.column(at)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, raw], names=[*part.schema.names, "decoded"])
 
-    return encoded.mapInArrow(decode, schema)
+    return encoded.mapInArrow(frugal(decode), schema)

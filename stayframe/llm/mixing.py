@@ -2,9 +2,9 @@
 
 A classifier fitted on the labelled table gives every document a posterior
 over domains. A document's rate is the expected number of its copies in the
-mix; projected-gradient least squares moves the rates, from 1 each and inside
-[0, max_rate], until the expected token totals of the domains match the
-targets. Documents with one posterior share one rate, so the gradient steps
+mix; projected-gradient least squares moves the rates, from 1 each and kept
+nonnegative (and below ``max_rate``, where one is given), until the expected
+token totals of the domains match the targets. Documents with one posterior share one rate, so the gradient steps
 run on the tokens of rounded posteriors (at most a few ten thousand cells),
 and a document replays the steps to its rate.
 """
@@ -19,16 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import passages
-from .common import stage, text_of
+from .common import frugal, quoted, stage, text_of, trim
 from .quality_mil import SAMPLE
 
 DOMAINS = ("clean", "low", "toxic")
 #: Target shares of the mix's tokens; the mix is as large as the first domain allows at rate 1.
 WEIGHTS = (0.96, 0.03, 0.01)
-MAX_RATE = 1.0
+#: The bound of rates where documents may be left out but not repeated.
+ONCE = 1.0
 #: Hashed words, training passes, steps of a posterior, and of the gradient.
 BINS, EPOCHS, RATE, SEED = 1 << 15, 8, 0.2, 9
-LEVELS, MAX_STEPS, TOLERANCE = 256, 60, 1e-4
+LEVELS, MAX_STEPS, TOLERANCE, PATIENCE = 256, 1000, 1e-4, 40
 
 
 class DomainClassifier:
@@ -110,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DomainClass
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     rows = (texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")  # at most ``sample`` ids
-            .mapInArrow(encode, "doc_id long, y int, x binary, bins binary").dropDuplicates(["doc_id"]).collect())
+            .mapInArrow(frugal(encode), "doc_id long, y int, x binary, bins binary").dropDuplicates(["doc_id"]).collect())
     rows.sort(key=lambda r: r["doc_id"])
     x = np.array([np.frombuffer(r["x"], "<f4") for r in rows]).reshape(-1, passages.SIZE)
     return DomainClassifier().fit(x, [np.frombuffer(r["bins"], "<u2").astype(np.int64) for r in rows], np.array([r["y"] for r in rows], np.int64))
@@ -128,13 +129,14 @@ def posteriors(docs: DataFrame, model: DomainClassifier) -> DataFrame:
             p = np.round(model.posterior(x, doc, bins) * LEVELS) / LEVELS
             ps += list(p / p.sum(1, keepdims=True))
             tokens += n_words.tolist()
+        trim()
         return pd.DataFrame({"tokens": tokens, "p": ps})
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")
     return docs.select(row, of(text_of()).alias("m")).select("row", "m.tokens", "m.p")
 
 
-def replay(p: Column, steps: list[tuple], size: float, max_rate: float) -> Column:
+def replay(p: Column, steps: list[tuple], size: float, max_rate: float | None) -> Column:
     """The rate and the look-ahead rate of a posterior after the gradient
     steps; a step is (residual of each domain..., momentum)."""
     start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
@@ -143,14 +145,18 @@ def replay(p: Column, steps: list[tuple], size: float, max_rate: float) -> Colum
 
     def move(s, step):
         slope = reduce(lambda a, b: a + b, [F.get(p, F.lit(k)) * F.get(step, F.lit(k)) for k in range(len(DOMAINS))])
-        rate = F.least(F.greatest(s["ahead"] - F.lit(size) * slope, F.lit(0.0)), F.lit(max_rate))
+        rate = F.least(F.greatest(s["ahead"] - F.lit(size) * slope, F.lit(0.0)), F.lit(_bound(max_rate)))
         return F.transform(F.array(rate), lambda r: F.struct(
             r.alias("rate"), (r + F.get(step, F.lit(len(DOMAINS))) * (r - s["rate"])).alias("ahead")))[0]
 
     return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in step]) for step in steps]), start, move)
 
 
-def _totals(cells: DataFrame, steps: list[tuple], size: float, max_rate: float) -> tuple[np.ndarray, np.ndarray]:
+def _bound(max_rate: float | None) -> float:
+    return float("inf") if max_rate is None else float(max_rate)
+
+
+def _totals(cells: DataFrame, steps: list[tuple], size: float, max_rate: float | None) -> tuple[np.ndarray, np.ndarray]:
     """Expected tokens of the domains at the rates and at the look-ahead."""
     d = len(DOMAINS)
 
@@ -160,20 +166,26 @@ def _totals(cells: DataFrame, steps: list[tuple], size: float, max_rate: float)
             tokens = batch.column(1).to_numpy()
             rate = ahead = np.ones(len(p))
             for *off, momentum in steps:
-                new = np.clip(ahead - size * (p @ np.array(off)), 0, max_rate)
+                new = np.clip(ahead - size * (p @ np.array(off)), 0, _bound(max_rate))
                 rate, ahead = new, new + momentum * (new - rate)
             sums = np.concatenate([(p * (tokens * x)[:, None]).sum(0) for x in (rate, ahead)])
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums.tolist()], names=[f"s{k}" for k in range(2 * d)])
 
     names = [f"s{k}" for k in range(2 * d)]
-    found = cells.select("p", "tokens").mapInArrow(run, ", ".join(f"{n} double" for n in names)).agg(*[F.sum(n) for n in names]).first()
+    found = cells.select("p", "tokens").mapInArrow(frugal(run), ", ".join(f"{n} double" for n in names)).agg(*[F.sum(n) for n in names]).first()
     return np.array(found[:d]), np.array(found[d:])
 
 
-def fit_rates(cells: DataFrame, weights=WEIGHTS, max_rate: float = MAX_RATE):
-    """cells (p, tokens): the gradient steps (with momentum) and their size
-    that bring the expected domain totals to the targets, in least squares
-    where they are out of reach. Only sums over domains reach the driver."""
+def fit_rates(cells: DataFrame, weights=WEIGHTS, max_rate: float | None = None):
+    """cells (p, tokens): the gradient steps (with momentum, restarted when the
+    residual grows) and their size. Only sums over domains reach the driver.
+
+    Without ``max_rate`` the residual is measured through the inverse Gram
+    matrix of the posteriors, so that scarce domains move as fast as common
+    ones; steps go on until every total is within ``TOLERANCE`` of its target
+    (as a share of all tokens). With a bound, or where no nonnegative rates
+    reach the targets, they end at the least-squares totals, when
+    ``PATIENCE`` steps brought no nearer ones."""
     d = range(len(DOMAINS))
     p = lambda k: F.get(F.col("p"), F.lit(k))
     total = cells.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * p(k)).alias(f"m{k}") for k in d],
@@ -183,18 +195,23 @@ def fit_rates(cells: DataFrame, weights=WEIGHTS, max_rate: float = MAX_RATE):
     mass = np.array([total[f"m{k}"] for k in d]) / total["n"]
     gram = np.array([[total[f"g{a}{b}"] for b in d] for a in d]) / total["n"]
     goal = np.array(weights) / weights[0] * mass[0]
-    size, steps, t, last = 1 / np.linalg.eigvalsh(gram)[-1], [], 1.0, mass
-    while len(steps) < MAX_STEPS:
-        at_rate, at_ahead = (x / total["n"] for x in _totals(cells, steps, size, max_rate))
-        if steps and (np.abs(at_rate - goal).max() < TOLERANCE or np.abs(at_rate - last).max() < TOLERANCE / 10):
+    scale = np.linalg.pinv(gram, rcond=1e-9) if max_rate is None else np.eye(len(DOMAINS)) / np.linalg.eigvalsh(gram)[-1]
+    steps, t, last, nearest, since = [], 1.0, np.inf, np.inf, 0
+    while len(steps) < MAX_STEPS and since < PATIENCE:
+        at_rate, at_ahead = (x / total["n"] for x in _totals(cells, steps, 1.0, max_rate))
+        off = at_rate - goal
+        loss = float(off @ scale @ off)
+        if np.abs(off).max() < TOLERANCE:
             break
+        nearest, since = (loss, 0) if loss < nearest * (1 - 1e-3) else (nearest, since + 1)
+        t = 1.0 if loss > last else t
         t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        steps.append((*(at_ahead - goal), (t - 1) / t_next))
-        t, last = t_next, at_rate
-    return steps, size
+        steps.append((*(scale @ (at_ahead - goal)), (t - 1) / t_next))
+        t, last = t_next, loss
+    return steps, 1.0
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights=WEIGHTS, max_rate: float = MAX_RATE) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, weights=WEIGHTS, max_rate: float | None = None) -> DataFrame:
     """Rates that bring ``docs`` (doc_id, text, any other columns) to the
     target weights.
 

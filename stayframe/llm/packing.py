@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import frugal, text_of
 from .tokens import default_path, piece_encoder
 
 CAPACITY, END_ID, OPEN_BINS = 2048, 0, 512
@@ -86,7 +86,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, capacity:
             if waiting:
                 yield _placed(waiting, bins, capacity, first)
 
-    return docs.select(F.col("doc_id").cast("long"), text_of()).mapInArrow(run, _SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), text_of()).mapInArrow(frugal(run), _SCHEMA)
 
 
 def _placed(waiting: list[tuple], bins: BestFit, capacity: int, first: int) -> pa.RecordBatch:

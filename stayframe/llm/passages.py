@@ -11,7 +11,7 @@ import numpy as np
 WORDS, TRIGRAM_BINS, SHARES = 64, 248, 8
 SIZE = TRIGRAM_BINS + SHARES
 #: Bytes of text that one step of numpy works on; a longer text is a step by itself.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import passages
-from .common import text_of
+from .common import frugal, text_of
 
 #: The bound on labelled documents that the model is fitted on.
 SAMPLE = 4000
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     rows = (texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")  # at most ``sample`` ids
-            .mapInArrow(encode, "doc_id long, y int, bag binary").dropDuplicates(["doc_id"]).collect())
+            .mapInArrow(frugal(encode), "doc_id long, y int, bag binary").dropDuplicates(["doc_id"]).collect())
     rows.sort(key=lambda r: r["doc_id"])
     bags = [np.frombuffer(r["bag"], np.float16).reshape(-1, passages.SIZE).astype(np.float32) for r in rows]
     return AttentionMIL().fit(bags, np.array([float(r["y"] > 0) for r in rows], np.float32))

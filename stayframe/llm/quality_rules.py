@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, stage, text_of
+from .common import quoted, SPACE, stage, text_of
 
 #: Fixed values of the base rules.
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
@@ -95,7 +95,7 @@ def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
     """One pass over the texts: a row struct of the columns to keep, the
     group, the counts and the rule values."""
     counted = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("lang").cast("string").alias("lang"),
+        F.struct(*[F.col(quoted(c)) for c in keep]).alias("row"), F.col("lang").cast("string").alias("lang"),
         F.col("source").cast("string").alias("source"), counts(text_of()).alias("c"))
     flat = counted.select("row", "lang", "source", *[F.col(f"c.{c}").alias(c) for c in COUNTS])
     return flat.withColumn("base_failed", base_failed()).withColumns({f"v_{r.name}": F.expr(r.value) for r in RULES})

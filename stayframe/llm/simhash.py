@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_of
+from .common import frugal, quoted, stage, text_of
 from .components import components
 
 #: Shingle length in words and the most bits that linked fingerprints differ by.
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: bool = False) ->
         fps = np.fromiter((fingerprint(t.encode("utf-8"), shingle) for t in texts), np.uint64, len(texts))
         return pd.Series(fps.view(np.int64))
 
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []
+    row = [F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("row")] if keep else []
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), fp_of(text_of()).alias("fp"), *row)
 
 
@@ -165,7 +165,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, n_pivots: int = PIVOTS, tile
             yield solve(held)
 
     tile_key = ["block", "bits", "low", "high"]
-    return dealt.repartition(*tile_key).sortWithinPartitions(*tile_key, "fp").mapInArrow(run, "a long, b long")
+    return dealt.repartition(*tile_key).sortWithinPartitions(*tile_key, "fp").mapInArrow(frugal(run), "a long, b long")
 
 
 def classes(rows: DataFrame, distance: int = DISTANCE, n_pivots: int = PIVOTS) -> DataFrame:

@@ -18,38 +18,38 @@ so hot groups are reduced before any shuffle.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blobs import pack, unpack
-from .common import stage, text_of
+from .common import frugal, quoted, release, stage, text_of
 from .suffix_sort import sort_suffixes
 
 LENGTH, GRAM = 50, 26
 #: Bytes of text in a chunk (a longer document is a chunk by itself) and in a step of hashing.
-CHUNK_BYTES, STEP_BYTES = 2 << 20, 4 << 20
+CHUNK_BYTES, STEP_BYTES = 2 << 20, 1 << 20
 NO_ID = np.iinfo(np.int64).max  # a missing doc_id comes after all others
 
 _FACTOR = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(7).integers(0, 1 << 64, 256, dtype=np.uint64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the factor and of its inverse modulo 2^64."""
-    if not _powers or len(_powers[0][0]) < n:
-        tables = []
-        for factor in (_FACTOR, pow(_FACTOR, -1, 1 << 64)):
-            table = np.full(n, factor, np.uint64)
-            table[0] = 1
-            tables.append(np.cumprod(table, dtype=np.uint64))
-        _powers[0] = tuple(tables)
-    return _powers[0][0][:n], _powers[0][1][:n]
+    tables = []
+    for factor in (_FACTOR, pow(_FACTOR, -1, 1 << 64)):
+        table = np.full(n, factor, np.uint64)
+        table[0] = 1
+        tables.append(np.cumprod(table, dtype=np.uint64))
+    return tables[0], tables[1]
 
 
 def _window_hashes(buffer: np.ndarray, width: int) -> np.ndarray:
@@ -126,22 +126,26 @@ def _messages(batches):
         yield from zip(*(batch.column(k).to_pylist() for k in range(4)))
 
 
-def _by_chunk(batches):
-    """Rows (chunk, kind, blob, others) in order of chunk and kind: yields
-    chunk, its texts, its other columns and {kind: [blobs]} of the rest."""
-    now, blob, others, told = None, None, None, {}
-    for batch in batches:
-        for chunk, kind, value, more in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if chunk != now:
-                if now is not None:
-                    yield now, blob, others, told
-                now, blob, others, told = chunk, None, None, {}
-            if kind == _HELD:
-                blob, others = value, more
-            else:
-                told.setdefault(kind, []).append(value)
-    if now is not None:
-        yield now, blob, others, told
+def _by_chunk(batches, others: bool):
+    """Rows (part, chunk, kind, blob, file) in order; the first of a part names
+    the file with its chunks. Yields each chunk, its texts, its other columns
+    (if asked for) and {kind: [blobs]} of what it was told."""
+    rows = (r for batch in batches for r in zip(*(batch.column(k).to_pylist() for k in range(5))))
+    for _, own in groupby(rows, key=lambda r: r[0]):
+        file = next(own)[4]
+        told = groupby(own, key=lambda r: r[1])
+        now = next(told, None)
+        fs, path = pafs.FileSystem.from_uri(file)
+        with fs.open_input_file(path) as source:
+            columns = ["chunk", "blob", "others"] if others else ["chunk", "blob"]
+            for batch in pq.ParquetFile(source).iter_batches(1, columns=columns):
+                chunk, blob = batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+                answers: dict[int, list[bytes]] = {}
+                if now and now[0] == chunk:
+                    for r in now[1]:
+                        answers.setdefault(r[2], []).append(r[3])
+                    now = next(told, None)
+                yield chunk, blob, batch.column(2)[0].as_py() if others else None, answers
 
 
 def _bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +157,7 @@ def _bounds(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _chunks(docs: DataFrame, keep: list[str]) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"),
-                       F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("row"))
+                       F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in keep]).alias("row"))
 
     def gather(batches):
         made = 0
@@ -174,13 +178,18 @@ def _chunks(docs: DataFrame, keep: list[str]) -> DataFrame:
                     (chunk, _HELD, pack(ids[first:upto], sizes[first:upto], np.frombuffer(body, np.uint8)), sink.getvalue().to_pybytes())])
                 first, made = upto, made + 1
 
-    return rows.mapInArrow(gather, _CHUNK_SCHEMA)
+    return rows.mapInArrow(frugal(gather), _CHUNK_SCHEMA)
 
 
 def _with_answers(chunks: DataFrame, answers: DataFrame) -> DataFrame:
-    """Chunks and what they were answered, together in one task each."""
-    told = answers.select("chunk", "kind", "blob", F.lit(None).cast("binary").alias("others"))
-    return chunks.union(told).repartition(F.col("chunk")).sortWithinPartitions("chunk", "kind")
+    """What the chunks of one file were answered, in one task behind the name of
+    the file: the chunks themselves are not sent, the task opens them."""
+    part = F.shiftright("chunk", 32).alias("part")
+    none = F.lit(None).cast("long")
+    files = chunks.select(part, F.input_file_name().alias("file")).distinct()
+    held = files.select("part", none.alias("chunk"), F.lit(_HELD).alias("kind"), F.lit(None).cast("binary").alias("blob"), "file")
+    told = answers.select(part, "chunk", "kind", "blob", F.lit(None).cast("string").alias("file"))
+    return held.union(told).repartition(F.col("part")).sortWithinPartitions("part", F.col("chunk").asc_nulls_first(), "kind")
 
 
 # -- 2. anchors that several documents have -----------------------------------
@@ -248,7 +257,7 @@ def _answer_hashes(batches):
 
 def _send_slices(length, gram, buckets):
     def run(batches):
-        for chunk, blob, _, told in _by_chunk(batches):
+        for chunk, blob, _, told in _by_chunk(batches, False):
             if _ANSWER not in told:
                 continue
             ids, buffer, ends, bucket, rest, low, high = _hashes_of(blob, length, gram, buckets)
@@ -377,7 +386,7 @@ def _cover(n_bytes, ids, ends, told, length):
 
 def _finish(length):
     def run(batches):
-        for _, blob, others, told in _by_chunk(batches):
+        for _, blob, others, told in _by_chunk(batches, True):
             ids, sizes, buffer = unpack(blob, "<i8", "<i8", np.uint8)
             starts, ends = _bounds(sizes)
             gone = _cover(len(buffer), ids, ends, told, length)
@@ -413,17 +422,17 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chunks.select("chunk").count() // 8 + 1)
 
     def meet(messages, answer, name):  # every bucket in one task
-        return stage(messages.repartitionById(buckets, F.col("bucket")).mapInArrow(answer, _MESSAGE_SCHEMA), name)
+        return stage(messages.repartitionById(buckets, F.col("bucket")).mapInArrow(frugal(answer), _MESSAGE_SCHEMA), name)
 
-    hashes = chunks.select("chunk", "blob").mapInArrow(_send_hashes(length, gram, buckets), _MESSAGE_SCHEMA)
+    hashes = chunks.select("chunk", "blob").mapInArrow(frugal(_send_hashes(length, gram, buckets)), _MESSAGE_SCHEMA)
     shared = meet(hashes, _answer_hashes, "anchors")
-    slices = _with_answers(chunks.withColumn("others", F.lit(None).cast("binary")), shared).mapInArrow(
-        _send_slices(length, gram, buckets), _MESSAGE_SCHEMA)
+    slices = _with_answers(chunks, shared).mapInArrow(frugal(_send_slices(length, gram, buckets)), _MESSAGE_SCHEMA)
     found = meet(slices, _answer_slices(length), "strings")
+    release(shared)
     row = T.StructType([T.StructField("_", T.IntegerType()), *[docs.schema[c] for c in keep]])
     schema = T.StructType([T.StructField("row", row), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
                            T.StructField("kept", T.BinaryType())])
-    return _with_answers(chunks, found).mapInArrow(_finish(length), schema)
+    return _with_answers(chunks, found).mapInArrow(frugal(_finish(length)), schema)
 
 
 def with_text(found: DataFrame) -> DataFrame:

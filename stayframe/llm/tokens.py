@@ -17,8 +17,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Entries of a worker's memo before it starts afresh, and the longest piece kept.
-MEMO_PIECES, MEMO_CHARS = 600_000, 48
+#: Bytes of pieces and ids in a worker's memo before it starts afresh, and the longest piece kept.
+MEMO_BYTES, MEMO_CHARS = 4 << 20, 48
 
 _PLAIN_LETTERS = "a-zß-öø-ÿ"
 _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_PLAIN_LETTERS}]+|[0-9]|[^ \t-\r0-9{_PLAIN_LETTERS}]+")
@@ -42,6 +42,7 @@ class PieceEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that close a piece
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     @staticmethod
     def _ids(tokenizer, text: str) -> np.ndarray:
@@ -55,6 +56,7 @@ class PieceEncoder:
         raw, at = ids.tobytes(), 0
         for piece, stop in zip(pieces, (stops * 4).tolist()):
             self.memo[piece] = raw[at:stop]
+            self.held += len(piece) + stop - at
             at = stop
 
     def encode(self, text: str) -> bytes:
@@ -62,8 +64,9 @@ class PieceEncoder:
             return self._ids(self.tokenizer, text).tobytes()
         pieces = _PIECE.findall(text.lower())
         memo = self.memo
-        if len(memo) > MEMO_PIECES:
+        if self.held > MEMO_BYTES:
             memo.clear()
+            self.held = 0
         new = [p for p in set(pieces) if p not in memo]
         if new:
             self._look_up(new)

@@ -348,12 +348,25 @@ def test_rates_reach_the_targets(spark):
     assert np.allclose((p * (tokens * rate)[:, None]).sum(0) / tokens.sum(), np.array(weights) / 0.7 * mass[0] / tokens.sum(), atol=2e-4)
 
 
+def test_mix_of_the_documents_reaches_its_targets(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = mixing.mix(docs, labels).join(labels.withColumnRenamed("doc_id", "k"), F.col("row.doc_id") == F.col("k"), "left").collect()
+    shares = np.array([sum(g.tokens * g.rate * g[f"p_{x}"] for g in got) for x in mixing.DOMAINS])
+    assert np.abs(shares / shares.sum() - np.array(mixing.WEIGHTS)).max() < 1e-3
+    # the classifier: labelled toxic documents weigh more in the toxic domain than the others
+    toxic = [g.p_toxic for g in got if g.toxic == 1]
+    clean = [g.p_toxic for g in got if g.toxic == 0]
+    assert np.mean(toxic) > 0.4 and np.mean(clean) < 0.1
+
+
 def test_mixing(docs, rows, labels, empty):
     got = mixing.mix(docs, labels).collect()
     assert collections.Counter(g.row.doc_id for g in got) == collections.Counter(r[0] for r in rows)
     for g in got:
         assert g.tokens == len(words(g.row.text)) and abs(g.p_clean + g.p_low + g.p_toxic - 1) < 1e-9
-        assert 0 <= g.rate <= 1 and math.floor(g.rate) <= g.copies <= math.ceil(g.rate)
+        assert 0 <= g.rate and math.floor(g.rate) <= g.copies <= math.ceil(g.rate)
+    assert all(g.rate <= 1 for g in mixing.mix(docs, labels, max_rate=mixing.ONCE).collect())
     drawn = mixing.draw(mixing.mix(docs, labels))
     assert drawn.columns == docs.columns and drawn.count() == sum(g.copies for g in got)
     assert mixing.mix(empty, labels).count() == 0

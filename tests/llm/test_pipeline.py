@@ -26,7 +26,7 @@ def test_stages_keep_the_columns_and_take_effect(spark, docs, labels, tmp_path):
                 assert kept == collections.Counter((r.doc_id, r.text) for r in out.collect())
                 assert all(r.n_chars == len(r.text) for r in out.collect())
             if name == "mixing to target weights":
-                assert out.count() == sum(r.copies for r in mixing.mix(now, labels).collect())
+                assert out.count() == sum(r.copies for r in mixing.mix(now, labels, max_rate=mixing.ONCE).collect())
         else:
             assert out.count() == packing.pack_documents(now).count()
         out.write.parquet(f"{sf}/{k}")
