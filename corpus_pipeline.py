@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.llm import mixing, packing, quality_rules, simhash, suffix_dedup
-from stayframe.llm.common import stage
+from stayframe.llm.common import quoted, stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.judge(docs, staged=False).filter("kept").select("row.*")
+    return quality_rules.judge(docs).filter("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +31,12 @@ def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     found = suffix_dedup.with_text(suffix_dedup.remove_repeats(docs, [c for c in docs.columns if c != "text"]))
     text = F.col("kept_text")
     return found.select(*[text.alias("text") if c == "text" else F.length(text).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-                          else F.col(f"row.`{c}`") for c in docs.columns])
+                          else F.col(f"row.{quoted(c)}") for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents drawn to the target weights."""
-    return mixing.draw(mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    """The documents drawn to the target weights, none more than once."""
+    return mixing.draw(mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), max_rate=mixing.ONCE))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
