@@ -29,7 +29,7 @@ WEIGHTS = (0.96, 0.03, 0.01)
 ONCE = 1.0
 #: Hashed words, training passes, steps of a posterior, and of the gradient.
 BINS, EPOCHS, RATE, SEED = 1 << 15, 8, 0.2, 9
-LEVELS, MAX_STEPS, TOLERANCE, PATIENCE = 256, 1000, 1e-4, 40
+LEVELS, MAX_STEPS, TOLERANCE, PATIENCE = 256, 200, 1e-4, 10
 
 
 class DomainClassifier:
@@ -156,9 +156,11 @@ def _bound(max_rate: float | None) -> float:
     return float("inf") if max_rate is None else float(max_rate)
 
 
-def _totals(cells: DataFrame, steps: list[tuple], size: float, max_rate: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Expected tokens of the domains at the rates and at the look-ahead."""
+def _totals(cells: DataFrame, steps: list[tuple], size: float, max_rate: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected tokens of the domains at the rates and at the look-ahead, and
+    the Gram matrix of the cells whose rate lies at no bound."""
     d = len(DOMAINS)
+    names = [f"s{k}" for k in range(2 * d + d * d)]
 
     def run(batches):
         for batch in batches:
@@ -168,24 +170,25 @@ def _totals(cells: DataFrame, steps: list[tuple], size: float, max_rate: float |
             for *off, momentum in steps:
                 new = np.clip(ahead - size * (p @ np.array(off)), 0, _bound(max_rate))
                 rate, ahead = new, new + momentum * (new - rate)
-            sums = np.concatenate([(p * (tokens * x)[:, None]).sum(0) for x in (rate, ahead)])
-            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums.tolist()], names=[f"s{k}" for k in range(2 * d)])
+            free = (rate > 0) & (rate < _bound(max_rate))
+            sums = np.concatenate([*[(p * (tokens * x)[:, None]).sum(0) for x in (rate, ahead)], ((p * (tokens * free)[:, None]).T @ p).reshape(-1)])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums.tolist()], names=names)
 
-    names = [f"s{k}" for k in range(2 * d)]
     found = cells.select("p", "tokens").mapInArrow(frugal(run), ", ".join(f"{n} double" for n in names)).agg(*[F.sum(n) for n in names]).first()
-    return np.array(found[:d]), np.array(found[d:])
+    return np.array(found[:d]), np.array(found[d:2 * d]), np.array(found[2 * d:]).reshape(d, d)
 
 
 def fit_rates(cells: DataFrame, weights=WEIGHTS, max_rate: float | None = None):
-    """cells (p, tokens): the gradient steps (with momentum, restarted when the
-    residual grows) and their size. Only sums over domains reach the driver.
-
-    Without ``max_rate`` the residual is measured through the inverse Gram
-    matrix of the posteriors, so that scarce domains move as fast as common
-    ones; steps go on until every total is within ``TOLERANCE`` of its target
-    (as a share of all tokens). With a bound, or where no nonnegative rates
-    reach the targets, they end at the least-squares totals, when
-    ``PATIENCE`` steps brought no nearer ones."""
+    """cells (p, tokens): the gradient steps and their size. Only sums over
+    domains reach the driver.
+
+    Without ``max_rate`` the residual goes through the inverse Gram matrix of
+    the posteriors of the cells that are free to move (rate above 0), so
+    scarce domains move as fast as common ones, until every total is within
+    ``TOLERANCE`` of its target (as a share of all tokens). With a bound the
+    steps are plain ones with momentum, restarted when the residual grows.
+    Where the targets are out of reach either ends at the least-squares
+    totals, when ``PATIENCE`` steps brought no nearer ones."""
     d = range(len(DOMAINS))
     p = lambda k: F.get(F.col("p"), F.lit(k))
     total = cells.agg(F.sum("tokens").alias("n"), *[F.sum(F.col("tokens") * p(k)).alias(f"m{k}") for k in d],
@@ -195,18 +198,21 @@ def fit_rates(cells: DataFrame, weights=WEIGHTS, max_rate: float | None = None):
     mass = np.array([total[f"m{k}"] for k in d]) / total["n"]
     gram = np.array([[total[f"g{a}{b}"] for b in d] for a in d]) / total["n"]
     goal = np.array(weights) / weights[0] * mass[0]
-    scale = np.linalg.pinv(gram, rcond=1e-9) if max_rate is None else np.eye(len(DOMAINS)) / np.linalg.eigvalsh(gram)[-1]
+    plain = np.eye(len(DOMAINS)) / np.linalg.eigvalsh(gram)[-1]
     steps, t, last, nearest, since = [], 1.0, np.inf, np.inf, 0
     while len(steps) < MAX_STEPS and since < PATIENCE:
-        at_rate, at_ahead = (x / total["n"] for x in _totals(cells, steps, 1.0, max_rate))
+        at_rate, at_ahead, free = (x / total["n"] for x in _totals(cells, steps, 1.0, max_rate))
         off = at_rate - goal
-        loss = float(off @ scale @ off)
+        loss = float(off @ off)
         if np.abs(off).max() < TOLERANCE:
             break
         nearest, since = (loss, 0) if loss < nearest * (1 - 1e-3) else (nearest, since + 1)
+        if max_rate is None:
+            steps.append((*(np.linalg.pinv(gram if not steps else free, rcond=1e-6) @ off), 0.0))
+            continue
         t = 1.0 if loss > last else t
         t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        steps.append((*(scale @ (at_ahead - goal)), (t - 1) / t_next))
+        steps.append((*(plain @ (at_ahead - goal)), (t - 1) / t_next))
         t, last = t_next, loss
     return steps, 1.0
 

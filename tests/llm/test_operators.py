@@ -335,15 +335,16 @@ def test_held_out_quality(spark):
     assert sum(g.predicted == g.quality for g in got) > 0.93 * len(got)
 
 
-def test_rates_reach_the_targets(spark):
+@pytest.mark.parametrize("max_rate", [5.0, None])
+def test_rates_reach_the_targets(spark, max_rate):
     rng = np.random.default_rng(1)
     p = rng.dirichlet([4, 1, 1], 400)
     tokens = rng.integers(1, 500, 400)
     cells = spark.createDataFrame([(x.tolist(), float(t)) for x, t in zip(p, tokens)], "p array<double>, tokens double")
     weights = (0.7, 0.2, 0.1)
-    steps, size = mixing.fit_rates(cells, weights, max_rate=5.0)
-    rate = np.array([r[0] for r in cells.select(mixing.replay(F.col("p"), steps, size, 5.0)["rate"]).collect()])
-    assert (rate >= 0).all()
+    steps, size = mixing.fit_rates(cells, weights, max_rate)
+    rate = np.array([r[0] for r in cells.select(mixing.replay(F.col("p"), steps, size, max_rate)["rate"]).collect()])
+    assert (rate >= 0).all() and len(steps) < 150
     mass = (p * tokens[:, None]).sum(0)
     assert np.allclose((p * (tokens * rate)[:, None]).sum(0) / tokens.sum(), np.array(weights) / 0.7 * mass[0] / tokens.sum(), atol=2e-4)
 
