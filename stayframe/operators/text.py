@@ -3,13 +3,14 @@ vectors (N7-N14)."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayframe.functions.expressions import clean_text, tokens
+from stayframe.operators import word_vectors
+from stayframe.operators.word_vectors import WordVectors
 from stayframe.session import materialize
 
 # Fixed values that must equal the reference: the twelve counted note
@@ -45,8 +46,6 @@ NOTE_DESCRIPTIONS = [
 ]
 NO_CATEGORY = "NO_CATEGORY"
 WINDOW_HOURS = 48
-# Word vectors are trained in this many partitions on every cluster.
-WORD_VECTOR_PARTITIONS = 8
 
 
 def note_aggregates(kept: DataFrame, categories: list[str], descriptions: list[str]) -> DataFrame:
@@ -97,44 +96,23 @@ def category_filter(notes: DataFrame, categories: list[str] | None = None, trim:
     return notes.where(F.col("category").isin(categories))
 
 
-def pinned_rows(tokenised: DataFrame, partitions: int = WORD_VECTOR_PARTITIONS) -> DataFrame:
-    """Token lists dealt by content to a fixed number of partitions and
-    sorted, so that training reads the same rows in the same places on every
-    cluster, however the input was partitioned. (Spark's fit still numbers
-    words of equal count, and adds partial sums, in the order they arrive.)"""
-    rows = tokenised.select("tokens").withColumn("k", F.md5(F.array_join("tokens", " ").cast("binary")))
-    return rows.repartition(partitions, "k").sortWithinPartitions("k")
+def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int = 5, min_count: int = 5, passes: int = 5) -> WordVectors:
+    """Word vectors from skip-gram pair counts (``word_vectors``), the same
+    for every partitioning; a note is one sentence, however long."""
+    return word_vectors.train(tokenised.select("tokens"), vector_size, window, min_count, passes)
 
 
-def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int = 5, min_count: int = 5,
-                       seed: int = 1407, partitions: int = WORD_VECTOR_PARTITIONS, max_iter: int = 1) -> Word2VecModel:
-    """Skip-gram word vectors trained as a Spark job; a note is one
-    sentence, however long."""
-    rows = pinned_rows(tokenised, partitions)
-    w2v = Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, seed=seed,
-                   inputCol="tokens", outputCol="w2v_mean_all", numPartitions=partitions, maxIter=max_iter,
-                   maxSentenceLength=2**31 - 1)
-    return w2v.fit(rows.select("tokens"))
-
-
-def note_vectors(tokenised: DataFrame, model: Word2VecModel, key: str = "row_id") -> DataFrame:
+def note_vectors(tokenised: DataFrame, model: WordVectors, key: str = "row_id") -> DataFrame:
     """Mean of the vectors of in-vocabulary tokens per note (zeros if
-    none). ``Word2VecModel.transform`` (model broadcast once, JVM loop per
-    row) returns the sum of in-vocabulary vectors divided by *all* tokens;
-    rescaling by ``n_tokens / n_in_vocabulary`` gives the in-vocabulary
-    mean. The in-vocabulary count is a function of the tokens alone: it is
-    worked out once for each distinct token list (a semi join of its exploded
-    tokens against the vocabulary words) and joined on that list's digest, so
-    rows that share an id, or whole rows that repeat, do not add up."""
-    words = model.getVectors().select("word")
+    none). Worked out once for each distinct token list and joined on that
+    list's digest, so rows that share an id, or whole rows that repeat, do
+    not add up."""
     t = tokenised.select(key, "subject_id", "admission_id", "tokens").withColumn(
         "__k", F.sha2(F.array_join("tokens", " ").cast("binary"), 256))
-    n_in = (t.select("__k", "tokens").dropDuplicates(["__k"]).select("__k", F.explode("tokens").alias("word"))
-            .join(words, "word", "left_semi").groupBy("__k").agg(F.count(F.lit(1)).alias("n_in")))
-    t = model.transform(t).join(n_in, "__k", "left")
-    scale = F.when(F.col("n_in") > 0, F.size("tokens") / F.col("n_in")).otherwise(F.lit(0.0))
-    arr = F.transform(vector_to_array(F.col("w2v_mean_all")), lambda x: x * scale)
-    return t.select(key, "subject_id", "admission_id", array_to_vector(arr).alias("vec"))
+    notes = t.groupBy("__k").agg(F.first("tokens").alias("tokens")).select(F.col("__k").alias("key"), "tokens")
+    sums = word_vectors.note_sums(notes, model).select(F.col("key").alias("__k"), F.transform("total", lambda x: x / F.col("n_in")).alias("mean"))
+    arr = F.coalesce("mean", F.array_repeat(F.lit(0.0), model.size))
+    return t.join(sums, "__k", "left").select(key, "subject_id", "admission_id", array_to_vector(arr).alias("vec"))
 
 
 def mean_vector_by_group(vectors: DataFrame, vector_col: str = "vec",
@@ -153,18 +131,17 @@ def expand_vector(grouped: DataFrame, cohort: DataFrame, dims: int, vector_col:
     return base.join(wide, ["subject_id", "admission_id"], "left")
 
 
-def embedding_features(notes: DataFrame, cohort: DataFrame, model: Word2VecModel | None = None,
+def embedding_features(notes: DataFrame, cohort: DataFrame, model: WordVectors | None = None,
                        categories: list[str] | None = None, vector_size: int = 200, min_count: int = 5,
-                       fit_notes: DataFrame | None = None) -> tuple[DataFrame, Word2VecModel]:
+                       fit_notes: DataFrame | None = None) -> tuple[DataFrame, WordVectors]:
     """Tokenise, (fit once on the training notes, Q17), note vectors,
     episode means, expanded columns. Returns (block, model)."""
-    # tokens are read by the vocabulary pass, the training pass, the
-    # transform and the in-vocabulary count: written once
+    # tokens are read by the vocabulary, the pair counts and the notes' sums: written once
     n = materialize(with_tokens(notes if categories is None else category_filter(notes, categories))
                     .select("row_id", "subject_id", "admission_id", "tokens"))
     if model is None:
         model = train_word_vectors(with_tokens(fit_notes) if fit_notes is not None else n,
                                    vector_size=vector_size, min_count=min_count)
-    dims = model.getVectorSize()
+    dims = model.size
     vecs = note_vectors(n, model)
     return expand_vector(mean_vector_by_group(vecs), cohort, dims), model

@@ -7,8 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import Word2VecModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.operators import assemble as AS
@@ -22,6 +21,7 @@ from stayframe.operators import model as T
 from stayframe.operators import prepare as B
 from stayframe.operators import text as N
 from stayframe.operators import timeseries as TS
+from stayframe.operators.word_vectors import WordVectors
 from stayframe.session import materialize
 from stayframe.sources.clinical import typed, with_row_id
 
@@ -141,7 +141,7 @@ def save_models(path: str, cfg: Config, bundles: dict) -> None:
     for target, (prep, model, cal) in bundles.items():
         T.save_bundle(f"{path}/{target}", prep, model, cal, {"target": target, "embeddings": cfg.w2v_model is not None})
     if cfg.w2v_model is not None:
-        cfg.w2v_model.write().overwrite().save(f"{path}/word_vectors")
+        cfg.w2v_model.save(f"{path}/word_vectors")
 
 
 def load_models(path: str, targets=None) -> tuple[dict, object]:
@@ -151,7 +151,7 @@ def load_models(path: str, targets=None) -> tuple[dict, object]:
         prep, model, cal, meta = T.load_bundle(f"{path}/{target}")
         bundles[target] = (prep, model, cal)
         with_vectors |= bool(meta["embeddings"])
-    return bundles, Word2VecModel.load(f"{path}/word_vectors") if with_vectors else None
+    return bundles, WordVectors.load(SparkSession.getActiveSession(), f"{path}/word_vectors") if with_vectors else None
 
 
 def train_targets(matrix: DataFrame, cfg: Config, targets=None) -> dict:

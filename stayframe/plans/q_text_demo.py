@@ -9,6 +9,7 @@ from stayframe.functions.expressions import clean_text, tokens
 from stayframe.operators import demographics as D
 from stayframe.operators import extract as X
 from stayframe.operators import text as N
+from stayframe.operators.word_vectors import from_table
 from stayframe.plans import sql_adapters as A
 from stayframe.plans.q_cohort import cohort_df
 from stayframe.plans.registry import register, round_sql
@@ -155,25 +156,53 @@ def q_category_filter(spark, d):
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("train_word_vectors", f"""SELECT w AS word FROM (
-  SELECT unnest(list_filter(regexp_split_to_array({CLEAN_SQL}, '\\s+'), lambda x: length(x) > 0)) AS w FROM documents) t
+WORDS_SQL = f"list_filter(regexp_split_to_array({CLEAN_SQL}, '\\s+'), lambda x: length(x) > 0)"
+
+
+@register("train_word_vectors", f"""SELECT w AS word, true AS finite FROM (SELECT unnest({WORDS_SQL}) AS w FROM documents) t
 GROUP BY 1 HAVING count(*) >= 5""")
 def q_train_word_vectors(spark, d):
-    """Vocabulary of the fitted model (min count 5). The vectors are
-    not comparable across trainers; the vocabulary is exact."""
+    """A vector of 50 finite numbers for every word with five tokens."""
     doc = N.with_tokens(spark.read.parquet(f"{d}/documents.parquet"))
     model = N.train_word_vectors(doc, vector_size=50, min_count=5)
-    return model.getVectors().select("word")
+    finite = F.forall("vector", lambda x: F.abs(x) < float("inf")) & (F.size("vector") == 50)
+    return model.vectors().select("word", finite.alias("finite"))
+
+
+MD5_DIMS = 8
+MD5_VECTORS = f"""words AS (SELECT doc_id, {WORDS_SQL} AS ws FROM documents),
+vocab AS (SELECT w, [""" + ", ".join(f"CAST('0x' || substr(md5(w), {2 * k + 1}, 2) AS INTEGER) / 256.0" for k in range(MD5_DIMS)) + f"""] AS v
+  FROM (SELECT unnest(ws) AS w FROM words) t GROUP BY w HAVING count(*) >= 5),
+tokens AS (SELECT doc_id, unnest(ws) AS w FROM words),
+sums AS (SELECT doc_id, """ + ", ".join(f"avg(v[{k + 1}]) AS m{k}" for k in range(MD5_DIMS)) + """ FROM tokens JOIN vocab USING (w) GROUP BY 1)"""
+
+
+def md5_vectors(notes):
+    """Vectors that SQL can state too: the bytes of the word's MD5 over 256, for
+    every word with five tokens."""
+    words = notes.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 5")
+    parts = [F.conv(F.substring(F.md5(F.encode("word", "utf-8")), 2 * k + 1, 2), 16, 10).cast("double") / 256 for k in range(MD5_DIMS)]
+    return from_table(words.select("word", F.array(*parts).alias("vector")), MD5_DIMS)
 
 
-@register("note_vector", None)
+@register("note_vector", round_sql("WITH " + MD5_VECTORS + " SELECT doc_id AS row_id, " + ", ".join(
+    f"coalesce(m{k}, 0) AS m{k}" for k in range(MD5_DIMS)) + " FROM documents LEFT JOIN sums USING (doc_id)", [f"m{k}" for k in range(MD5_DIMS)]))
 def q_note_vector(spark, d):
-    """In-vocabulary mean vector per note (rows-only check)."""
-    notes = N.with_tokens(ad.document_notes(spark, d))
-    model = N.train_word_vectors(notes, vector_size=50)
-    v = N.note_vectors(notes, model)
+    """Mean vector of each note's in-vocabulary tokens, for given vectors."""
     from pyspark.ml.functions import vector_to_array
-    return v.select("row_id", vector_to_array("vec").alias("vec"))
+    notes = N.with_tokens(ad.document_notes(spark, d))
+    v = N.note_vectors(notes, md5_vectors(notes)).withColumn("a", vector_to_array("vec"))
+    return v.select("row_id", *[F.col("a")[k].alias(f"m{k}") for k in range(MD5_DIMS)])
+
+
+@register("embedding_block", round_sql(A.with_(A.DOC_NOTES, MD5_VECTORS) + """,
+per AS (SELECT n.subject_id, n.admission_id, """ + ", ".join(f"avg(coalesce(m{k}, 0)) AS emb_{k}" for k in range(MD5_DIMS)) + """
+  FROM dnotes n LEFT JOIN sums s ON s.doc_id = n.row_id GROUP BY 1, 2) SELECT * FROM per""", [f"emb_{k}" for k in range(MD5_DIMS)]))
+def q_embedding_block(spark, d):
+    """N14 for given vectors: tokens, note means, episode means, columns."""
+    notes = ad.document_notes(spark, d)
+    cohort = notes.select("subject_id", "admission_id").distinct()
+    return N.embedding_features(notes, cohort, model=md5_vectors(N.with_tokens(notes)))[0]
 
 
 def _vec_means(spark, d):

@@ -240,8 +240,8 @@ def test_note_vectors_in_vocabulary_mean(spark):
     rows = [(i, i, i, t, "Nursing") for i, t in enumerate(texts * 4)]
     notes = N.with_tokens(spark.createDataFrame(rows, "row_id long, subject_id long, admission_id long, "
                                                       "text string, category string"))
-    model = N.train_word_vectors(notes, vector_size=8, min_count=2, partitions=1)
-    vocab = {r.word: list(r.vector) for r in model.getVectors().collect()}
+    model = N.train_word_vectors(notes, vector_size=8, min_count=2)
+    vocab = {r.word: list(r.vector) for r in model.vectors().collect()}
     got = {r.row_id: r.v for r in N.note_vectors(notes, model).select("row_id", vector_to_array("vec").alias("v")).collect()}
     for r in notes.collect():
         inv = [vocab[t] for t in r.tokens if t in vocab]

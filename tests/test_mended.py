@@ -30,14 +30,6 @@ def test_note_vectors_of_repeated_notes(spark):
     assert all(r.vec == once[r.subject_id] for r in N.note_vectors(shared, model).collect())
 
 
-def test_word_vectors_read_the_same_places_whatever_the_partitions(spark):
-    found = []
-    for n in (1, 2, 4):
-        rows = N.pinned_rows(_notes(spark).repartition(n)).withColumn("p", F.spark_partition_id())
-        found.append([(r.p, r.k) for r in rows.collect()])
-    assert found[0] == found[1] == found[2] and len({p for p, _ in found[0]}) > 1
-
-
 def test_nan_and_bad_numbers_are_missing(spark):
     rows = [(1, 1, 1.0, 2.0, "x"), (2, 2, float("nan"), float("nan"), "y"), (3, 3, None, 4.0, "z")]
     df = spark.createDataFrame(rows, "subject_id long, admission_id long, n_a double, size double, gender string")
