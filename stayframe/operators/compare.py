@@ -5,35 +5,14 @@ exact bucketed prefix sums, not a per-feature sort in one task."""
 
 from __future__ import annotations
 
-import math
-
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayframe.operators.distributions import EXACT_ROWS, chi_square_tail, normal_two_sided_p, rank_sum_p
 from stayframe.operators.prefix import prefix_sums
 from stayframe.session import materialize
 
-# Coefficients of the Abramowitz-Stegun 7.1.26 approximation of erfc
-# (absolute error below 1.5e-7); Spark SQL has no erf/erfc built-in.
-_ERFC_P = 0.3275911
-_ERFC_A = [0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429]
-
-
-def erfc(x: F.Column) -> F.Column:
-    ax = F.abs(x)
-    t = 1.0 / (1.0 + _ERFC_P * ax)
-    poly = F.lit(_ERFC_A[4])
-    for a in reversed(_ERFC_A[:4]):
-        poly = poly * t + a
-    y = poly * t * F.exp(-ax * ax)
-    return F.when(x >= 0, y).otherwise(2.0 - y)
-
-
-def normal_two_sided_p(z: F.Column) -> F.Column:
-    """2 * P(Z > z) for z >= 0 (clipped to [0, 1])."""
-    return F.least(F.greatest(erfc(z / math.sqrt(2.0)), F.lit(0.0)), F.lit(1.0))
-
-
 def label_prevalence(df: DataFrame, labels: list[str]) -> DataFrame:
     """G1: per label, rows, positives and positive share (unpivot + agg)."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(l).alias("label"), F.col(l).cast("int").alias("y"))
@@ -49,23 +28,35 @@ def pivot_mean(long: DataFrame, keys: list[str], feature: str, value: str, featu
     return p.select(*keys, *[F.col(f"`{f}`").alias(f"{f}_mean") for f in features])
 
 
-def mann_whitney(long: DataFrame, feature: str = "feature", group: str = "grp", value: str = "value",
+def _exact_p(batches):
+    """Replace the p-value of rows marked ``exact`` by that of the exact
+    distribution: one row for each test."""
+    for batch in batches:
+        at = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("n0", "n1", "u_statistic", "exact", "p_value")}
+        p = [rank_sum_p(n0, n1, u) if exact else p for n0, n1, u, exact, p in zip(*at.values())]
+        yield batch.set_column(batch.schema.get_field_index("p_value"), "p_value", pa.array(p, pa.float64()))
+
+
+def mann_whitney(long: DataFrame, feature: str | list[str] = "feature", group: str = "grp", value: str = "value",
                  buckets: int | None = None) -> DataFrame:
-    """Per feature, U of the ``false`` group, medians of both groups,
-    tie-corrected normal z and two-sided p with continuity correction.
+    """Per feature (one or several key columns), U of the ``false`` group,
+    medians of both groups, tie-corrected normal z and two-sided p with
+    continuity correction; where a group has at most eight rows and no two
+    values are equal, p is that of the exact distribution.
 
     Ranks: counts per (feature, value) then exact bucketed prefix sums, so
     average ranks need no sort of a whole feature in one task. Medians come
     from the same cumulative counts per group."""
+    keys = [feature] if isinstance(feature, str) else list(feature)
     x = long.where(F.col(value).isNotNull() & F.col(group).isNotNull())
-    g = x.groupBy(feature, value).agg(
+    g = x.groupBy(*keys, value).agg(
         F.count_if(~F.col(group).cast("boolean")).alias("c0"),
         F.count_if(F.col(group).cast("boolean")).alias("c1"))
     g = g.withColumn("c", F.col("c0") + F.col("c1"))
-    c = prefix_sums(g, [feature], value, ["c", "c0", "c1"], buckets)
-    tot = c.groupBy(feature).agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"),
+    c = prefix_sums(g, keys, value, ["c", "c0", "c1"], buckets)
+    tot = c.groupBy(*keys).agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"),
                                  F.sum(F.col("c") ** 3 - F.col("c")).alias("ties"))
-    j = c.join(tot, feature)
+    j = c.join(tot, keys)
     avg_rank = F.col("c_before") + (F.col("c") + 1) / 2.0
 
     def at(before, cnt, k):
@@ -73,7 +64,7 @@ def mann_whitney(long: DataFrame, feature: str = "feature", group: str = "grp",
 
     lo0, hi0 = F.floor((F.col("n0") + 1) / 2), F.floor(F.col("n0") / 2) + 1
     lo1, hi1 = F.floor((F.col("n1") + 1) / 2), F.floor(F.col("n1") / 2) + 1
-    agg = j.groupBy(feature, "n0", "n1", "ties").agg(
+    agg = j.groupBy(*keys, "n0", "n1", "ties").agg(
         F.sum(F.col("c0") * avg_rank).alias("r0"),
         F.max(F.when(at("c0_before", "c0", lo0), F.col(value))).alias("m0_lo"),
         F.max(F.when(at("c0_before", "c0", hi0), F.col(value))).alias("m0_hi"),
@@ -87,11 +78,24 @@ def mann_whitney(long: DataFrame, feature: str = "feature", group: str = "grp",
     # all-tied feature has no defined z
     sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.col("ties") / F.nullif(n * (n - 1), F.lit(0.0))))
     z = (umax - n0 * n1 / 2.0 - 0.5) / F.nullif(sigma, F.lit(0.0))
-    return agg.select(
-        feature, F.col("n0").cast("bigint").alias("n0"), F.col("n1").cast("bigint").alias("n1"),
+    exact = (F.least("n0", "n1").between(1, EXACT_ROWS)) & (F.col("ties") == 0)
+    out = agg.select(
+        *keys, F.col("n0").cast("bigint").alias("n0"), F.col("n1").cast("bigint").alias("n1"),
         u0.alias("u_statistic"), ((F.col("m0_lo") + F.col("m0_hi")) / 2.0).alias("median_group_false"),
         ((F.col("m1_lo") + F.col("m1_hi")) / 2.0).alias("median_group_true"),
-        z.alias("z"), normal_two_sided_p(z).alias("p_value"))
+        z.alias("z"), normal_two_sided_p(z).alias("p_value"), exact.alias("exact"))
+    return out.mapInArrow(_exact_p, out.schema).drop("exact")
+
+
+def compare_continuous(df: DataFrame, targets: list[str], features: list[str], alpha: float = 0.05) -> DataFrame:
+    """G3 + G4 for every target and feature of a wide table in one job: target,
+    feature, the test, p adjusted within the target, significant."""
+    cells = F.array(*[F.struct(F.lit(t).alias("target"), F.lit(f).alias("feature"), F.col(t).cast("boolean").alias("grp"),
+                               F.col(f"`{f}`").cast("double").alias("value")) for t in targets for f in features])
+    tests = mann_whitney(df.select(F.explode(cells).alias("c")).select("c.*"), ["target", "feature"])
+    m = Window.partitionBy("target")  # a row for each feature
+    return tests.withColumn("p_adj", F.least(F.col("p_value") * F.count(F.lit(1)).over(m), F.lit(1.0))) \
+        .withColumn("significant", F.col("p_value") <= F.lit(alpha) / F.count(F.lit(1)).over(m))
 
 
 def bonferroni(tests: DataFrame, p: str = "p_value", alpha: float = 0.05) -> DataFrame:
@@ -113,8 +117,8 @@ def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def chi_square(df: DataFrame, features: list[str], group: str) -> DataFrame:
     """Per feature chi-square statistic over the full table (zero
-    cells included), dof, share of expected < 5, Yates for 2x2, and a
-    Wilson-Hilferty p-value."""
+    cells included), dof, share of expected < 5, Yates for 2x2, and the
+    p-value (incomplete gamma function)."""
     long = (df.where(F.col(group).isNotNull())
             .select(F.col(group).cast("string").alias("group"), F.explode(F.array(*[
                 F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast("string").alias("category")) for f in features])).alias("c"))
@@ -135,9 +139,7 @@ def chi_square(df: DataFrame, features: list[str], group: str) -> DataFrame:
     cells = cells.select("feature", dof.alias("dof"), ((adj - e) ** 2 / e).alias("term"), (e < 5).alias("low"))
     out = cells.groupBy("feature", "dof").agg(F.sum("term").alias("chi2_statistic"),
                                               (F.avg(F.col("low").cast("double")) * 100.0).alias("percent_low_expected"))
-    k = F.col("dof").cast("double")
-    wh = ((F.col("chi2_statistic") / k) ** (1.0 / 3) - (1 - 2.0 / (9 * k))) / F.sqrt(2.0 / (9 * k))
-    return out.withColumn("p_value", F.when(F.col("dof") > 0, erfc(wh / math.sqrt(2.0)) / 2.0))
+    return out.withColumn("p_value", F.when(F.col("dof") > 0, chi_square_tail(F.col("chi2_statistic"), F.col("dof"))))
 
 
 def normality_moments(df: DataFrame, value: str, group: str) -> DataFrame:

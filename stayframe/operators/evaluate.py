@@ -105,6 +105,26 @@ def group_average_precision(preds: DataFrame, groups: DataFrame, group_col: str
     return j.select(group_col, F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), "average_precision")
 
 
+def group_report(preds: DataFrame, people: DataFrame, groupings: dict[str, list[str] | None], key: str = "subject_id",
+                 buckets: int | None = None) -> DataFrame:
+    """E6 for several groupings in one job: (grouping, grp, count,
+    average_precision). ``people`` has the key and a column for each grouping.
+    A grouping's groups are the given list, or every value that the column
+    has in ``people``; all appear (count 0, AP null when empty or one class).
+    Null labels are no group."""
+    def cells(df, *more):
+        named = F.array(*[F.struct(F.lit(g).alias("grouping"), F.col(g).cast("string").alias("grp")) for g in groupings])
+        return df.select(*more, F.explode(named).alias("g")).select(*more, "g.*").where("grp IS NOT NULL")
+
+    ap = average_precision(cells(preds.join(people, key), "y_true", "y_pred"), ["grouping", "grp"], buckets)
+    fixed = [(g, v) for g, values in groupings.items() if values is not None for v in values]
+    listed = preds.sparkSession.createDataFrame(fixed, "grouping string, grp string")
+    open_ = [g for g, values in groupings.items() if values is None]
+    found = cells(people).where(F.col("grouping").isin(open_)).distinct().unionByName(listed)
+    return found.join(ap, ["grouping", "grp"], "left").select(
+        "grouping", "grp", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"), "average_precision")
+
+
 def metrics_report(preds: DataFrame, buckets: int | None = None) -> DataFrame:
     """One row with AUROC, AUPRC, Brier, prevalence, n."""
     a = auroc(preds, buckets=buckets)

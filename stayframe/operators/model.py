@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayframe.operators.evaluate import average_precision
+from stayframe.operators.isotonic import pooled_blocks
 from stayframe.operators.prepare import PreparedModel
 from stayframe.session import checkpoint_dir
 
@@ -234,9 +235,13 @@ def grid_search(train_val: DataFrame, label: str, spw: float, grid: dict | list[
 
 def calibrate_isotonic(scored_val: DataFrame, label: str, p: str = "p_raw") -> IsotonicRegressionModel:
     """Isotonic map fitted on validation scores (interpolates between
-    fitted points, clamps outside)."""
-    iso = IsotonicRegression(featuresCol=p, labelCol="y", predictionCol="p_cal", isotonic=True)
-    return iso.fit(scored_val.select(F.col(p), F.col(label).cast("double").alias("y")))
+    fitted points, clamps outside). The scores are pooled to blocks in tasks
+    (``isotonic``); Spark's model is made from the blocks' ends, which is all
+    that reaches the driver."""
+    blocks = pooled_blocks(scored_val, p, label)
+    ends = blocks.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias(p), F.col("value").alias("y"), "weight")
+    iso = IsotonicRegression(featuresCol=p, labelCol="y", weightCol="weight", predictionCol="p_cal", isotonic=True)
+    return iso.fit(ends)
 
 
 def predict(model, calibrator: IsotonicRegressionModel | None, df: DataFrame, keep: list[str]) -> DataFrame:

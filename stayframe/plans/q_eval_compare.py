@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stayframe.functions.expressions import coarse_group
 from stayframe.operators import compare as G
 from stayframe.operators import evaluate as E
 from stayframe.operators import labels as L
@@ -94,6 +95,30 @@ def q_group_average_precision(spark, d):
     return E.group_average_precision(_preds(spark, d, "toxic"), groups)
 
 
+GROUPINGS = {"gender": None, "eth_broad": None, "eth_course": ["white", "black", "asian", "hispanic", "other"]}
+
+
+@register("group_report", round_sql(A.with_(A.predictions("toxic")) + """,
+people AS (SELECT doc_id AS subject_id, CASE doc_id % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' END AS gender, lang AS eth_broad,
+  CASE WHEN source = 'src1' THEN 'white' WHEN source = 'src2' THEN 'black' WHEN source = 'src3' THEN 'hispanic' ELSE 'other' END AS eth_course FROM documents),
+g AS (SELECT subject_id, 'gender' AS grouping, gender AS grp FROM people UNION ALL SELECT subject_id, 'eth_broad', eth_broad FROM people
+      UNION ALL SELECT subject_id, 'eth_course', eth_course FROM people),
+sc AS (SELECT grouping, g.grp, y_pred, sum(y_true) AS pos, count(*) - sum(y_true) AS neg FROM preds JOIN g USING (subject_id) WHERE g.grp IS NOT NULL GROUP BY 1, 2, 3),
+c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM sc WINDOW w AS (PARTITION BY grouping, grp ORDER BY y_pred DESC)),
+ap AS (SELECT grouping, grp, sum(pos + neg) AS cnt, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * tp / (tp + fp)) / sum(pos) END AS average_precision FROM c GROUP BY 1, 2),
+every AS (SELECT DISTINCT grouping, grp FROM g WHERE grp IS NOT NULL AND grouping <> 'eth_course'
+          UNION ALL SELECT 'eth_course', unnest(['white', 'black', 'asian', 'hispanic', 'other']))
+SELECT e.grouping, e.grp, CAST(coalesce(cnt, 0) AS BIGINT) AS "count", average_precision FROM every e LEFT JOIN ap USING (grouping, grp)""", ["average_precision"]))
+def q_group_report(spark, d):
+    """Average precision by three groupings in one job; gender and broad
+    group list all values of the full table, the coarse groups are fixed."""
+    doc = read_table(spark, d, "documents", ["doc_id", "lang", "source"])
+    raw = F.when(F.col("source") == "src1", "WHITE - RUSSIAN").when(F.col("source") == "src2", "BLACK/AFRICAN").when(F.col("source") == "src3", "LATINO")
+    people = doc.select(F.col("doc_id").alias("subject_id"), F.when(F.col("doc_id") % 3 == 0, "F").when(F.col("doc_id") % 3 == 1, "M").alias("gender"),
+                        F.col("lang").alias("eth_broad"), coarse_group(F.coalesce(raw, F.lit("unknown"))).alias("eth_course"))
+    return E.group_report(ad.predictions(spark, d, "toxic"), people, GROUPINGS)
+
+
 @register("metrics_report", round_sql(A.with_(A.predictions("quality"), AUROC_SQL, AP_SQL) + """
 SELECT (SELECT (rs - P * (P + 1) / 2.0) / (P * N) FROM t) AS auroc,
        (SELECT sum(pos * tp / (tp + fp)) / sum(pos) FROM c) AS auprc,
@@ -169,8 +194,15 @@ def _mw_long(spark, d):
                      (F.col("l_returnflag") == "R").alias("grp")).select("kv.feature", "kv.value", "grp")
 
 
+#: erfc(x), x >= 0: a series up to 2.5, a continued fraction beyond.
+ERFC = """(CASE WHEN {x} < 2.5 THEN 1 - 2 / sqrt(pi()) * {x} * exp(-{x} * {x})
+    * list_reduce([CAST(1.0 AS DOUBLE)] || list_transform(range(1, 101), lambda k: CAST(101 - k AS DOUBLE)), lambda h, k: 1 + 2 * {x} * {x} / (2 * k + 1) * h)
+  ELSE exp(-{x} * {x}) / sqrt(pi()) / list_reduce([CAST({x} AS DOUBLE)] || list_transform(range(1, 101), lambda k: CAST(101 - k AS DOUBLE)),
+    lambda h, k: {x} + k / 2 / h) END)"""
+
 MW_SQL = "lng AS (" + " UNION ALL ".join(
-    f"SELECT '{m}' AS feature, {m} AS value, l_returnflag = 'R' AS grp FROM lineitem" for m in MEASURES) + """),
+    f"SELECT '{m}' AS feature, {m} AS value, l_returnflag = 'R' AS grp FROM lineitem" for m in MEASURES) + ")"
+MW_TAIL = """,
 rk AS (SELECT *, (2 * rank() OVER (PARTITION BY feature ORDER BY value)
                   + count(*) OVER (PARTITION BY feature, value) - 1) / 2.0 AS ar FROM lng),
 ties AS (SELECT feature, sum(t * t * t - t) AS ties FROM (SELECT feature, value, count(*) AS t FROM lng GROUP BY 1, 2) z GROUP BY 1),
@@ -181,10 +213,10 @@ agg AS (SELECT feature, count(*) FILTER (WHERE NOT grp) AS n0, count(*) FILTER (
 mw AS (SELECT a.feature, a.n0, a.n1, a.r0 - a.n0 * (a.n0 + 1) / 2.0 AS u0, a.m0, a.m1, t.ties FROM agg a JOIN ties t USING (feature)),
 mz AS (SELECT *, (greatest(u0, n0 * n1 - u0) - n0 * n1 / 2.0 - 0.5)
         / sqrt(n0 * n1 / 12.0 * ((n0 + n1 + 1) - ties / ((n0 + n1) * (n0 + n1 - 1.0)))) AS z FROM mw),
-mp AS (SELECT *, z / sqrt(2.0) AS x, 1.0 / (1.0 + 0.3275911 * abs(z / sqrt(2.0))) AS tt FROM mz),
-mq AS (SELECT *, least(greatest(CASE WHEN x >= 0 THEN e ELSE 2.0 - e END, 0.0), 1.0) AS p_value FROM (
-  SELECT *, ((((1.061405429 * tt - 1.453152027) * tt + 1.421413741) * tt - 0.284496736) * tt + 0.254829592) * tt
-            * exp(-x * x) AS e FROM mp) z)"""
+mq AS (SELECT *, least(greatest(""" + ERFC.format(x="(z / sqrt(2.0))") + """, 0.0), 1.0) AS p_value FROM mz)"""
+
+
+MW_SQL += MW_TAIL
 
 
 @register("mann_whitney", round_sql(A.with_(MW_SQL) + """
@@ -234,6 +266,20 @@ def q_comparison_table(spark, d):
     return _comparison(spark, d)
 
 
+TARGETS, CONT_FEATURES = ["mortality", "prolonged_stay", "readmission"], ["age", "A_mean", "N_mean", "R_mean"]
+
+
+@register("compare_continuous", round_sql(COMP + ", lng AS (" + " UNION ALL ".join(
+    f"SELECT '{t}/{f}' AS feature, CAST({f} AS DOUBLE) AS value, {t} AS grp FROM comp WHERE {f} IS NOT NULL AND {t} IS NOT NULL" for t in TARGETS for f in CONT_FEATURES)
+    + ")" + MW_TAIL + """
+SELECT split_part(feature, '/', 1) AS target, split_part(feature, '/', 2) AS feature, n0, n1, u0 AS u_statistic, m0 AS median_group_false,
+       m1 AS median_group_true, z, p_value, least(p_value * 4, 1.0) AS p_adj, p_value <= 0.05 / 4 AS significant FROM mq""",
+    ["u_statistic", "median_group_false", "median_group_true", "z", "p_value", "p_adj"]))
+def q_compare_continuous(spark, d):
+    """G3 + G4 on the comparison table, all three targets in one job."""
+    return G.compare_continuous(_comparison(spark, d), TARGETS, CONT_FEATURES)
+
+
 @register("crosstab", COMP + """
 SELECT CAST(insurance AS VARCHAR) AS category, CAST(mortality AS VARCHAR) AS "group", count(*) AS observed FROM comp
 WHERE insurance IS NOT NULL AND mortality IS NOT NULL GROUP BY 1, 2""")
@@ -261,13 +307,14 @@ terms AS (SELECT t.feature, d.dof, CASE WHEN d.dof = 1 THEN t.o + sign(t.e - t.o
                  t.e FROM tot t JOIN dims d USING (feature)),
 res AS (SELECT feature, dof, sum((oa - e) * (oa - e) / e) AS chi2_statistic,
                avg(CASE WHEN e < 5 THEN 1.0 ELSE 0.0 END) * 100.0 AS percent_low_expected FROM terms GROUP BY 1, 2),
-wh AS (SELECT *, (pow(chi2_statistic / dof, 1.0 / 3) - (1 - 2.0 / (9 * dof))) / sqrt(2.0 / (9 * dof)) / sqrt(2.0) AS x
-       FROM res),
-wp AS (SELECT *, 1.0 / (1.0 + 0.3275911 * abs(x)) AS tt FROM wh)
-SELECT feature, dof, chi2_statistic, percent_low_expected,
-  CASE WHEN dof > 0 THEN (CASE WHEN x >= 0 THEN e2 ELSE 2.0 - e2 END) / 2.0 END AS p_value
-FROM (SELECT *, ((((1.061405429 * tt - 1.453152027) * tt + 1.421413741) * tt - 0.284496736) * tt + 0.254829592) * tt
-               * exp(-x * x) AS e2 FROM wp) z"""
+half AS (SELECT *, chi2_statistic / 2 AS y FROM res)
+SELECT feature, dof, chi2_statistic, percent_low_expected, CASE WHEN dof > 0 THEN CASE
+  WHEN dof % 2 = 0 THEN exp(-y) * list_reduce([CAST(1.0 AS DOUBLE)] || list_transform(range(1, CAST(dof // 2 AS BIGINT)), lambda k: CAST(dof // 2 - k AS DOUBLE)),
+                                              lambda h, k: 1 + y / k * h)
+  WHEN dof = 1 THEN """ + ERFC.format(x="sqrt(y)") + """
+  ELSE """ + ERFC.format(x="sqrt(y)") + """ + exp(-y) * sqrt(y) / gamma(1.5)
+    * list_reduce([CAST(1.0 AS DOUBLE)] || list_transform(range(1, CAST((dof - 1) // 2 AS BIGINT)), lambda k: CAST((dof - 1) // 2 - k AS DOUBLE)),
+                  lambda h, k: 1 + y / (k + 0.5) * h) END END AS p_value FROM half"""
 
 
 @register("chi_square", round_sql(_chi_sql(), ["chi2_statistic", "percent_low_expected", "p_value"]))
