@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality_rules import MIN_GROUP_ROWS, RULES
+from .quality_rules import BITS, PRIOR, RULES
 
 #: Jump consistent hashing step by step; crc32 from its polynomial.
 JUMP_SHARD = r"""
@@ -46,17 +46,23 @@ SELECT d.doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_re
 FROM d JOIN kept USING (row) LEFT JOIN found USING (row)"""
 
 
-def _fences(name: str, keys: str) -> str:
+def _quantiles(name: str, keys: str) -> str:
     by = f"PARTITION BY {keys}, rule" if keys else "PARTITION BY rule"
     group = f"{keys}, " if keys else ""
-    return f"""{name}_bins AS (SELECT {group}rule, bin, sum(n) AS n FROM sketch GROUP BY {group}rule, bin),
+    return f"""{name}_bins AS (SELECT {group}rule, low, high, bin, sum(n) AS n FROM sketch GROUP BY {group}rule, low, high, bin),
 {name}_ranked AS (SELECT *, sum(n) OVER ({by}) AS total, sum(n) OVER ({by} ORDER BY bin) AS upto FROM {name}_bins),
-{name} AS (SELECT {group}rule, max(total) AS total, min(bin) FILTER (4 * upto >= 3 * total) AS q3, min(bin) FILTER (4 * upto >= total) AS q1
+{name} AS (SELECT {group}rule, max(total) AS total, min(bin) FILTER (1000 * upto >= low * total) AS lo, min(bin) FILTER (1000 * upto >= high * total) AS hi
            FROM {name}_ranked GROUP BY {group}rule)"""
 
 
+def _drawn(side: str) -> str:
+    lang = f"((l.total * l.{side} + {PRIOR} * e.{side}) // (l.total + {PRIOR}))"
+    return f"(o.total * o.{side} + {PRIOR} * {lang}) // (o.total + {PRIOR})"
+
+
 _VALUES = "\n  UNION ALL ".join(
-    f"SELECT row, lang, source, base_failed, '{r.name}' AS rule, {r.value.replace(' div ', ' // ')} AS value, {r.least} AS least, {r.reach} AS reach FROM judged"
+    f"SELECT row, lang, source, base_failed, '{r.name}' AS rule, {r.value.replace(' div ', ' // ')} AS value, {r.low} AS low, {r.high} AS high, {r.least} AS least, "
+    f"{r.reach} AS reach, {r.two_sided} AS two_sided FROM judged"
     for r in RULES)
 
 ADAPTIVE_RULES = rf"""
@@ -73,20 +79,20 @@ judged AS (
            CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
            CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
            CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
-           CAST(len(l) AS BIGINT) AS n_lines
+           CAST(len(l) AS BIGINT) AS n_lines, CAST(length(regexp_replace(t, '[^!-/:-@\[-`{{-~0-9]+', '', 'g')) AS BIGINT) AS n_marks
     FROM d JOIN w USING (row) JOIN lines USING (row) LEFT JOIN covered USING (row)) y),
 measured AS ({_VALUES}),
-binned AS (SELECT *, greatest(length(bin(value)) - 6, 0) AS shift FROM measured WHERE NOT base_failed),
-sketch AS (SELECT lang, source, rule, (value >> shift) << shift AS bin, count(*) AS n FROM binned GROUP BY ALL),
-{_fences("own", "lang, source")},
-{_fences("by_lang", "lang")},
-{_fences("every", "")},
-verdict AS (
-  SELECT m.row, bool_and(m.value <= CASE WHEN o.total >= {MIN_GROUP_ROWS} THEN o.q3 + reach * greatest(o.q3 - o.q1, least)
-                                         WHEN l.total >= {MIN_GROUP_ROWS} THEN l.q3 + reach * greatest(l.q3 - l.q1, least)
-                                         ELSE e.q3 + reach * greatest(e.q3 - e.q1, least) END) AS passed
+binned AS (SELECT *, greatest(length(bin(value)) - {BITS}, 0) AS shift FROM measured WHERE NOT base_failed),
+sketch AS (SELECT lang, source, rule, low, high, (value >> shift) << shift AS bin, count(*) AS n FROM binned GROUP BY ALL),
+{_quantiles("own", "lang, source")},
+{_quantiles("by_lang", "lang")},
+{_quantiles("every", "")},
+fenced AS (
+  SELECT m.row, value, least, reach, two_sided, {_drawn("lo")} AS lo, {_drawn("hi")} AS hi
   FROM measured m JOIN own o ON m.rule = o.rule AND m.lang IS NOT DISTINCT FROM o.lang AND m.source IS NOT DISTINCT FROM o.source
-  JOIN by_lang l ON m.rule = l.rule AND m.lang IS NOT DISTINCT FROM l.lang JOIN every e ON m.rule = e.rule GROUP BY m.row)
+  JOIN by_lang l ON m.rule = l.rule AND m.lang IS NOT DISTINCT FROM l.lang JOIN every e ON m.rule = e.rule),
+verdict AS (SELECT row, bool_and(value <= hi + reach * greatest(hi - lo, least) AND (NOT two_sided OR value >= lo - reach * greatest(hi - lo, least))) AS passed
+            FROM fenced GROUP BY row)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(passed, false) AS kept
 FROM judged LEFT JOIN verdict USING (row)"""

@@ -289,6 +289,27 @@ def test_adaptive_fences_follow_the_group(spark):
     assert got[0] and got[900] and not got[5000]
 
 
+def test_fences_move_with_the_spread_and_small_groups_lean_on_wider_ones(spark):
+    def fence(lengths, n):  # documents of one word length each; a small group b beside them
+        rows = [(k, " ".join(["x" * lengths[k % len(lengths)]] * 30 + [f"y{k}{j}" for j in range(20)]), "en", "a") for k in range(n)]
+        rows += [(9000 + k, " ".join(["x" * 40] * 10 + [f"z{k}{j}" for j in range(20)]), "en", "b") for k in range(3)]
+        m = quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), ["doc_id"]).withColumn("base_failed", F.lit(False))
+        found = quality_rules.thresholds(quality_rules.sketches(m)).collect()
+        return {t.source: t.fences for t in found}
+
+    narrow, wide = fence([5, 5, 6], 400), fence([3, 6, 9, 12], 400)
+    assert wide["a"].word_length_most > narrow["a"].word_length_most + 300 and wide["a"].word_length_least < narrow["a"].word_length_least
+    assert narrow["b"].word_length_most < 1200  # three odd rows do not make their own measure
+
+
+def test_rules_by_the_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = [g for g in quality_rules.judge(docs).join(labels.withColumnRenamed("doc_id", "k"), F.col("row.doc_id") == F.col("k")).collect() if not g.base_failed]
+    good, bad = [g.kept for g in got if g.quality == 1], [g.kept for g in got if g.quality == 0]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
 # -- 1, 2, 8 ----------------------------------------------------------------------
 
 def test_quality_scores(spark, docs, rows, labels, empty):
