@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayframe.session import materialize
+
 ID_COLUMNS = ["subject_id", "admission_id"]
 
 
@@ -46,20 +48,31 @@ def _assert_one_to_one(blocks: list[DataFrame]) -> None:
         raise ValueError(f"feature block {bad[0]['block']} has key {bad[0]['key']} {bad[0]['n']} times")
 
 
+def staged_block(block: DataFrame, partitions: int | None = None) -> DataFrame:
+    """A block with its id types enforced, dealt by subject and written once
+    (reliable checkpoint); what reads it later knows that it is dealt so."""
+    n = partitions or int(block.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(enforce_id_types(block).repartition(n, "subject_id"))
+
+
 def assemble_features(blocks: list[DataFrame], label: DataFrame | None = None) -> DataFrame:
     """A2: inner one-to-one joins of the chosen blocks, label joined last. A
     key that a block has twice is an error: one aggregate over the keys of
     all blocks looks for it before anything is joined.
-    Every block is keyed by subject, so the joins shuffle on the same key
-    and Spark reuses the partitioning from one join to the next."""
+
+    Every block runs once: it is staged by subject, the check reads the staged
+    rows, and the joins need no further exchange, as all blocks are dealt by
+    the same key to as many partitions. A second common key (the admission)
+    is compared beside the join, so that it asks for no other dealing."""
     if not blocks:
         raise ValueError("no feature block chosen")
-    _assert_one_to_one([*blocks, *([label] if label is not None else [])])
-    out = enforce_id_types(blocks[0])
-    for b in blocks[1:]:
-        b = enforce_id_types(b)
-        out = out.join(b, common_keys(out, b), "inner")
-    if label is not None:
-        label = enforce_id_types(label)
-        out = out.join(label, common_keys(out, label), "inner")
+    staged = [staged_block(b) for b in [*blocks, *([label] if label is not None else [])]]
+    _assert_one_to_one(staged)
+    out = staged[0]
+    for b in staged[1:]:
+        more = [c for c in common_keys(out, b) if c != "subject_id"]
+        met = out.join(b.withColumnsRenamed({c: f"__{c}" for c in more}), "subject_id")
+        for c in more:
+            met = met.where(F.col(c) - F.col(f"__{c}") == 0).drop(f"__{c}")
+        out = met
     return out

@@ -109,14 +109,15 @@ def coarse_groups(df: DataFrame, raw: str = "eth_raw") -> DataFrame:
 
 def prefix_canonicalise(values: DataFrame, col: str = "value") -> DataFrame:
     """D7 (optional in the reference): letters-only lower-case codes mapped
-    to their longest observed superstring that starts with them. The
-    ``startswith`` non-equi join becomes an equi-join: every candidate is
-    exploded into its prefixes (bounded by the string length) and joined on
-    the prefix; ``max_by(length)`` picks the winner."""
+    to their longest observed superstring that starts with them (the last by
+    name among equally long ones). Every code is exploded into its prefixes
+    (bounded by the string length), and a prefix keeps its longest member
+    before anything is joined: the maximum combines map-side, so a first
+    letter that most codes share is one row a task, and the join is one to
+    one."""
     v = (values.select(F.regexp_replace(F.lower(F.col(col)), r"[^a-z]", "").alias("code"))
          .where(F.length("code") > 0).distinct())
-    cand = v.select(F.col("code").alias("long"),
-                    F.explode(F.sequence(F.lit(1), F.length("code"))).alias("n"))
-    cand = cand.select("long", F.expr("substring(long, 1, n)").alias("prefix"))
-    j = v.join(cand, F.col("code") == F.col("prefix"), "inner")
-    return j.groupBy("code").agg(F.max_by("long", F.struct(F.length("long"), F.col("long"))).alias("canonical"))
+    member = F.expr("transform(sequence(1, length(code)), n -> substring(code, 1, n))")
+    longest = (v.select("code", F.explode(member).alias("prefix"))
+               .groupBy("prefix").agg(F.max(F.struct(F.length("code").alias("n"), F.col("code").alias("canonical"))).alias("best")))
+    return v.join(longest, F.col("code") == F.col("prefix")).select("code", F.col("best.canonical").alias("canonical"))

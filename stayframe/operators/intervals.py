@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayframe.functions.expressions import HOUR_US, safe_ratio, std_text
+from stayframe.session import materialize
 
 # Fixed values that must equal the reference: medication families (each a
 # list of case-insensitive patterns, any match tags the order) and the two
@@ -60,16 +61,36 @@ def tag(orders: DataFrame, families: dict[str, list[str]] | None = None,
     iv_routes = IV_ROUTES if iv_routes is None else iv_routes
     po_routes = PO_ROUTES if po_routes is None else po_routes
     o = normalise(orders)
-    name = tag_name()
     hrs = F.least(F.greatest(F.coalesce(F.col("overlap_hours"), F.lit(0.0)), F.lit(0.0)), F.lit(window_hours))
     cols = [F.coalesce(F.col("std_route").isin(iv_routes), F.lit(False)).cast("int").alias("route_iv_flag"),
             F.coalesce(F.col("std_route").isin(po_routes), F.lit(False)).cast("int").alias("route_po_flag"),
             hrs.alias("hours_capped")]
-    for fam, pats in families.items():
-        cols.append(F.coalesce(name.rlike(family_regex(pats)), F.lit(False)).cast("int").alias(f"fam_{fam}"))
+    cols += family_flags(tag_name(), families)
     return o.select("*", *cols)
 
 
+def family_flags(name: F.Column, families: dict[str, list[str]]) -> list[F.Column]:
+    """P5: 0/1 for each family whose patterns a name matches."""
+    return [F.coalesce(name.rlike(family_regex(pats)), F.lit(False)).cast("int").alias(f"fam_{fam}") for fam, pats in families.items()]
+
+
+def tag_by_name(orders: DataFrame, families: dict[str, list[str]] | None = None, iv_routes=None, po_routes=None,
+                window_hours: float = WINDOW_HOURS) -> DataFrame:
+    """``tag`` with every distinct name matched once: the orders are staged
+    without families, their names are tagged as a dictionary, and the flags
+    are joined back. The dictionary is unique by name, so adaptive execution
+    sends it to the orders where it is small and splits the rows of a name
+    that a third of all orders carry where it is not."""
+    families = FAMILY_PATTERNS if families is None else families
+    keep = ["subject_id", "admission_id", "admittime", "overlap_start", "overlap_end", "std_generic", "std_route",
+            "route_iv_flag", "route_po_flag", "hours_capped"]
+    o = materialize(tag(orders, {}, iv_routes, po_routes, window_hours).select(*keep, tag_name().alias("__name")))
+    names = o.select("__name").where(F.col("__name").isNotNull()).distinct()
+    codes = materialize(names.select("__name", *family_flags(F.col("__name"), families)))
+    flags = [F.coalesce(f"fam_{fam}", F.lit(0)).alias(f"fam_{fam}") for fam in families]
+    return o.join(codes, "__name", "left").select(*keep, *flags)
+
+
 def order_stats(tagged: DataFrame, families: list[str], suffix: str = SUFFIX) -> DataFrame:
     """P7-P10 per episode in one aggregation (map-side partial)."""
     aggs = [F.count(F.lit(1)).cast("int").alias(f"n_orders{suffix}"),
@@ -89,6 +110,37 @@ def order_stats(tagged: DataFrame, families: list[str], suffix: str = SUFFIX) ->
             .withColumn(f"no_meds{suffix}", (n == 0).cast("int")))
 
 
+def _swept(tagged: DataFrame, families: list[str], window_hours: float, buckets: int) -> DataFrame:
+    """Intervals by (episode, family) with distinct starts s, ends e, and the
+    largest end before each (``prev``), in microseconds from admission."""
+    width = int(round(window_hours * HOUR_US / buckets))
+    long = tagged.select("admission_id", "subject_id", "overlap_start", "overlap_end", "admittime",
+                         F.explode(F.array(*[F.when(F.col(f"fam_{f}") == 1, F.lit(f)) for f in families]))
+                         .alias("family")).where(F.col("family").isNotNull())
+    rel_s = F.timestamp_diff("MICROSECOND", F.col("admittime"), F.col("overlap_start"))
+    rel_e = F.timestamp_diff("MICROSECOND", F.col("admittime"), F.col("overlap_end"))
+    keys = ["admission_id", "subject_id", "family"]
+    d = long.select(*keys, rel_s.alias("s"), rel_e.alias("e")).groupBy(*keys, "s").agg(F.max("e").alias("e"))
+    d = d.withColumn("slice", F.least(F.greatest(F.floor(F.col("s") / F.lit(width)), F.lit(0)),
+                                      F.lit(buckets - 1)))
+    tops = d.groupBy(*keys, "slice").agg(F.max("e").alias("slice_max"))
+    w_off = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = tops.select(*keys, "slice", F.max("slice_max").over(w_off).alias("before_slice"))
+    w_in = Window.partitionBy(*keys, "slice").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("before_in", F.max("e").over(w_in)).join(offsets, [*keys, "slice"], "inner")
+    return d.withColumn("prev", F.greatest(F.col("before_in"), F.col("before_slice")))        # greatest skips nulls
+
+
+def count_islands(tagged: DataFrame, families: list[str], window_hours: float = WINDOW_HOURS, buckets: int = 32) -> DataFrame:
+    """P11 audit: groups (episode, family), islands of touching intervals, and
+    interval rows; the same two-level sweep as ``union_coverage``."""
+    islands = _swept(tagged, families, window_hours, buckets).agg(
+        F.count_distinct("admission_id", "family").alias("n_groups"),
+        F.count_if(F.col("prev").isNull() | (F.col("prev") < F.col("s"))).alias("n_islands"))
+    rows = tagged.agg(F.sum(sum((F.col(f"fam_{f}") for f in families), F.lit(0))).cast("long").alias("n_rows"))
+    return islands.crossJoin(rows)
+
+
 def union_coverage(tagged: DataFrame, families: list[str], window_hours: float = WINDOW_HOURS,
                    buckets: int = 32) -> DataFrame:
     """Length of the union of overlap intervals per (episode, family),
@@ -105,22 +157,8 @@ def union_coverage(tagged: DataFrame, families: list[str], window_hours: float =
     them, which a map-side maximum finds first; so the many orders that are
     clipped to the window's start reach their slice as one row.
     """
-    width = int(round(window_hours * HOUR_US / buckets))
-    long = tagged.select("admission_id", "subject_id", "overlap_start", "overlap_end", "admittime",
-                         F.explode(F.array(*[F.when(F.col(f"fam_{f}") == 1, F.lit(f)) for f in families]))
-                         .alias("family")).where(F.col("family").isNotNull())
-    rel_s = F.timestamp_diff("MICROSECOND", F.col("admittime"), F.col("overlap_start"))
-    rel_e = F.timestamp_diff("MICROSECOND", F.col("admittime"), F.col("overlap_end"))
-    keys = ["admission_id", "subject_id", "family"]
-    d = long.select(*keys, rel_s.alias("s"), rel_e.alias("e")).groupBy(*keys, "s").agg(F.max("e").alias("e"))
-    d = d.withColumn("slice", F.least(F.greatest(F.floor(F.col("s") / F.lit(width)), F.lit(0)),
-                                      F.lit(buckets - 1)))
-    tops = d.groupBy(*keys, "slice").agg(F.max("e").alias("slice_max"))
-    w_off = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tops.select(*keys, "slice", F.max("slice_max").over(w_off).alias("before_slice"))
-    w_in = Window.partitionBy(*keys, "slice").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("before_in", F.max("e").over(w_in)).join(offsets, [*keys, "slice"], "inner")
-    prev = F.greatest(F.col("before_in"), F.col("before_slice"))        # greatest skips nulls
+    d = _swept(tagged, families, window_hours, buckets)
+    prev = F.col("prev")
     start = F.when(prev.isNull(), F.col("s")).otherwise(F.greatest(F.col("s"), prev))
     added = F.greatest(F.col("e") - start, F.lit(0))
     total = (d.groupBy("subject_id", "admission_id", "family")
@@ -147,7 +185,7 @@ def interval_features(overlaps: DataFrame, cohort: DataFrame, families: dict[str
     coverage per family. ``overlaps`` is the X5 output."""
     families = FAMILY_PATTERNS if families is None else families
     names = list(families)
-    tagged = tag(overlaps, families, iv_routes, po_routes, window_hours)
+    tagged = tag_by_name(overlaps, families, iv_routes, po_routes, window_hours)
     stats = order_stats(tagged, names, suffix)
     cov = union_coverage(tagged, names, window_hours, buckets)
     cov_wide = (cov.groupBy("subject_id", "admission_id").pivot("family", names).agg(F.first("coverage")))

@@ -58,6 +58,15 @@ def discover_columns(df: DataFrame, categoricals: list[str] | None = None,
     return ColumnPlan(emb, cats, counts, flags, other)
 
 
+def non_null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(position, column, n): the values that are not null in each column, in
+    the given order, from one aggregate over the rows."""
+    columns = df.columns if columns is None else columns
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{k}") for k, c in enumerate(columns)])
+    cells = F.array(*[F.struct(F.lit(k).cast("long").alias("position"), F.lit(c).alias("column"), F.col(f"c{k}").alias("n")) for k, c in enumerate(columns)])
+    return counts.select(F.explode(cells).alias("c")).select("c.*")
+
+
 def to_double(c: str) -> F.Column:
     """Numeric coercion (booleans -> 0/1, text -> try_cast), NaN -> null."""
     x = F.col(f"`{c}`").try_cast("double")

@@ -308,18 +308,8 @@ def q_union_coverage(spark, d):
 SELECT count(DISTINCT (admission_id, family)) AS n_groups, count(*) FILTER (WHERE nw = 1) AS n_islands,
        count(*) AS n_rows FROM isl""")
 def q_union_islands(spark, d):
-    """P11 audit: groups, islands and rows of the unsplit gaps-and-islands
-    (cross-check of the sliced plan's inputs)."""
-    from pyspark.sql import Window
-    t = _tagged(spark, d)
-    long = t.select("admission_id", "overlap_start", "overlap_end", F.explode(F.array(
-        *[F.when(F.col(f"fam_{f}") == 1, F.lit(f)) for f in FAMILIES])).alias("family")) \
-        .where(F.col("family").isNotNull())
-    w = Window.partitionBy("admission_id", "family").orderBy("overlap_start", "overlap_end")
-    prev = F.max("overlap_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    f = long.withColumn("nw", F.when(prev >= F.col("overlap_start"), 0).otherwise(1))
-    return f.agg(F.count_distinct("admission_id", "family").alias("n_groups"),
-                 F.count_if(F.col("nw") == 1).alias("n_islands"), F.count(F.lit(1)).alias("n_rows"))
+    """P11 audit: groups, islands and rows, by the two-level sweep."""
+    return P.count_islands(_tagged(spark, d), list(FAMILIES), W_H)
 
 
 def _block_sql():
@@ -360,14 +350,18 @@ def q_interval_features(spark, d):
     return _block(spark, d)
 
 
-@register("fill_and_cast", f"""SELECT count(*) AS n_episodes, count(*) FILTER (WHERE n_orders{SFX} = 0) AS n_without_orders,
-  sum(n_orders{SFX}) AS total_orders FROM ({_BSQL}) b""")
+_COUNTS, _FLAGS, _DOUBLES = P.block_columns(list(FAMILIES), SFX)
+_EMPTY_SQL = ", ".join(f"0 AS {c}" for c in [*_COUNTS, *_FLAGS]) + ", " + ", ".join(f"CAST(0 AS DOUBLE) AS {c}" for c in _DOUBLES)
+
+
+@register("fill_and_cast", round_sql(f"""SELECT * FROM ({_BSQL}) b
+UNION ALL BY NAME SELECT subject_id, admission_id + 10000000 AS admission_id, {_EMPTY_SQL} FROM ({_BSQL}) b""", _DOUBLES))
 def q_fill_and_cast(spark, d):
-    """Every cohort episode present, zero-filled."""
-    b = _block(spark, d)
-    return b.agg(F.count(F.lit(1)).alias("n_episodes"),
-                 F.count_if(F.col(f"n_orders{SFX}") == 0).alias("n_without_orders"),
-                 F.sum(f"n_orders{SFX}").alias("total_orders"))
+    """A second episode without orders beside each cohort episode; its row
+    is filled with zeros of the fixed types."""
+    cohort = ad.interval_episodes(spark, d)
+    without = cohort.withColumn("admission_id", F.col("admission_id") + 10000000)
+    return P.interval_features(_overlaps(spark, d), cohort.unionByName(without), FAMILIES, IV, PO, W_H, SFX)
 
 
 @register("coverage_check", "SELECT " + ", ".join(

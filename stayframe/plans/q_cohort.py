@@ -8,6 +8,7 @@ from stayframe.operators import cohort as C
 from stayframe.operators import labels as L
 from stayframe.plans import sql_adapters as A
 from stayframe.plans.registry import register, round_sql
+from stayframe.session import materialize
 from stayframe.sources import adapters as ad
 from stayframe.sources.io import scan_typed, value_counts
 
@@ -169,7 +170,8 @@ MORT_SQL = """mort AS (
   SELECT c.subject_id, c.admission_id,
     coalesce(e.expire_flag = 1, false) AS in_stay,
     coalesce(s.dod <= c.dischtime + INTERVAL 30 DAY, false) AS after30,
-    coalesce(s.dod < c.dischtime, false) AS before_disch
+    coalesce(s.dod < c.dischtime, false) AS before_disch,
+    e.expire_flag IS NULL AS flag_missing, s.dod IS NULL OR c.dischtime IS NULL AS time_missing
   FROM cohort c LEFT JOIN episodes e ON c.admission_id = e.admission_id
   LEFT JOIN subjects s ON c.subject_id = s.subject_id)"""
 
@@ -193,7 +195,8 @@ READMIT_SQL = """readm AS (
     coalesce(s.nonpositive_duration, false) AS bad_duration,
     coalesce(s.second_admittime IS NOT NULL AND NOT (s.second_admittime < c.dischtime)
              AND NOT coalesce(s.nonpositive_duration, false)
-             AND CAST(s.second_admittime AS DATE) <= CAST(c.dischtime AS DATE) + 30, false) AS readmission
+             AND CAST(s.second_admittime AS DATE) <= CAST(c.dischtime AS DATE) + 30, false) AS readmission,
+    s.second_admittime IS NULL OR c.dischtime IS NULL AS time_missing
   FROM cohort c LEFT JOIN second_ep s ON c.subject_id = s.subject_id)"""
 
 
@@ -209,17 +212,19 @@ SELECT 'mortality' AS label, count(*) FILTER (WHERE in_stay OR after30) AS posit
        count(*) FILTER (WHERE NOT (in_stay OR after30)) AS negatives,
        count(*) FILTER (WHERE in_stay AND after30) AS overlap,
        count(*) FILTER (WHERE NOT in_stay AND before_disch) AS flagged,
+       count(*) FILTER (WHERE flag_missing) AS flag_missing, count(*) FILTER (WHERE time_missing) AS time_missing,
        round(count(*) FILTER (WHERE in_stay OR after30) * 100.0 / count(*), 6) AS positive_pct FROM mort
 UNION ALL
 SELECT 'prolonged_stay', count(*) FILTER (WHERE coalesce(dischtime > admittime + INTERVAL 7 DAY, false)),
-       count(*) FILTER (WHERE NOT coalesce(dischtime > admittime + INTERVAL 7 DAY, false)), 0, 0,
+       count(*) FILTER (WHERE NOT coalesce(dischtime > admittime + INTERVAL 7 DAY, false)), 0, 0, 0,
+       count(*) FILTER (WHERE admittime IS NULL OR dischtime IS NULL),
        round(count(*) FILTER (WHERE coalesce(dischtime > admittime + INTERVAL 7 DAY, false)) * 100.0 / count(*), 6)
 FROM cohort
 UNION ALL
 SELECT 'readmission', count(*) FILTER (WHERE readmission), count(*) FILTER (WHERE NOT readmission),
        count(*) FILTER (WHERE bad_order AND bad_duration), count(*) FILTER (WHERE bad_order OR bad_duration),
-       round(count(*) FILTER (WHERE readmission) * 100.0 / count(*), 6) FROM readm""")
+       0, count(*) FILTER (WHERE time_missing), round(count(*) FILTER (WHERE readmission) * 100.0 / count(*), 6) FROM readm""")
 def q_label_audit(spark, d):
-    c = cohort_df(spark, d)
+    c, second = materialize(cohort_df(spark, d)), materialize(second_df(spark, d))
     return L.label_audit(L.mortality(c, ad.episodes(spark, d), ad.subjects(spark, d)),
-                         L.prolonged_stay(c), L.readmission(c, second_df(spark, d)))
+                         L.prolonged_stay(c, audit=True), L.readmission(c, second))

@@ -106,17 +106,19 @@ SELECT column_name AS "column",
        WHEN column_name LIKE 'n\\_%' ESCAPE '\\' THEN 'count_like'
        WHEN column_name LIKE '%\\_any\\_%' ESCAPE '\\' OR column_name LIKE 'no\\_%' ESCAPE '\\'
             OR column_name LIKE 'has\\_%' ESCAPE '\\' THEN 'flag_like'
-       ELSE 'other_numerics' END AS block
-FROM (DESCRIBE SELECT * FROM mat)""")
+       ELSE 'other_numerics' END AS block, coalesce(n, 0) AS n
+FROM (DESCRIBE SELECT * FROM mat) names LEFT JOIN (SELECT c, count(*) AS n FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM mat) ON COLUMNS(*) INTO NAME c VALUE v) u GROUP BY 1) counts ON c = column_name""")
 def q_discover_columns(spark, d):
-    """B1: the block of every column of the assembled matrix, by name."""
+    """B1: the block of every column of the assembled matrix, by name, and its
+    count of values."""
     m = AS.assemble_features([doc_block(spark, d), emb_block(spark, d)], label_block(spark, d))
     plan = B.discover_columns(m, CATS, exclude=LABELS)
     rows = [(c, blk) for blk in ("embeddings", "categoricals", "count_like", "flag_like", "other_numerics")
             for c in getattr(plan, blk)]
     assigned = {c for c, _ in rows}
     rows += [(c, "ignored") for c in m.columns if c not in assigned]
-    return spark.createDataFrame(rows, "column string, block string")
+    block = F.create_map(*[F.lit(x) for row in rows for x in row])
+    return B.non_null_counts(m).select("column", block[F.col("column")].alias("block"), "n")
 
 
 @register("to_double", """SELECT event_id, TRY_CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k,

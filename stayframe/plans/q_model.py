@@ -421,15 +421,16 @@ def q_score_unseen(spark, d):
 
 
 @register("block_choice", A.with_(MAT) + """
-SELECT string_agg(letter, '' ORDER BY place) AS code FROM (
-  SELECT DISTINCT CASE WHEN column_name = 'lang' THEN 0 WHEN column_name LIKE 'n\\_%' ESCAPE '\\' THEN 5 ELSE 6 END AS place,
-         CASE WHEN column_name = 'lang' THEN 'd' WHEN column_name LIKE 'n\\_%' ESCAPE '\\' THEN 'n' ELSE 'e' END AS letter
-  FROM (DESCRIBE SELECT * FROM mat)
-  WHERE column_name = 'lang' OR column_name LIKE 'n\\_%' ESCAPE '\\' OR column_name LIKE 'emb\\_%' ESCAPE '\\') t""")
+SELECT CASE WHEN column_name = 'lang' THEN 'd' WHEN column_name LIKE 'n\\_%' ESCAPE '\\' THEN 'n' ELSE 'e' END AS letter,
+       count(*) AS n_columns, CAST(sum(coalesce(n, 0)) AS BIGINT) AS n_values, 'dne' AS code
+FROM (DESCRIBE SELECT * FROM mat) names LEFT JOIN (SELECT c, count(*) AS n FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM mat) ON COLUMNS(*) INTO NAME c VALUE v) u GROUP BY 1) counts ON c = column_name
+WHERE column_name = 'lang' OR column_name LIKE 'n\\_%' ESCAPE '\\' OR column_name LIKE 'emb\\_%' ESCAPE '\\' GROUP BY 1""")
 def q_block_choice(spark, d):
-    """The code of the blocks that the assembled matrix holds, by its
-    column names."""
-    columns = matrix(spark, d).columns
-    include = {"demographics": "lang" in columns, "notes": any(c.startswith("n_") for c in columns),
-               "embeddings": any(c.startswith("emb_") for c in columns)}
-    return spark.createDataFrame([(T.block_choice(include),)], "code string")
+    """The blocks that the assembled matrix holds, with their columns and
+    values, and the code of all of them."""
+    m = matrix(spark, d)
+    letter = F.when(F.col("column") == "lang", "d").when(F.col("column").startswith("n_"), "n").when(F.col("column").startswith("emb_"), "e")
+    found = B.non_null_counts(m).withColumn("letter", letter).where("letter IS NOT NULL").groupBy("letter").agg(
+        F.count(F.lit(1)).alias("n_columns"), F.sum("n").alias("n_values"))
+    names = {"demographics": "lang" in m.columns, "notes": any(c.startswith("n_") for c in m.columns), "embeddings": any(c.startswith("emb_") for c in m.columns)}
+    return found.withColumn("code", F.lit(T.block_choice(names)))

@@ -331,14 +331,12 @@ def q_coarse_group_by_prefix(spark, d):
 @register("prefix_canonicalise", """
 WITH v AS (SELECT DISTINCT regexp_replace(lower(p_type), '[^a-z]', '', 'g') AS code FROM part
            UNION SELECT DISTINCT regexp_replace(lower(split_part(p_type, ' ', 1)), '[^a-z]', '', 'g') FROM part)
-SELECT a.code, arg_max(b.code, length(b.code) * 1000000 + 0) AS canonical_len_key, max(length(b.code)) AS canonical_len
-FROM v a JOIN v b ON starts_with(b.code, a.code) WHERE length(a.code) > 0 GROUP BY 1""".replace(
-    "arg_max(b.code, length(b.code) * 1000000 + 0) AS canonical_len_key, ", ""))
+SELECT a.code, substr(max(lpad(CAST(length(b.code) AS VARCHAR), 9, '0') || b.code), 10) AS canonical
+FROM v a JOIN v b ON starts_with(b.code, a.code) WHERE length(a.code) > 0 GROUP BY 1""")
 def q_prefix_canonicalise(spark, d):
     """Map each code to its longest observed superstring (codes from
     part types and their first words, so prefixes exist)."""
     p = spark.read.parquet(f"{d}/part.parquet")
     vals = p.select(F.col("p_type").alias("value")).unionByName(
         p.select(F.split("p_type", " ")[0].alias("value")))
-    out = D.prefix_canonicalise(vals, "value")
-    return out.select("code", F.length("canonical").cast("bigint").alias("canonical_len"))
+    return D.prefix_canonicalise(vals, "value")

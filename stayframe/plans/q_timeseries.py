@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stayframe.operators import clean as M
 from stayframe.operators import extract as X
 from stayframe.operators import timeseries as TS
+from stayframe.operators.prepare import non_null_counts
 from stayframe.plans import sql_adapters as A
 from stayframe.plans.registry import register, round_sql
 from stayframe.sources import adapters as ad
@@ -369,11 +370,13 @@ def q_ts_features(spark, d):
     return _block(spark, d, DENSE_H)
 
 
-@register("stable_column_order", f"""SELECT row_number() OVER () - 1 AS position, column_name AS "column"
-FROM (DESCRIBE {_full(SPARSE_H)}) t""")
+@register("stable_column_order", f"""SELECT position, "column", coalesce(n, 0) AS n FROM (
+  SELECT row_number() OVER () - 1 AS position, column_name AS "column" FROM (DESCRIBE {_full(SPARSE_H)}) t) names
+LEFT JOIN (SELECT c AS "column", count(*) AS n FROM (UNPIVOT (SELECT COLUMNS(*)::VARCHAR FROM ({_full(SPARSE_H)}) b) ON COLUMNS(*) INTO NAME c VALUE v) u GROUP BY 1)
+  counts USING ("column")""")
 def q_stable_column_order(spark, d):
-    """the columns of the time-series block, feature by feature:
-    admission, windows, diffs."""
+    """the columns of the time-series block, feature by feature
+    (admission, windows, diffs), each with its count of values."""
     block = _block(spark, d, SPARSE_H)
     ordered = [c for c in block.columns if c not in TS.feature_columns(FEATURES)] + TS.feature_columns(FEATURES)
-    return spark.createDataFrame([(k, c) for k, c in enumerate(ordered)], "position long, column string")
+    return non_null_counts(block, ordered)

@@ -47,3 +47,33 @@ def test_keyed_prefix_has_no_lambda(spark):
     higher-order function."""
     plan = _plan(QS["mann_whitney"](spark, SF_SMALL))
     assert "lambdafunction" not in plan.lower()
+
+
+def test_assembly_needs_no_exchange_and_runs_each_block_once(spark):
+    from pyspark.sql import functions as F
+    from stayframe.operators import assemble as AS
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    a = spark.range(100).select(F.col("id").alias("subject_id"), F.col("id").alias("admission_id"), (F.col("id") * 2).alias("x"))
+    b = spark.range(100).select(F.col("id").alias("subject_id"), F.col("id").alias("admission_id"), (F.col("id") * 3).alias("y"))
+    c = spark.range(90).select(F.col("id").alias("subject_id"), F.lit(1).alias("z")).mapInArrow(seen, "subject_id long, z int")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for blocks that are too large to send
+    try:
+        out = AS.assemble_features([a, b, c], a.select("subject_id", "admission_id", F.lit(0).alias("label")))
+        assert "Exchange" not in _plan(out) and _plan(out).count("SortMergeJoin") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert out.count() == 90 and out.columns == ["subject_id", "admission_id", "x", "y", "z", "label"]
+    assert runs.value == 90
+
+
+def test_patterns_are_matched_once(spark):
+    plan = _plan(QS["interval_features"](spark, SF_SMALL))
+    assert "RLIKE" not in plan.upper()  # names were tagged as a staged dictionary
+    assert plan.count("FileScan") + plan.count("Scan parquet") <= 4
