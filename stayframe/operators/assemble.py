@@ -49,10 +49,19 @@ def _assert_one_to_one(blocks: list[DataFrame]) -> None:
 
 
 def staged_block(block: DataFrame, partitions: int | None = None) -> DataFrame:
-    """A block with its id types enforced, dealt by subject and written once
-    (reliable checkpoint); what reads it later knows that it is dealt so."""
-    n = partitions or int(block.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialize(enforce_id_types(block).repartition(n, "subject_id"))
+    """A block with its id types enforced, written once (reliable checkpoint)
+    and then dealt by subject and written so. The block itself runs under
+    adaptive execution; the dealing of its one row a subject does not, as
+    only a fixed plan lets later joins know how the rows lie."""
+    spark = block.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(enforce_id_types(block))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return materialize(rows.repartition(n, "subject_id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
 def assemble_features(blocks: list[DataFrame], label: DataFrame | None = None) -> DataFrame:
