@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 #: Coefficients of Lanczos' approximation of the gamma function (g = 7).
 LANCZOS = [0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
            12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7]
-#: Beyond this the tail comes from the continued fraction; terms of both.
-SPLIT, TERMS = 2.5, 120
+#: Beyond this erfc comes from the continued fraction; terms of both, and of the gamma function's.
+SPLIT, ERFC_TERMS, TERMS = 2.5, 45, 120
 #: The smaller group's rows up to which the rank-sum distribution is exact.
 EXACT_ROWS = 8
 
@@ -23,10 +23,13 @@ def _down(n) -> F.Column:
 
 
 def erfc(x: F.Column) -> F.Column:
-    """Complementary error function, right to about 1e-12 of its value."""
+    """Complementary error function, right to about 1e-12 of its value: plain
+    arithmetic, written out term by term."""
     a = F.abs(x)
-    series = F.aggregate(_down(F.lit(TERMS)), F.lit(1.0), lambda h, k: 1.0 + 2.0 * a * a / (2.0 * k + 1.0) * h)
-    fraction = F.aggregate(_down(F.lit(TERMS)), a, lambda h, k: a + k / 2.0 / h)
+    series, fraction = F.lit(1.0), a
+    for k in range(ERFC_TERMS, 0, -1):
+        series = 1.0 + 2.0 * a * a / (2.0 * k + 1.0) * series
+        fraction = a + k / 2.0 / fraction
     near = 1.0 - 2.0 / math.sqrt(math.pi) * a * F.exp(-a * a) * series
     far = F.exp(-a * a) / math.sqrt(math.pi) / fraction
     tail = F.when(a < SPLIT, near).otherwise(far)
