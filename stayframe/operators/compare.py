@@ -83,7 +83,8 @@ def mann_whitney(long: DataFrame, feature: str | list[str] = "feature", group: s
         *keys, F.col("n0").cast("bigint").alias("n0"), F.col("n1").cast("bigint").alias("n1"),
         u0.alias("u_statistic"), ((F.col("m0_lo") + F.col("m0_hi")) / 2.0).alias("median_group_false"),
         ((F.col("m1_lo") + F.col("m1_hi")) / 2.0).alias("median_group_true"),
-        z.alias("z"), normal_two_sided_p(z).alias("p_value"), exact.alias("exact"))
+        z.alias("z"), exact.alias("exact"))
+    out = out.select(*[c for c in out.columns if c != "exact"], normal_two_sided_p(F.col("z")).alias("p_value"), "exact")
     return out.mapInArrow(_exact_p, out.schema).drop("exact")
 
 

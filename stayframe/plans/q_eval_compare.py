@@ -194,6 +194,10 @@ def _mw_long(spark, d):
                      (F.col("l_returnflag") == "R").alias("grp")).select("kv.feature", "kv.value", "grp")
 
 
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 #: erfc(x), x >= 0: a series up to 2.5, a continued fraction beyond.
 ERFC = """(CASE WHEN {x} < 2.5 THEN 1 - 2 / sqrt(pi()) * {x} * exp(-{x} * {x})
     * list_reduce([CAST(1.0 AS DOUBLE)] || list_transform(range(1, 101), lambda k: CAST(101 - k AS DOUBLE)), lambda h, k: 1 + 2 * {x} * {x} / (2 * k + 1) * h)
@@ -213,13 +217,18 @@ agg AS (SELECT feature, count(*) FILTER (WHERE NOT grp) AS n0, count(*) FILTER (
 mw AS (SELECT a.feature, a.n0, a.n1, a.r0 - a.n0 * (a.n0 + 1) / 2.0 AS u0, a.m0, a.m1, t.ties FROM agg a JOIN ties t USING (feature)),
 mz AS (SELECT *, (greatest(u0, n0 * n1 - u0) - n0 * n1 / 2.0 - 0.5)
         / sqrt(n0 * n1 / 12.0 * ((n0 + n1 + 1) - ties / ((n0 + n1) * (n0 + n1 - 1.0)))) AS z FROM mw),
-mq AS (SELECT *, least(greatest(""" + ERFC.format(x="(z / sqrt(2.0))") + """, 0.0), 1.0) AS p_value FROM mz)"""
+small AS (SELECT feature, least(n0, n1) AS k, n0 + n1 AS n, CAST(greatest(u0, n0 * n1 - u0) AS BIGINT) AS far FROM mw WHERE least(n0, n1) BETWEEN 1 AND 8 AND ties = 0),
+ways AS (SELECT feature, k, n, far, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS j, CAST(0 AS BIGINT) AS s, CAST(1 AS HUGEINT) AS w FROM small
+  UNION ALL SELECT feature, k, n, far, i + 1, j + take, s + take * (i + 1), CAST(sum(w) AS HUGEINT) FROM ways, (VALUES (0), (1)) t(take)
+  WHERE i < n AND j + take <= k GROUP BY feature, k, n, far, i, j + take, s + take * (i + 1)),
+exact AS (SELECT feature, least(1.0, 2 * coalesce(sum(w) FILTER (s - k * (k + 1) // 2 >= far), 0) / sum(w)) AS p FROM ways WHERE i = n AND j = k GROUP BY 1),
+mq AS (SELECT * EXCLUDE (p), coalesce(p, least(greatest(""" + ERFC.format(x="(z / sqrt(2.0))") + """, 0.0), 1.0)) AS p_value FROM mz LEFT JOIN exact USING (feature))"""
 
 
 MW_SQL += MW_TAIL
 
 
-@register("mann_whitney", round_sql(A.with_(MW_SQL) + """
+@register("mann_whitney", round_sql(_recursive(A.with_(MW_SQL)) + """
 SELECT feature, n0, n1, u0 AS u_statistic, m0 AS median_group_false, m1 AS median_group_true, z, p_value FROM mq""",
                                     ["u_statistic", "median_group_false", "median_group_true", "z", "p_value"]))
 def q_mann_whitney(spark, d):
@@ -228,7 +237,7 @@ def q_mann_whitney(spark, d):
     return G.mann_whitney(_mw_long(spark, d))
 
 
-@register("bonferroni", round_sql(A.with_(MW_SQL) + """
+@register("bonferroni", round_sql(_recursive(A.with_(MW_SQL)) + """
 SELECT feature, p_value, least(p_value * (SELECT count(*) FROM mq), 1.0) AS p_adj,
        p_value <= 0.05 / (SELECT count(*) FROM mq) AS significant FROM mq""", ["p_value", "p_adj"]))
 def q_bonferroni(spark, d):
@@ -269,7 +278,7 @@ def q_comparison_table(spark, d):
 TARGETS, CONT_FEATURES = ["mortality", "prolonged_stay", "readmission"], ["age", "A_mean", "N_mean", "R_mean"]
 
 
-@register("compare_continuous", round_sql(COMP + ", lng AS (" + " UNION ALL ".join(
+@register("compare_continuous", round_sql(_recursive(COMP) + ", lng AS (" + " UNION ALL ".join(
     f"SELECT '{t}/{f}' AS feature, CAST({f} AS DOUBLE) AS value, {t} AS grp FROM comp WHERE {f} IS NOT NULL AND {t} IS NOT NULL" for t in TARGETS for f in CONT_FEATURES)
     + ")" + MW_TAIL + """
 SELECT split_part(feature, '/', 1) AS target, split_part(feature, '/', 2) AS feature, n0, n1, u0 AS u_statistic, m0 AS median_group_false,
