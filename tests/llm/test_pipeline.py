@@ -39,4 +39,4 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
