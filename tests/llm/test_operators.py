@@ -427,13 +427,61 @@ def test_language_model_scores_each_token_once():
             place = np.arange(attention.WINDOW) + block - (attention.WINDOW - attention.STRIDE) - 1
             x = np.where(place < 0, 39, t[np.clip(place, 0, len(t) - 1)])
             x[place >= k] = 0  # what comes later must not matter
-            z, _ = model.forward(x[None], (place < -1)[None])
+            z = model.forward(x[None], (place < -1)[None])
             total += z.reshape(attention.STRIDE, -1)[k - block, model.classes[t[k]]] + model.within[t[k]]
         assert abs(total / math.log(10) - s) < 1e-3
     total = np.exp(model.within)
     assert np.allclose(np.bincount(model.classes, weights=total)[np.unique(model.classes)], 1)
 
 
+def test_language_model_gradients_and_windows():
+    from stayframe.llm import attention
+
+    rng = np.random.default_rng(2)
+    counts = rng.integers(1, 50, 40)
+    model = attention.AttentionModel(counts, attention.token_classes(counts, rng.integers(0, 40, (50, attention.WINDOW + 1))))
+    model.table = model.table.astype(float)
+    model.p = {k: model.table[:, 16 * i:16 * i + 16] for i, k in enumerate("QKVE")} | {k: model.p[k].astype(float) for k in attention.DENSE}
+    x, y, inside, first, _ = attention._blocks(rng.integers(0, 40, 120), np.array([40, 1, 50, 29]), 39)
+    at = np.arange(1, 9).reshape(2, 4)
+    run, classes = x[np.concatenate((at[:, :1] - 1, at), axis=1)], model.classes[y[at]]
+    dense, rows = model.gradients(run, first[at], classes, inside[at])
+    table = np.zeros(model.table.shape)
+    np.add.at(table, run.ravel(), rows.reshape(-1, table.shape[1]))
+
+    def loss():  # window by window
+        windows = np.concatenate((x[at - 1], x[at]), axis=2).reshape(-1, attention.WINDOW)
+        absent = np.zeros(windows.shape, bool)
+        absent[first[at].ravel(), :attention.STRIDE] = True
+        z = model.forward(windows, absent)[np.arange(classes.size), classes.ravel()]
+        return -z[inside[at].ravel()].mean()
+
+    places = [(model.p[k], g, (0,) * g.ndim) for k, g in dense.items()] + [(model.p["kp"], dense["kp"], (20, 3))]
+    places += [(model.table, table, (int(run[0, 1, 3]), c)) for c in (1, 17, 33, 49)]
+    for w, grad, k in places:
+        keep = w[k]
+        w[k] = keep + 1e-4
+        up = loss()
+        w[k] = keep - 1e-4
+        down = loss()
+        w[k] = keep
+        assert abs((up - down) / 2e-4 - grad[k]) < 1e-4
+
+    for sizes in ([700, 1, 30], [5], [129, 128, 127]):  # over all rounds, each place is an input once
+        ids = rng.integers(0, 39, sum(sizes))
+        got = sum(attention.AttentionModel(counts, model.classes).learn(ids, np.array(sizes), 39, k, 3) for k in range(3))
+        inputs = np.append(39, ids)[:-1]
+        inputs[np.cumsum(sizes) - sizes] = 39
+        assert (got == np.bincount(inputs, minlength=40)).all()
+
+
+def test_language_model_scores_are_the_same_for_every_split(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    one, other = ({r["doc_id"]: r["score"] for r in attention_lm.score_documents(d).collect()}
+                  for d in (docs.coalesce(1), docs.repartition(5, "text")))
+    assert one.keys() == other.keys() and all(abs(one[k] - other[k]) < 1e-6 * abs(one[k]) for k in one)
+
+
 def test_language_model_learns_from_every_training_id(spark, monkeypatch):
     from stayframe.llm import attention
 
@@ -444,7 +492,7 @@ def test_language_model_learns_from_every_training_id(spark, monkeypatch):
     rows = [(0, " ".join(names[:2000]))] + [(k, names[1000 + k]) for k in range(1, 2000)]  # one long, many short
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     monkeypatch.setattr(attention_lm, "CHUNK_BYTES", 10_000)
-    corpus = attention_lm._read_corpus(frame, default_path(), 8)
+    corpus = attention_lm._read_corpus(frame, default_path(), 8, 5, 3)
     train = [t for r, t in zip(rows, ids_of(rows, end)) if zlib.crc32(str(r[0]).encode()) % 7 != 2]
     assert len(train[0]) > 1500
     counts = np.bincount(np.concatenate(train).astype(int), minlength=size)
