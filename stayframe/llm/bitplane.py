@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import frugal, shared_path, stage, text_of
-from .tokens import default_path, piece_encoder
+from .tokens import WIDE_MEMO_BYTES, default_path, piece_encoder
 
 MAGIC, FOOTER = b"BITPLN01", struct.Struct("<qqqqqII")
 BLOCK_IDS, END_ID = 1 << 16, 1
@@ -144,7 +144,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str | None = None, e
     bounds = np.unique(np.array(cuts if files > 1 else [], np.int64))
 
     def encode(batches):
-        encoder, pack = piece_encoder(path), zstandard.ZstdCompressor(level=1)
+        encoder, pack = piece_encoder(path, WIDE_MEMO_BYTES), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             keys, blobs = batch.column(0).to_pylist(), []
             for text in batch.column(1):

@@ -17,18 +17,20 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Bytes of pieces and ids in a worker's memo before it starts afresh, and the longest piece kept.
-MEMO_BYTES, MEMO_CHARS = 4 << 20, 48
+#: Bytes of pieces and ids in a worker's memo before it starts afresh (a piece takes some 200 bytes of memory
+#: for 15 counted), the same for operators whose tasks hold little else, and the longest piece kept.
+MEMO_BYTES, WIDE_MEMO_BYTES, MEMO_CHARS = 4 << 20, 9 << 20, 48
 
 _PLAIN_LETTERS = "a-zß-öø-ÿ"
-_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_PLAIN_LETTERS}]+|[0-9]|[^ \t-\r0-9{_PLAIN_LETTERS}]+")
+# letters first, as most pieces are: only the last two kinds can begin alike
+_PIECE = re.compile(rf"[{_PLAIN_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \t-\r0-9{_PLAIN_LETTERS}]+")
 _NOT_PLAIN = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]|<\\|")
 
 
 class PieceEncoder:
     """encode(text) -> ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo_bytes: int = MEMO_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work; threads would only spin
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -42,7 +44,7 @@ class PieceEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)  # ids that close a piece
         self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {}
-        self.held = 0
+        self.held, self.memo_bytes = 0, memo_bytes
 
     @staticmethod
     def _ids(tokenizer, text: str) -> np.ndarray:
@@ -60,11 +62,11 @@ class PieceEncoder:
             at = stop
 
     def encode(self, text: str) -> bytes:
-        if _NOT_PLAIN.search(text):
+        if "<|" in text if text.isascii() else _NOT_PLAIN.search(text):
             return self._ids(self.tokenizer, text).tobytes()
         pieces = _PIECE.findall(text.lower())
         memo = self.memo
-        if self.held > MEMO_BYTES:
+        if self.held > self.memo_bytes:
             memo.clear()
             self.held = 0
         new = [p for p in set(pieces) if p not in memo]
@@ -78,9 +80,9 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def piece_encoder(path: str) -> PieceEncoder:
+def piece_encoder(path: str, memo_bytes: int = MEMO_BYTES) -> PieceEncoder:
     """One encoder for each Python worker and vocabulary file."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, memo_bytes)
 
 
 def default_path() -> str:
