@@ -98,6 +98,13 @@ def tokens(cleaned) -> Column:
     return F.filter(F.split(col_(cleaned), r"\s+"), lambda t: F.length(t) > 0)
 
 
+def text_tokens(c) -> Column:
+    """``tokens(clean_text(c))`` (N7 + N8) in one pass: what is left between
+    the spaces is the runs of letters."""
+    no_phi = F.regexp_replace(F.coalesce(col_(c), F.lit("")), PHI_SPAN, " ")
+    return F.regexp_extract_all(F.lower(no_phi), F.lit(r"\p{L}+"), F.lit(0))
+
+
 def coarse_group(c) -> Column:
     """Coarse group by prefix of the lower-cased raw value; null -> other
     (D6, decision Q23)."""

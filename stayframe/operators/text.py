@@ -8,10 +8,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayframe.functions.expressions import clean_text, tokens
+from stayframe.functions.expressions import clean_text, text_tokens
 from stayframe.operators import word_vectors
 from stayframe.operators.word_vectors import WordVectors
-from stayframe.session import materialize
+from stayframe.session import stage
 
 # Fixed values that must equal the reference: the twelve counted note
 # categories (trailing spaces included), the three categories used for
@@ -83,7 +83,7 @@ def note_features(kept: DataFrame, cohort: DataFrame, categories: list[str] | No
 
 def with_tokens(notes: DataFrame) -> DataFrame:
     """N7 + N8."""
-    return notes.withColumn("clean_text", clean_text("text")).withColumn("tokens", tokens("clean_text"))
+    return notes.withColumns({"clean_text": clean_text("text"), "tokens": text_tokens("text")})
 
 
 def category_filter(notes: DataFrame, categories: list[str] | None = None, trim: bool = False) -> DataFrame:
@@ -104,15 +104,11 @@ def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int
 
 def note_vectors(tokenised: DataFrame, model: WordVectors, key: str = "row_id") -> DataFrame:
     """Mean of the vectors of in-vocabulary tokens per note (zeros if
-    none). Worked out once for each distinct token list and joined on that
-    list's digest, so rows that share an id, or whole rows that repeat, do
-    not add up."""
-    t = tokenised.select(key, "subject_id", "admission_id", "tokens").withColumn(
-        "__k", F.sha2(F.array_join("tokens", " ").cast("binary"), 256))
-    notes = t.groupBy("__k").agg(F.first("tokens").alias("tokens")).select(F.col("__k").alias("key"), "tokens")
-    sums = word_vectors.note_sums(notes, model).select(F.col("key").alias("__k"), F.transform("total", lambda x: x / F.col("n_in")).alias("mean"))
-    arr = F.coalesce("mean", F.array_repeat(F.lit(0.0), model.size))
-    return t.join(sums, "__k", "left").select(key, "subject_id", "admission_id", array_to_vector(arr).alias("vec"))
+    none), row by row and without a shuffle: rows that share an id, or whole
+    rows that repeat, do not add up."""
+    t = tokenised.select(key, "subject_id", "admission_id", "tokens")
+    mean = F.when(F.col("n_in") > 0, F.transform("total", lambda x: x / F.col("n_in"))).otherwise(F.array_repeat(F.lit(0.0), model.size))
+    return word_vectors.row_sums(t, model).select(key, "subject_id", "admission_id", array_to_vector(mean).alias("vec"))
 
 
 def mean_vector_by_group(vectors: DataFrame, vector_col: str = "vec",
@@ -136,10 +132,11 @@ def embedding_features(notes: DataFrame, cohort: DataFrame, model: WordVectors |
                        fit_notes: DataFrame | None = None) -> tuple[DataFrame, WordVectors]:
     """Tokenise, (fit once on the training notes, Q17), note vectors,
     episode means, expanded columns. Returns (block, model)."""
-    # tokens are read by the vocabulary, the pair counts and the notes' sums: written once
-    n = materialize(with_tokens(notes if categories is None else category_filter(notes, categories))
-                    .select("row_id", "subject_id", "admission_id", "tokens"))
+    n = with_tokens(notes if categories is None else category_filter(notes, categories)) \
+        .select("row_id", "subject_id", "admission_id", "tokens")
     if model is None:
+        # tokens are read by the vocabulary, the pair counts and the notes' sums: written once
+        n = stage(n, "tokens")
         model = train_word_vectors(with_tokens(fit_notes) if fit_notes is not None else n,
                                    vector_size=vector_size, min_count=min_count)
     dims = model.size

@@ -21,15 +21,18 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
-from stayframe.session import materialize
+from stayframe.session import materialize, shared_folder
 
 #: Words of a block (so a tile has at most BLOCK^2 entries), tokens and entries of a step of numpy.
 BLOCK, STEP_TOKENS, STEP_ENTRIES = 2048, 1 << 18, 1 << 15
-#: Notes that meet one copy of a block of vectors.
-NOTES_PER_COPY = 1 << 16
+#: Notes, and tokens unless a note has more, that read the vectors of their words together.
+NOTES_PER_COPY, TOKENS_PER_COPY = 1 << 14, 1 << 21
 #: Gram matrices that the driver adds up; more are added in Spark first.
 GRAMS = 64
 
@@ -79,11 +82,17 @@ def _blocks_of(found: list[tuple], names: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), names.values())], names=list(names))
 
 
+def word_counts(tokenised: DataFrame, min_count: int) -> DataFrame:
+    """(word, n) of the words with at least ``min_count`` tokens."""
+    # a plain explode has Spark work out the tokens again for a filter on their number
+    words = tokenised.select(F.explode_outer("tokens").alias("word")).where("word IS NOT NULL")
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+
+
 def vocabulary(tokenised: DataFrame, min_count: int) -> DataFrame:
     """word, id (64-bit hash), n, block, place: words with at least
     ``min_count`` tokens, dealt to blocks by hash and numbered within them."""
-    counts = tokenised.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
-    words = materialize(counts.select("word", "n", F.xxhash64("word").alias("id")))
+    words = materialize(word_counts(tokenised, min_count).select("word", "n", F.xxhash64("word").alias("id")))
     clash = words.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     if not clash.isEmpty():
         raise ValueError("two words of the vocabulary share a 64-bit hash")
@@ -287,57 +296,101 @@ def from_table(vectors: DataFrame, size: int) -> WordVectors:
     return WordVectors(dealt.select("word", "block", "place", F.lit(None).cast("long").alias("n")), blocks, size)
 
 
-def note_sums(notes: DataFrame, model: WordVectors) -> DataFrame:
-    """(key, n_in, total): of each note of ``notes`` (key: string, tokens), the
-    tokens that have a vector and the sum of their vectors; notes without any
-    are left out. ``key`` must be unique.
+def vector_files(model: WordVectors, folder: str) -> list[str]:
+    """Write each block as a file under ``folder``: the ids of its words in
+    ascending order, then their vectors in that order. Returns the names, one
+    for each ``BLOCK`` words; a task that runs twice leaves a file that no name
+    is returned for."""
+    size = model.size
+
+    def write(batches):
+        fs, root = pafs.FileSystem.from_uri(folder)
+        for block, blob, own in _rows(batches, 3):
+            fs.create_dir(root, recursive=True)
+            name = f"{block}-{TaskContext.get().taskAttemptId()}"
+            v = np.frombuffer(blob, "<f8").reshape(-1, size)
+            with fs.open_output_stream(f"{root}/{name}") as sink:
+                sink.write(np.array([w["id"] for w in own], "<i8").tobytes())
+                sink.write(v[[w["place"] for w in own]].tobytes())
+            yield _blocks_of([(block, name)], {"block": pa.int64(), "name": pa.string()})
+
+    own = model.words.groupBy("block").agg(F.array_sort(F.collect_list(F.struct(F.xxhash64("word").alias("id"), "place"))).alias("own"))
+    rows = model.blocks.select("block", "blob").join(own, "block").mapInArrow(write, "block long, name string").collect()
+    return [r["name"] for r in sorted(rows, key=lambda r: r["block"])]
+
 
-    A note's words go to the blocks of vectors; a block is copied for each
-    ``NOTES_PER_COPY`` notes, so that no block's notes land in one task, and
-    the parts of a note are added in the blocks' order."""
+def row_sums(notes: DataFrame, model: WordVectors) -> DataFrame:
+    """The rows of ``notes`` with ``n_in``, the tokens (column ``tokens``) that
+    have a vector, and ``total``, the sum of their vectors, in place of the
+    tokens. Words are told apart by their 64-bit hash.
+
+    Nothing is shuffled: the vectors lie in files in the shared folder, and a
+    batch of notes reads those of its own words, block by block; a block of
+    which it needs few is read vector by vector. A note's sum is taken in the
+    order of blocks and words, whatever notes are beside it."""
     size = model.size
-    copies = max(1, -(-notes.count() // NOTES_PER_COPY))
-    counts = notes.select("key", F.explode("tokens").alias("word")).groupBy("key", "word").agg(F.count(F.lit(1)).alias("c"))
-    known = counts.join(model.words.select("word", "block", "place"), "word")
-    copy = F.pmod(F.xxhash64("key"), F.lit(copies)).cast("int").alias("copy")
-    parts = known.groupBy("key", "block").agg(F.array_sort(F.collect_list(F.struct("place", "c"))).alias("own")).select(
-        "block", copy, "key", F.col("own.place").alias("places"), F.col("own.c").alias("counts"), F.lit(None).cast("binary").alias("blob"))
-    held = model.blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), F.lit(None).cast("string").alias("key"),
-                               F.lit(None).cast("array<long>").alias("places"), F.lit(None).cast("array<long>").alias("counts"), "blob")
-
-    def look_up(batches):
-        v = None
-        for batch in batches:
-            keys, blobs = batch.column(2).to_pylist(), batch.column(5)
-            out = []
-            for r, key in enumerate(keys):
-                if key is None:  # a block's vectors come before its notes
-                    v = np.frombuffer(blobs[r].as_py(), "<f8").reshape(-1, size)
-                    continue
-                places, c = batch.column(3)[r].values.to_numpy(), batch.column(4)[r].values.to_numpy()
-                out.append((key, batch.column(0)[r].as_py(), int(c.sum()), (c @ v[places]).tobytes()))
-                if len(out) == 1024:
-                    yield _blocks_of(out, names)
-                    out = []
-            if out:
-                yield _blocks_of(out, names)
-
-    names = {"key": pa.string(), "block": pa.int64(), "n": pa.int64(), "blob": pa.binary()}
-    order = ["block", "copy", F.col("key").asc_nulls_first()]
-    met = held.unionByName(parts).repartition("block", "copy").sortWithinPartitions(*order).mapInArrow(look_up, "key string, block long, n long, blob binary")
+    folder = shared_folder(notes.sparkSession, "vectors")
+    names = vector_files(model, folder)
+
+    def block_of(source, words: np.ndarray):
+        """Of the sorted ``words``, the places of those in the block, and their vectors."""
+        n = source.size() // (8 + 8 * size)
+        ids = np.frombuffer(source.read_at(8 * n, 0), "<i8")
+        at = np.searchsorted(words, ids)
+        here = np.flatnonzero(words[np.minimum(at, len(words) - 1)] == ids)
+        if 4 * len(here) >= n:
+            v = np.frombuffer(source.read_at(8 * n * size, 8 * n), "<f8").reshape(-1, size)[here]
+        else:
+            v = np.frombuffer(b"".join(source.read_at(8 * size, 8 * (n + int(k) * size)) for k in here), "<f8").reshape(-1, size)
+        return at[here], v
+
+    def sums(fs, root, ids: np.ndarray, note: np.ndarray, n_notes: int):
+        total, n_in = np.zeros((n_notes, size)), np.zeros(n_notes, np.int64)
+        if not len(ids):
+            return n_in, total
+        words, which = np.unique(ids, return_inverse=True)
+        entries, count = np.unique(which * n_notes + note, return_counts=True)
+        first = np.searchsorted(entries, np.arange(len(words) + 1) * n_notes)
+        for name in names:
+            with fs.open_input_file(f"{root}/{name}") as source:
+                places, v = block_of(source, words)
+            long = first[places + 1] - first[places]
+            row = np.repeat(np.arange(len(places)), long)
+            mine = np.arange(len(row)) + np.repeat(first[places] - (np.cumsum(long) - long), long)
+            of = entries[mine] % n_notes
+            by = np.argsort(of, kind="stable")
+            of, row, c = of[by], row[by], count[mine[by]]
+            heads = np.flatnonzero(np.diff(of, prepend=-1))
+            cuts = np.unique(np.append(heads[np.searchsorted(heads, np.arange(0, len(of), STEP_ENTRIES), "right") - 1], len(of)))
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                own = heads[(heads >= a) & (heads < b)]
+                total[of[own]] += np.add.reduceat(v[row[a:b]] * c[a:b, None], own - a)
+            n_in += np.bincount(of, weights=c, minlength=n_notes).astype(np.int64)
+        return n_in, total
 
     def add(batches):
-        out = []
-        for key, own in groupby(_rows(batches, 4), key=lambda r: r[0]):
-            n, total = 0, np.zeros(size)
-            for _, _, c, blob in own:
-                n += c
-                total += np.frombuffer(blob, "<f8")
-            out.append((key, n, total.tolist()))
-            if len(out) == 1024:
-                yield _blocks_of(out, {"key": pa.string(), "n_in": pa.int64(), "total": pa.list_(pa.float64())})
-                out = []
-        if out:
-            yield _blocks_of(out, {"key": pa.string(), "n_in": pa.int64(), "total": pa.list_(pa.float64())})
-
-    return met.repartition("key").sortWithinPartitions("key", "block").mapInArrow(add, "key string, n_in long, total array<double>")
+        fs, root = pafs.FileSystem.from_uri(folder)
+        for batch in batches:
+            ends = batch.column(batch.num_columns - 1).offsets.to_numpy()
+            at = 0
+            while at < batch.num_rows:
+                stop = int(np.searchsorted(ends, ends[at] + TOKENS_PER_COPY, "right")) - 1
+                n = max(1, min(stop - at, NOTES_PER_COPY, batch.num_rows - at))
+                part = batch.slice(at, n)
+                ids = part.column(part.num_columns - 1)
+                n_in, total = sums(fs, root, ids.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(n), np.diff(ends[at:at + n + 1])), n)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, total.size + 1, size, dtype=np.int32)), pa.array(total.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n_in), lists], names=[*part.schema.names[:-1], "n_in", "total"])
+                at += n
+
+    kept = [c for c in notes.columns if c != "tokens"]
+    ids = F.transform(F.coalesce("tokens", F.array().cast("array<string>")), lambda t: F.xxhash64(t))
+    schema = StructType([*notes.select(*kept).schema.fields]).add("n_in", LongType()).add("total", ArrayType(DoubleType()))
+    return notes.select(*kept, ids.alias("__ids")).mapInArrow(add, schema)
+
+
+def note_sums(notes: DataFrame, model: WordVectors) -> DataFrame:
+    """(key, n_in, total): of each note of ``notes`` (key, tokens), the tokens
+    that have a vector and the sum of their vectors; notes without any are left
+    out."""
+    return row_sums(notes.select("key", "tokens"), model).where("n_in > 0")

@@ -9,7 +9,7 @@ from stayframe.functions.expressions import clean_text, tokens
 from stayframe.operators import demographics as D
 from stayframe.operators import extract as X
 from stayframe.operators import text as N
-from stayframe.operators.word_vectors import from_table
+from stayframe.operators.word_vectors import from_table, word_counts
 from stayframe.plans import sql_adapters as A
 from stayframe.plans.q_cohort import cohort_df
 from stayframe.plans.registry import register, round_sql
@@ -180,7 +180,7 @@ sums AS (SELECT doc_id, """ + ", ".join(f"avg(v[{k + 1}]) AS m{k}" for k in rang
 def md5_vectors(notes):
     """Vectors that SQL can state too: the bytes of the word's MD5 over 256, for
     every word with five tokens."""
-    words = notes.select(F.explode("tokens").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 5")
+    words = word_counts(notes, 5)
     parts = [F.conv(F.substring(F.md5(F.encode("word", "utf-8")), 2 * k + 1, 2), 16, 10).cast("double") / 256 for k in range(MD5_DIMS)]
     return from_table(words.select("word", F.array(*parts).alias("vector")), MD5_DIMS)
 

@@ -93,3 +93,28 @@ def test_note_sums_saving_and_small_inputs(spark, notes, tmp_path, monkeypatch):
     assert table(none) == {} and W.note_sums(notes.select(F.col("row_id").cast("string").alias("key"), "tokens"), none).collect() == []
     alone = W.train(spark.createDataFrame([(["a"],), (["a"],)], "tokens array<string>"), size=4, min_count=1)
     assert {w: v.tolist() for w, v in table(alone).items()} == {"a": [0.0] * 4}
+
+
+def test_notes_meet_their_vectors_without_a_shuffle(spark, monkeypatch):
+    from pyspark.ml.functions import vector_to_array
+
+    from stayframe.operators import text as N
+    monkeypatch.setattr(W, "BLOCK", 4)
+    monkeypatch.setattr(W, "NOTES_PER_COPY", 3)
+    monkeypatch.setattr(W, "TOKENS_PER_COPY", 5)
+    monkeypatch.setattr(W, "STEP_ENTRIES", 2)
+    words = [f"w{k}" for k in range(23)]
+    model = W.from_table(spark.createDataFrame([(w, [float(k), 0.25]) for k, w in enumerate(words)], "word string, vector array<double>"), 2)
+    rows = [(k % 7, 1, None, [f"w{(k * j) % 30}" for j in range(k % 9)]) for k in range(40)] + [(None, 2, 3, None), (None, 2, 3, ["w1", None, "w1"])]
+    found = N.note_vectors(spark.createDataFrame(rows, "row_id long, subject_id long, admission_id long, tokens array<string>").coalesce(2), model)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted(repr(tuple(r)) for r in found.withColumn("vec", vector_to_array("vec")).collect())
+    mean = lambda own: [sum(x) / len(own) for x in zip(*own)] if own else [0.0, 0.0]
+    assert got == sorted(repr((*r[:3], mean([[float(w[1:]), 0.25] for w in r[3] or [] if w in words]))) for r in rows)
+
+
+def test_tokens_in_one_pass_are_those_of_the_cleaned_text(spark):
+    from stayframe.functions.expressions import clean_text, text_tokens, tokens
+    texts = ["", None, " A b\tC\n", "x[**PHI 1**]y", "[**a\nb**] q", "Ünï-cödé 𝒜𝒷 3four5 six seven", "İSTANBUL ß", "áb", "--", "日本 語"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(text_tokens("text").alias("a"), tokens(clean_text("text")).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows) and ["x", "y"] in [r["a"] for r in rows]
