@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
-from stayframe.session import materialize, shared_folder
+from stayframe.session import materialize, shared_folder, stage
 
 #: Words of a block (so a tile has at most BLOCK^2 entries), tokens and entries of a step of numpy.
 BLOCK, STEP_TOKENS, STEP_ENTRIES = 2048, 1 << 18, 1 << 15
@@ -142,7 +142,8 @@ def information_tiles(pairs: DataFrame, words: DataFrame) -> DataFrame:
     w = words.select("id", "block", "place")
     known = pairs.join(w.select(F.col("id").alias("a"), F.col("block").alias("ab"), F.col("place").alias("ap")), "a") \
         .join(w.select(F.col("id").alias("b"), F.col("block").alias("bb"), F.col("place").alias("bp")), "b")
-    both = materialize(known.select("ab", "ap", "bb", "bp", F.when(F.col("a") == F.col("b"), 2 * F.col("weight")).otherwise(F.col("weight")).alias("n")))
+    # the largest table of a fit, so compressed
+    both = stage(known.select("ab", "ap", "bb", "bp", F.when(F.col("a") == F.col("b"), 2 * F.col("weight")).otherwise(F.col("weight")).alias("n")), "pairs")
     turned = both.where("ab <> bb OR ap <> bp").select(F.col("bb").alias("ab"), F.col("bp").alias("ap"), F.col("ab").alias("bb"), F.col("ap").alias("bp"), "n")
     cells = both.unionByName(turned)
     margins = materialize(cells.groupBy("ab", "ap").agg(F.sum("n").alias("n_row")))
