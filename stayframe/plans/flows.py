@@ -22,7 +22,7 @@ from stayframe.operators import prepare as B
 from stayframe.operators import text as N
 from stayframe.operators import timeseries as TS
 from stayframe.operators.word_vectors import WordVectors
-from stayframe.session import materialize
+from stayframe.session import materialize, stage_packed
 from stayframe.sources.clinical import typed, with_row_id
 
 TARGETS = {"mortality": "mortality_proba", "prolonged_stay": "prolonged_LOS_proba",
@@ -162,10 +162,11 @@ def train_targets(matrix: DataFrame, cfg: Config, targets=None) -> dict:
     # statistic below reads it instead of replaying cohort + blocks
     matrix = materialize(matrix)
     for target in targets or list(TARGETS):
-        s = materialize(B.stratified_split(matrix, target))
+        s = stage_packed(B.stratified_split(matrix, target), "split", len(matrix.columns))
         plan = B.discover_columns(s, exclude=list(TARGETS) + ["split"])
         prep = B.fit_preparation(s.where(F.col("split") == "train"), plan)
-        x = materialize(prep.transform(s, ["subject_id", "split", target]))
+        x = prep.transform(s, ["subject_id", "split", target])
+        x = stage_packed(x, "matrix", len(prep.output_columns))
         spw = B.class_weight(s, target).first()["scale_pos_weight"]
         params = T.BEST_PARAMS[target]
         weight = spw * params["spw_factor"] if cfg.tuned_weight else spw

@@ -107,3 +107,30 @@ def test_gain_is_the_mean_loss_removed_by_a_split(spark, noisy):
 
 def test_grids_differ_by_target():
     assert [T.grid_for(t)["spw_factor"] for t in T.BEST_PARAMS] == [[0.5, 1.0, 1.5], [0.75, 1.0, 1.25], [0.5, 1.0, 2.0]]
+
+
+def test_small_frames_are_read_in_few_tasks(spark, tmp_path):
+    from stayframe.operators import assemble as AS
+    from stayframe.session import packed_partitions, stage_packed
+    assert [packed_partitions(n) for n in (0, 1, 1 << 21, (1 << 21) + 1, 1 << 30)] == [1, 1, 1, 2, 512]
+    rows = spark.range(1000).repartition(40).withColumn("features", array_to_vector(F.array(F.col("id").cast("double"), F.lit(2.0))))
+    out = stage_packed(rows, "packed", 3)
+    assert out.rdd.getNumPartitions() == 1 and out.schema["features"].dataType == rows.schema["features"].dataType
+    assert sorted((r["id"], tuple(r["features"])) for r in out.collect()) == [(k, (float(k), 2.0)) for k in range(1000)]
+    assert stage_packed(rows, "wide", 3 << 20).rdd.getNumPartitions() > 1  # a partition never holds more than its bytes ask for
+    ids = spark.range(60).select(F.col("id").alias("subject_id"), (F.col("id") % 7).alias("v"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        staged = AS.staged_blocks([ids, ids.withColumnRenamed("v", "w")])
+        assert [s.rdd.getNumPartitions() for s in staged] == [1, 1]  # one row a subject, so 50 tasks are not worth it
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_the_first_fit_holds_a_stop_within_twice_the_patience(spark, noisy, monkeypatch):
+    asked, boost = [], T.boost
+    monkeypatch.setattr(T, "boost", lambda *a, **k: asked.append(a[4]) or boost(*a, **k))
+    model = T.train_classifier(noisy, "y", {**PARAMS, "learning_rate": 0.3}, 1.5, max_iter=200, patience=10)
+    assert asked[0] == 20 and all(b == 2 * a for a, b in zip(asked, asked[1:]))
+    assert (len(asked) == 1) == (model.getNumTrees <= 10)
