@@ -1,5 +1,7 @@
 """Boosting with patience: the kept round against a brute-force search."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -134,3 +136,20 @@ def test_the_first_fit_holds_a_stop_within_twice_the_patience(spark, noisy, monk
     model = T.train_classifier(noisy, "y", {**PARAMS, "learning_rate": 0.3}, 1.5, max_iter=200, patience=10)
     assert asked[0] == 20 and all(b == 2 * a for a, b in zip(asked, asked[1:]))
     assert (len(asked) == 1) == (model.getNumTrees <= 10)
+
+
+def test_a_search_reads_its_rows_once(spark, noisy, tmp_path, monkeypatch):
+    noisy.select("y", "features", "split").coalesce(2).write.parquet(str(tmp_path / "x"))
+    x, seen, boost = spark.read.parquet(str(tmp_path / "x")), [], T.boost
+    plain = boost(x.where("split = 'train'"), "y", PARAMS, 1.0, 4)
+    monkeypatch.setattr(T, "boost", lambda *a, **k: seen.append((a[0].inputFiles(), boost(*a, **k))) or seen[-1][1])
+    _, table = T.grid_search(x, "y", 1.0, [PARAMS, {**PARAMS, "max_depth": 2}], max_iter=4)
+    T.train_classifier(x, "y", PARAMS, 1.0, max_iter=4)
+    assert table.count() == 2 and [files for files, _ in seen] == [[], [], []]  # no fit goes back to the files
+    val = x.where("split = 'val'")
+    for r in table.collect():  # scored together, yet each by its own model
+        params = json.loads(r["params"])
+        alone = T.positive_probability(T.train_classifier(x, "y", params, 1.0, max_iter=4), val).select(F.col("y").alias("y_true"), F.col("p_raw").alias("y_pred"))
+        assert r["val_average_precision"] == pytest.approx(average_precision(alone).first()["average_precision"], abs=1e-12)
+    same = [m for _, m in seen[:3] if m.getMaxDepth() == 3]
+    assert len(same) == 2 and all(m.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:] for m in same)
