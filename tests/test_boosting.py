@@ -153,3 +153,60 @@ def test_a_search_reads_its_rows_once(spark, noisy, tmp_path, monkeypatch):
         assert r["val_average_precision"] == pytest.approx(average_precision(alone).first()["average_precision"], abs=1e-12)
     same = [m for _, m in seen[:3] if m.getMaxDepth() == 3]
     assert len(same) == 2 and all(m.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:] for m in same)
+
+
+def test_trees_are_those_of_sparks_boosting_without_draws(spark):
+    from pyspark.ml.classification import GBTClassifier
+    rng = np.random.default_rng(3)
+    x = np.clip(np.round(rng.normal(size=(600, 4)) * 8) / 8, -3, 3)  # fewer values than bins, so both cut between all of them
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + 0.4 * rng.normal(size=600) > 0.3).astype(int)
+    rows = spark.createDataFrame([(int(b), a.tolist()) for a, b in zip(x, y)], "y int, f array<double>").withColumn("features", array_to_vector("f")).repartition(3)
+    params = dict(max_depth=4, learning_rate=0.1, min_child_weight=5, subsample=1.0, colsample=1.0)
+    gbt = GBTClassifier(featuresCol="features", labelCol="z", weightCol="weight", maxIter=8, stepSize=0.1, maxDepth=4, subsamplingRate=1.0, minInstancesPerNode=5, maxBins=64)
+    theirs = gbt.fit(T.with_weights(rows, "y", 1.7).withColumn("z", F.col("y").cast("double")))
+    mine = T.boost(rows, "y", params, 1.7, 8)
+    key = ["tree", "node"]
+    a, b = (T.node_table(m).toPandas() for m in (mine, theirs))
+    path = lambda m: [line.split("Predict")[0] for line in m.toDebugString.split("\n")[1:]]
+    assert path(mine) == path(theirs) and len(a) == len(b) and mine.treeWeights == theirs.treeWeights
+    assert sorted(a["gain"].dropna()) == pytest.approx(sorted(b["gain"].dropna())) and a.groupby("tree")["weight"].sum().tolist() == pytest.approx(b.groupby("tree")["weight"].sum().tolist())
+    p, q = ([r["p_raw"] for r in T.positive_probability(m, rows).select("f", "p_raw").orderBy("f").collect()] for m in (mine, theirs))
+    assert p == pytest.approx(q, abs=1e-12) and not a[key].duplicated().any()
+
+
+def test_a_fit_grows_on_a_job_a_level(spark, noisy):
+    train, held = noisy.where("split = 'train'"), []
+    sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    first = T.boost(train, "y", PARAMS, 1.0, 4, held=held)
+    sc.setJobGroup("grows", "")
+    try:
+        held[0].grow(40)  # past the trees that every job is sent
+        jobs = tracker.getJobIdsForGroup("grows")
+    finally:
+        sc._jsc.clearJobGroup()
+    assert len(jobs) <= 36 * PARAMS["max_depth"]  # no tree is grown again
+    assert all(len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs if tracker.getJobInfo(j))
+    longer = T.boost(train, "y", PARAMS, 1.0, 40, held=held)
+    held[0].close()
+    # dealt otherwise, and by workers that hold nothing of the rows
+    plain = T.boost(train.repartition(3), "y", PARAMS, 1.0, 40)
+    lines = lambda m: [line.split("Predict")[0] for line in m.toDebugString.split("\n")[1:]]
+    assert lines(longer) == lines(plain) and lines(longer)[:len(lines(first)) - 1] == lines(first)[:-1]
+
+
+def test_bins_follow_the_weights_of_values():
+    from stayframe.operators import boosting as B
+    assert B.cut_points(np.array([0.0, 1.0]), np.array([999, 1]), 64).tolist() == [0.5]
+    assert B.cut_points(np.array([7.0]), np.array([9]), 64).tolist() == []
+    v = np.arange(10000.0)
+    a = (10000, 0, [(v[::2], np.ones(5000, int))])
+    b = (10000, 0, [(v[1::2], np.ones(5000, int))])
+    values, counts = B._merged(a, b)[2][0]
+    assert len(values) <= B.POINTS and counts.sum() == 10000 and values[-1] == 9999
+    cuts = B.cut_points(values, counts, 64)
+    assert len(cuts) == 63 and np.abs(np.diff(cuts) - 10000 / 64).max() < 20
+
+
+def test_rows_without_a_label_are_refused(spark, noisy):
+    with pytest.raises(Exception, match="1 of 280 training rows"):
+        T.boost(noisy.where("split = 'train'").withColumn("y", F.expr("if(subject_id = 1, null, y)")), "y", PARAMS, 1.0, 2)
