@@ -174,7 +174,8 @@ def test_trees_are_those_of_sparks_boosting_without_draws(spark):
     assert p == pytest.approx(q, abs=1e-12) and not a[key].duplicated().any()
 
 
-def test_a_fit_grows_on_a_job_a_level(spark, noisy):
+def test_a_fit_grows_on_a_job_a_level(spark, noisy, monkeypatch):
+    from stayframe.operators import boosting as B
     train, held = noisy.where("split = 'train'"), []
     sc, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
     first = T.boost(train, "y", PARAMS, 1.0, 4, held=held)
@@ -188,7 +189,9 @@ def test_a_fit_grows_on_a_job_a_level(spark, noisy):
     assert all(len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs if tracker.getJobInfo(j))
     longer = T.boost(train, "y", PARAMS, 1.0, 40, held=held)
     held[0].close()
-    # dealt otherwise, and by workers that hold nothing of the rows
+    # dealt otherwise, summed by tasks, and by workers that hold nothing of the rows
+    monkeypatch.setattr(B, "TASK_CELLS", 100)
+    monkeypatch.setattr(B, "SUMMED_ON_DRIVER", 2)
     plain = T.boost(train.repartition(3), "y", PARAMS, 1.0, 40)
     lines = lambda m: [line.split("Predict")[0] for line in m.toDebugString.split("\n")[1:]]
     assert lines(longer) == lines(plain) and lines(longer)[:len(lines(first)) - 1] == lines(first)[:-1]
@@ -210,3 +213,17 @@ def test_bins_follow_the_weights_of_values():
 def test_rows_without_a_label_are_refused(spark, noisy):
     with pytest.raises(Exception, match="1 of 280 training rows"):
         T.boost(noisy.where("split = 'train'").withColumn("y", F.expr("if(subject_id = 1, null, y)")), "y", PARAMS, 1.0, 2)
+
+
+def test_a_fit_ends_soon_after_its_stop(spark, noisy, monkeypatch):
+    grown, model_of = [], T.Ensemble.model
+    monkeypatch.setattr(T.Ensemble, "model", lambda e, *a: grown.append(e) or model_of(e, *a))
+    model = T.train_classifier(noisy, "y", {**PARAMS, "learning_rate": 0.3}, 1.5, max_iter=400, patience=30)
+    stop = model.getNumTrees + 30
+    assert stop <= len(grown[-1].trees) < stop + 15  # it is asked every half patience
+    a, b = T.grown_trees(grown[-1]), T.flat_trees(T.node_table(model_of(grown[-1], spark, T.GBTClassifier(maxDepth=3, labelCol="y"))), grown[-1].weights())
+    x = np.array([r["f"] for r in noisy.collect()])
+    assert np.array_equal(a.outputs(x), b.outputs(x))
+    val = noisy.where("split = 'val'").withColumnRenamed("y", "y_true")
+    whole, late = ({r["round"]: r["average_precision"] for r in T.staged_average_precision(val, a, first=k).collect()} for k in (0, 20))
+    assert late == {k: v for k, v in whole.items() if k > 20}
