@@ -227,3 +227,51 @@ def test_a_fit_ends_soon_after_its_stop(spark, noisy, monkeypatch):
     val = noisy.where("split = 'val'").withColumnRenamed("y", "y_true")
     whole, late = ({r["round"]: r["average_precision"] for r in T.staged_average_precision(val, a, first=k).collect()} for k in (0, 20))
     assert late == {k: v for k, v in whole.items() if k > 20}
+
+
+def test_a_search_in_tasks_scores_as_by_jobs(spark, noisy, monkeypatch):
+    from stayframe.operators import boosting as B
+    grid = {"max_depth": [1, 3], "learning_rate": [0.3], "min_child_weight": [2], "subsample": [0.7, 1.0], "colsample": [0.8], "spw_factor": [0.5, 2.0]}
+    monkeypatch.setattr(B, "TASK_CELLS", 300)  # several blobs
+    by_jobs = T.grid_search(noisy, "y", 1.3, grid, max_iter=60, patience=12)
+    in_tasks = T.grid_search(noisy, "y", 1.3, grid, max_iter=60, patience=12, threads=2)
+    scores = [{r["params"]: r["val_average_precision"] for r in table.collect()} for _, table in (by_jobs, in_tasks)]
+    assert by_jobs[0] == in_tasks[0] and len(scores[0]) == 8 and len(set(scores[0].values())) > 4
+    assert scores[1] == pytest.approx(scores[0], abs=1e-12)
+    monkeypatch.setattr(T, "SEARCH_CELLS", 400 * 5)  # 420 rows of 5 features are too many for a task
+    monkeypatch.setattr(T, "score_of", None)
+    assert T.grid_search(noisy, "y", 1.3, grid, max_iter=2, patience=12, threads=2)[1].count() == 8
+
+
+def test_a_search_in_tasks_without_validation_rows_or_classes(spark, noisy):
+    grid = {"max_depth": [1], "learning_rate": [0.3], "min_child_weight": [2], "subsample": [1.0], "colsample": [1.0], "spw_factor": [0.5, 1.0, 2.0]}
+    train = noisy.where("split = 'train'")
+    one_class = noisy.where("split = 'train' OR y = 1").withColumn("y", F.expr("if(split = 'val' AND subject_id % 2 = 0, null, y)"))
+    for rows in (train, one_class):
+        best, table = T.grid_search(rows, "y", 1.0, grid, max_iter=3, threads=1)
+        assert [r["val_average_precision"] for r in table.collect()] == [None] * 3 and best["spw_factor"] == 0.5
+
+
+def test_ranked_precision_takes_ties_together():
+    from stayframe.operators.boosting import ranked_precision
+    rng = np.random.default_rng(5)
+    y, p = rng.integers(0, 2, 90), rng.integers(0, 7, 90) / 7
+    assert ranked_precision(y, p) == pytest.approx(slow_ap(y.tolist(), p.tolist()))
+
+
+def test_the_search_query_tries_the_whole_grid_with_full_patience(spark, noisy, monkeypatch):
+    from stayframe.plans import q_model as Q
+    asked, search = [], T.grid_search
+    few = [{"max_depth": 1, "learning_rate": 0.3, "min_child_weight": 1, "subsample": 1.0, "colsample": 1.0, "spw_factor": 1.0}]
+
+    def seen(x, label, spw, grid=None, *args, **named):
+        asked.append((grid, args, named))
+        return search(x, label, spw, few, 2)
+
+    monkeypatch.setattr(Q, "_matrix", lambda *a: (*[noisy.withColumnRenamed("y", "quality")] * 2, noisy.withColumnRenamed("y", "quality")))
+    monkeypatch.setattr(T, "grid_search", seen)
+    assert Q.q_grid_search(spark, None).count() == 1
+    # no list of settings, no rounds and no patience of the query's own: the operator's defaults are the whole job
+    assert asked == [(None, (), {"target": "mortality"})]
+    assert np.prod([len(v) for v in T.grid_for("mortality").values()]) == 729 and (T.MAX_ROUNDS, T.PATIENCE) == (4000, 100)
+    assert Q.SEARCHED == T.grid_for("mortality")
