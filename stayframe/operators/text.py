@@ -96,10 +96,14 @@ def category_filter(notes: DataFrame, categories: list[str] | None = None, trim:
     return notes.where(F.col("category").isin(categories))
 
 
-def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int = 5, min_count: int = 5, passes: int = 5) -> WordVectors:
+def train_word_vectors(tokenised: DataFrame, vector_size: int = 200, window: int = 5, min_count: int = 5, passes: int = 5,
+                       written: bool = False) -> WordVectors:
     """Word vectors from skip-gram pair counts (``word_vectors``), the same
-    for every partitioning; a note is one sentence, however long."""
-    return word_vectors.train(tokenised.select("tokens"), vector_size, window, min_count, passes)
+    for every partitioning; a note is one sentence, however long. The tokens
+    are read by the vocabulary and by the pair counts, so they are written
+    once, unless ``written`` says that they are."""
+    tokens = tokenised.select("tokens")
+    return word_vectors.train(tokens if written else stage(tokens, "tokens"), vector_size, window, min_count, passes)
 
 
 def note_vectors(tokenised: DataFrame, model: WordVectors, key: str = "row_id") -> DataFrame:
@@ -138,7 +142,7 @@ def embedding_features(notes: DataFrame, cohort: DataFrame, model: WordVectors |
         # tokens are read by the vocabulary, the pair counts and the notes' sums: written once
         n = stage(n, "tokens")
         model = train_word_vectors(with_tokens(fit_notes) if fit_notes is not None else n,
-                                   vector_size=vector_size, min_count=min_count)
+                                   vector_size=vector_size, min_count=min_count, written=fit_notes is None)
     dims = model.size
     vecs = note_vectors(n, model)
     return expand_vector(mean_vector_by_group(vecs), cohort, dims), model

@@ -2,10 +2,12 @@
 
 Skip-gram training with negative samples factorises the (shifted) pointwise
 mutual information of words and their neighbours. Here that matrix is
-counted exactly and factorised by block power iteration: a parameter table of
-word vectors, cut into blocks of words, is joined to the tiles of the matrix
-once a pass, and the products are summed by block. Neither the vocabulary nor
-the vectors ever reach the driver; it sees only (size x size) matrices.
+counted exactly and factorised by block power iteration. The matrix lies in
+compressed tiles of counts, a file for each group of rows, and the vectors in
+files by group of words. A task has a group of rows: it reads their tiles and,
+one group after another, the vectors of the columns, and sums the products
+where they are made. Neither the vocabulary nor the vectors ever reach the
+driver; it sees only (size x size) matrices.
 
 Every sum has a fixed order (tiles by number, entries by place) and the start
 comes from the words' MD5, so the vectors do not depend on how the input is
@@ -14,8 +16,10 @@ partitioned.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
+import struct
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -29,8 +33,10 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 
 from stayframe.session import materialize, shared_folder, stage
 
-#: Words of a block (so a tile has at most BLOCK^2 entries), tokens and entries of a step of numpy.
-BLOCK, STEP_TOKENS, STEP_ENTRIES = 2048, 1 << 18, 1 << 15
+#: Words of a block, blocks of a group (of rows or columns of a tile), columns of a slab, batches of groups that are turned together.
+BLOCK, GROUP_BLOCKS, SLAB, BATCHES = 2048, 4, 50, 4
+#: Tokens and entries of a step of numpy, entries of a step of products, cells that are added up at once.
+STEP_TOKENS, STEP_ENTRIES, PRODUCT_ENTRIES, MERGED = 1 << 19, 1 << 15, 1 << 12, 1 << 22
 #: Notes, and tokens unless a note has more, that read the vectors of their words together.
 NOTES_PER_COPY, TOKENS_PER_COPY = 1 << 14, 1 << 21
 #: Gram matrices that the driver adds up; more are added in Spark first.
@@ -40,10 +46,12 @@ GRAMS = 64
 @dataclass
 class WordVectors:
     """``words`` (word, block, place, n) and ``blocks`` (block, size, vectors as
-    little-endian float64), both tables."""
+    little-endian float64), both tables. ``files`` are the blocks as
+    ``vector_files`` writes them (folder, names), where they are already."""
     words: DataFrame
     blocks: DataFrame
     size: int
+    files: tuple[str, list[str]] | None = None
 
     def vectors(self) -> DataFrame:
         """(word, vector) of the whole vocabulary."""
@@ -98,82 +106,222 @@ def vocabulary(tokenised: DataFrame, min_count: int) -> DataFrame:
         raise ValueError("two words of the vocabulary share a 64-bit hash")
     n_blocks = max(1, -(-words.count() // BLOCK))
     place = F.row_number().over(Window.partitionBy("block").orderBy("id")) - 1
-    return materialize(words.withColumn("block", F.pmod("id", F.lit(n_blocks)).cast("long")).withColumn("place", place.cast("long")))
+    return materialize(words.withColumn("block", F.pmod("id", F.lit(n_blocks)).cast("long")).withColumn("place", place.cast("long")).withColumn("n_blocks", F.lit(n_blocks).cast("long")))
 
 
-def pair_counts(tokenised: DataFrame, window: int) -> DataFrame:
-    """(a, b, weight) of unordered pairs of word ids at most ``window`` tokens
-    apart, a <= b; a pair ``d`` apart weighs ``window + 1 - d`` (the mean of
-    windows of every size up to ``window``). Steps of tokens are counted in
+@dataclass
+class Layout:
+    """Where a fit's words stand: those of ``GROUP_BLOCKS`` blocks are a group, and a word's place in its group has at most
+    ``bits`` bits. ``names`` (by group) are files under ``folder`` with the ids of the group's words in the order of their places;
+    ``sizes`` are how many it has."""
+    folder: str
+    n_blocks: int
+    per_group: int
+    names: dict[int, str]
+    sizes: dict[int, int]
+
+    @property
+    def groups(self) -> list[int]:
+        return sorted(self.names)
+
+    @property
+    def bits(self) -> int:
+        return max(1, int(max(self.sizes.values()) - 1).bit_length())
+
+    @property
+    def n_groups(self) -> int:
+        return -(-self.n_blocks // self.per_group)
+
+    def codes(self, ids: np.ndarray) -> np.ndarray:
+        """group << bits | place of each of the distinct ``ids``, -1 for those of no word."""
+        out, group = np.full(len(ids), -1), ids % self.n_blocks // self.per_group
+        by = np.argsort(group, kind="stable")
+        cuts = np.append(np.flatnonzero(np.diff(group[by], prepend=-1)), len(by))
+        for a, b in zip(cuts, cuts[1:]):
+            mine = by[a:b]
+            if (g := int(group[mine[0]])) in self.names:
+                known = _read(f"{self.folder}/{self.names[g]}", "<i8")
+                place = np.argsort(known)
+                at = place[np.minimum(np.searchsorted(known, ids[mine], sorter=place), len(known) - 1)]
+                out[mine] = np.where(known[at] == ids[mine], g << self.bits | at, -1)
+        return out
+
+
+def _read(path: str, kind: str) -> np.ndarray:
+    fs, at = pafs.FileSystem.from_uri(path)
+    with fs.open_input_file(at) as source:
+        return np.frombuffer(source.read(), kind)
+
+
+def _write(path: str, *arrays: np.ndarray) -> None:
+    fs, at = pafs.FileSystem.from_uri(path)
+    fs.create_dir(at.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(at) as sink:
+        for a in arrays:
+            sink.write(np.ascontiguousarray(a).data)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _release(spark: SparkSession) -> None:
+    """Shuffle files of frames that are gone stay until the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _planes(x: np.ndarray) -> tuple[int, bytes]:
+    """Bytes a number, and the numbers with their first bytes together, then their second, and so on."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or int(x.max()) < 1 << 8 * w)
+    return width, x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def packed_cells(cells: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending cells and their counts, compressed."""
+    (a, steps), (b, n) = _planes(np.diff(cells, prepend=0)), _planes(counts)
+    return struct.pack("<qBB", len(cells), a, b) + pa.compress(steps + n, codec="zstd", asbytes=True)
+
+
+def unpacked_cells(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, a, b = struct.unpack_from("<qBB", blob)
+    raw = np.frombuffer(pa.decompress(blob[10:], n * (a + b), codec="zstd", asbytes=True), np.uint8)
+    steps, counts = (np.ascontiguousarray(part.reshape(w, n).T).view(f"<u{w}").ravel().astype(np.int64) for part, w in ((raw[:n * a], a), (raw[n * a:], b)))
+    return np.cumsum(steps), counts
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of several lists of cells, added up."""
+    cells, counts = (np.concatenate(x) for x in zip(*parts))
+    by = np.argsort(cells, kind="stable")
+    cells, counts = cells[by], counts[by]
+    heads = np.flatnonzero(np.diff(cells, prepend=-1))
+    return cells[heads], np.add.reduceat(counts, heads)
+
+
+def start_groups(words: DataFrame, size: int, folder: str, slabs: list[tuple[int, int]]) -> tuple[Layout, dict[int, str]]:
+    """Write the ids of every group and the words' first vectors, from the MD5 of each; the layout, and the names of the vectors."""
+    n_blocks, per_group = words.agg(F.max("n_blocks")).first()[0] or 1, GROUP_BLOCKS
+    batch = _batch_of(-(-n_blocks // per_group))
+
+    def write(batches):
+        for group, own in _rows(batches, 2):
+            v = np.empty((len(own), size))
+            for k, entry in enumerate(own):
+                raw = b"".join(hashlib.md5(f"{entry['word']}/{part}".encode()).digest() for part in range(-(-size // 4)))
+                v[k] = np.frombuffer(raw, "<u4")[:size] / 2.0**32 - 0.5
+            name = f"{group}-{TaskContext.get().taskAttemptId()}"
+            _write(f"{folder}/ids/{name}", np.array([e["id"] for e in own], "<i8"))
+            for s, (a, b) in enumerate(slabs):
+                _write(f"{folder}/y0-{batch(group)}/{name}.{s}", v[:, a:b])
+            yield _blocks_of([(group, name, len(own))], {"group": pa.int64(), "name": pa.string(), "n": pa.int64()})
+
+    own = words.groupBy(F.floor(F.col("block") / per_group).alias("group")).agg(F.array_sort(F.collect_list(F.struct("block", "place", "id", "word"))).alias("own"))
+    rows = own.mapInArrow(write, "group long, name string, n long").collect()
+    return (Layout(folder, n_blocks, per_group, {r["group"]: f"ids/{r['name']}" for r in rows}, {r["group"]: r["n"] for r in rows}),
+            {r["group"]: r["name"] for r in rows})
+
+
+def pair_tiles(tokenised: DataFrame, window: int, layout: Layout) -> DataFrame:
+    """(row, col, blob) of unordered pairs of words at most ``window`` tokens
+    apart, in tiles of row group x column group (row <= col); a pair ``d``
+    apart weighs ``window + 1 - d`` (the mean of windows of every size up to
+    ``window``), a pair of a word with itself counts from both ends. Pairs with
+    a word outside the vocabulary count nowhere. Steps of tokens are counted in
     numpy before the shuffle; a note may be of any length."""
+    bits, n_groups, low = layout.bits, layout.n_groups, window.bit_length()
+    if 2 * bits + low + (n_groups * n_groups).bit_length() > 63:
+        raise ValueError(f"{n_groups} groups of up to {1 << bits} words are too many")
+    mask, step, most = (1 << bits) - 1, STEP_TOKENS, MERGED
+    names = {"row": pa.int64(), "col": pa.int64(), "blob": pa.binary()}
+
     def count(batches):
         for batch in batches:
             column = batch.column(0)
             ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             note = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
-            for at in range(0, len(ids), STEP_TOKENS):
-                own, local = np.unique(ids[at:at + STEP_TOKENS + window], return_inverse=True)
-                of = note[at:at + STEP_TOKENS + window]
-                keys, weights = [], []
+            for at in range(0, len(ids), step):
+                own, local = np.unique(ids[at:at + step + window], return_inverse=True)
+                code, of, keys = layout.codes(own)[local], note[at:at + step + window], []
                 for d in range(1, window + 1):
-                    n = min(STEP_TOKENS, len(local) - d)
+                    n = min(step, len(code) - d)
                     if n <= 0:
                         break
-                    same = np.flatnonzero(of[:n] == of[d:n + d])
-                    x, y = local[same], local[same + d]
-                    keys.append(np.minimum(x, y) * len(own) + np.maximum(x, y))
-                    weights.append(np.full(len(same), window + 1 - d, np.int64))
-                if not keys:
+                    x, y = code[:n], code[d:n + d]
+                    same = np.flatnonzero((of[:n] == of[d:n + d]) & (x >= 0) & (y >= 0))
+                    x, y = np.minimum(x[same], y[same]), np.maximum(x[same], y[same])
+                    tile = (x >> bits) * n_groups + (y >> bits)
+                    keys.append(((tile << bits | x & mask) << bits | y & mask) << low | window + 1 - d)
+                if not sum(map(len, keys)):
                     continue
-                key, where = np.unique(np.concatenate(keys), return_inverse=True)
-                total = np.bincount(where, weights=np.concatenate(weights), minlength=len(key)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(own[key // len(own)]), pa.array(own[key % len(own)]), pa.array(total)], names=["a", "b", "weight"])
+                key = np.concatenate(keys)
+                key.sort()
+                cells = key >> low
+                heads = np.flatnonzero(np.diff(cells, prepend=-1))
+                cells, counts = cells[heads], np.add.reduceat(key & (1 << low) - 1, heads)
+                tile = cells >> 2 * bits
+                cuts = np.append(np.flatnonzero(np.diff(tile, prepend=-1)), len(tile))
+                yield _blocks_of([(*divmod(int(tile[a]), n_groups), packed_cells(cells[a:b] & (1 << 2 * bits) - 1, counts[a:b])) for a, b in zip(cuts, cuts[1:])], names)
 
+    def add(batches):
+        for (row, col), own in groupby(_rows(batches, 3), key=lambda r: r[:2]):
+            held, n = [], 0
+            for *_, blob in own:
+                held.append(unpacked_cells(blob))
+                n += len(held[-1][0])
+                if n > most and len(held) > 1:
+                    held = [_added(held)]
+                    n = len(held[0][0])
+            cells, counts = _added(held)
+            if row == col:
+                counts = np.where(cells >> bits == cells & mask, 2 * counts, counts)
+            yield _blocks_of([(row, col, packed_cells(cells, counts))], names)
+
+    schema = "row long, col long, blob binary"
     ids = tokenised.select(F.transform("tokens", lambda t: F.xxhash64(t)).alias("ids"))
-    found = ids.mapInArrow(count, "a long, b long, weight long")
-    return found.groupBy("a", "b").agg(F.sum("weight").alias("weight"))
-
-
-def information_tiles(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """(row, col, places, values): the positive pointwise mutual information
-    ln(n_ab N / (n_a n_b)) of word pairs, in tiles of row block x column
-    block, entries in order. Pairs with a word outside the vocabulary count
-    nowhere; a pair of a word with itself counts from both ends."""
-    w = words.select("id", "block", "place")
-    known = pairs.join(w.select(F.col("id").alias("a"), F.col("block").alias("ab"), F.col("place").alias("ap")), "a") \
-        .join(w.select(F.col("id").alias("b"), F.col("block").alias("bb"), F.col("place").alias("bp")), "b")
-    # the largest table of a fit, so compressed
-    both = stage(known.select("ab", "ap", "bb", "bp", F.when(F.col("a") == F.col("b"), 2 * F.col("weight")).otherwise(F.col("weight")).alias("n")), "pairs")
-    turned = both.where("ab <> bb OR ap <> bp").select(F.col("bb").alias("ab"), F.col("bp").alias("ap"), F.col("ab").alias("bb"), F.col("ap").alias("bp"), "n")
-    cells = both.unionByName(turned)
-    margins = materialize(cells.groupBy("ab", "ap").agg(F.sum("n").alias("n_row")))
-    total = margins.agg(F.sum("n_row")).first()[0] or 0
-    m = F.log(F.col("n").cast("double") * F.lit(float(total)) / (F.col("n_row").cast("double") * F.col("n_col").cast("double")))
-    information = cells.join(margins, ["ab", "ap"]).join(margins.select(F.col("ab").alias("bb"), F.col("ap").alias("bp"), F.col("n_row").alias("n_col")), ["bb", "bp"]) \
-        .select(F.col("ab").alias("row"), F.col("bb").alias("col"), "ap", "bp", m.alias("m")).where("m > 0")
-
-    def pack(table: pa.Table) -> pa.Table:
-        i, j, value = (table.column(c).to_numpy() for c in ("ap", "bp", "m"))
-        by = np.lexsort((j, i))
-        return pa.table({"row": table.column("row").slice(0, 1), "col": table.column("col").slice(0, 1),
-                         "places": pa.array([np.stack([i[by], j[by]]).astype("<i4").tobytes()], pa.binary()),
-                         "values": pa.array([value[by].astype("<f8").tobytes()], pa.binary())})
+    found = ids.mapInArrow(count, schema).repartition(F.col("row"), F.col("col")).sortWithinPartitions("row", "col")
+    return stage(found.mapInArrow(add, schema), "pairs")
+
+
+def write_rows(tiles: DataFrame, layout: Layout) -> tuple[dict[int, str], float]:
+    """Write a file for each row group: all its tiles by column group, with
+    those of the turned pairs; beside it the columns and lengths of the tiles,
+    and the sum of each row. Returns the names by row, and the sum of all."""
+    bits, mask, folder, sizes = layout.bits, (1 << layout.bits) - 1, layout.folder, layout.sizes
+    names = {"row": pa.int64(), "col": pa.int64(), "blob": pa.binary()}
+
+    def turn(batches):
+        for row, col, blob in _rows(batches, 3):
+            cells, counts = unpacked_cells(blob)
+            turned = (cells & mask) << bits | cells >> bits
+            by = np.argsort(turned, kind="stable")
+            if row == col:
+                off = by[turned[by] != cells[by]]
+                yield _blocks_of([(row, col, packed_cells(*_added([(cells, counts), (turned[off], counts[off])])))], names)
+            else:
+                yield _blocks_of([(row, col, blob), (col, row, packed_cells(turned[by], counts[by]))], names)
 
-    return materialize(information.groupBy("row", "col").applyInArrow(pack, "row long, col long, places binary, values binary"))
-
-
-def start_blocks(words: DataFrame, size: int) -> DataFrame:
-    """(block, blob): the words' first vectors, from the MD5 of each."""
-    def seed(batches):
-        for block, own in _rows(batches, 2):
-            v = np.empty((len(own), size))
-            for k, entry in enumerate(own):
-                raw = b"".join(hashlib.md5(f"{entry['word']}/{part}".encode()).digest() for part in range(-(-size // 4)))
-                v[k] = np.frombuffer(raw, "<u4")[:size] / 2.0**32 - 0.5
-            yield _blocks_of([(block, v.tobytes())], {"block": pa.int64(), "blob": pa.binary()})
-
-    own = words.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("own"))
-    return own.mapInArrow(seed, "block long, blob binary")
+    def write(batches):
+        fs, root = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(f"{root}/rows", recursive=True)
+        for row, own in groupby(_rows(batches, 3), key=lambda r: r[0]):
+            name, about, sums = f"{row}-{TaskContext.get().taskAttemptId()}", [], np.zeros(sizes[row], np.int64)
+            with fs.open_output_stream(f"{root}/rows/{name}") as sink:
+                for _, col, blob in own:
+                    cells, counts = unpacked_cells(blob)
+                    heads = np.flatnonzero(np.diff(cells >> bits, prepend=-1))
+                    sums[cells[heads] >> bits] += np.add.reduceat(counts, heads)
+                    about.append((col, len(blob)))
+                    sink.write(blob)
+            _write(f"{folder}/rows/{name}.tiles", np.array(about, "<i8"))
+            _write(f"{folder}/rows/{name}.sums", sums)
+            yield _blocks_of([(row, name, int(sums.sum()))], {"row": pa.int64(), "name": pa.string(), "n": pa.int64()})
+
+    schema = "row long, col long, blob binary"
+    dealt = tiles.mapInArrow(turn, schema).repartition(F.col("row")).sortWithinPartitions("row", "col")
+    rows = dealt.mapInArrow(write, "row long, name string, n long").collect()
+    return {r["row"]: r["name"] for r in rows}, float(sum(r["n"] for r in rows))
 
 
 def _orthonormal(gram: np.ndarray) -> np.ndarray:
@@ -184,64 +332,142 @@ def _orthonormal(gram: np.ndarray) -> np.ndarray:
     return basis * scale
 
 
-def _sum_of(blocks: DataFrame, column: str, size: int) -> np.ndarray:
-    """The (size x size) matrices of all blocks, added in the blocks' order."""
-    rows = blocks.select("block", F.col(column).alias("g"))
-    n = rows.count()
-    while n > GRAMS:
-        def add(table: pa.Table) -> pa.Table:
-            table = table.sort_by("block")
-            total = np.zeros((size, size))
-            for g in table.column("g").to_pylist():
-                total += np.frombuffer(g, "<f8").reshape(size, size)
-            return pa.table({"block": pa.array([table.column("block")[0].as_py() // GRAMS], pa.int64()), "g": pa.array([total.tobytes()], pa.binary())})
-
-        rows = materialize(rows.groupBy(F.floor(F.col("block") / GRAMS)).applyInArrow(add, "block long, g binary"))
-        n = rows.count()
-    total = np.zeros((size, size))
-    for r in sorted(rows.collect(), key=lambda r: r["block"]):
-        total += np.frombuffer(r["g"], "<f8").reshape(size, size)
+def _in_order(rows: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    total = 0.0
+    for _, m in sorted(rows, key=lambda r: r[0]):
+        total = total + m
     return total
 
 
-def one_pass(tiles: DataFrame, blocks: DataFrame, turn: np.ndarray) -> DataFrame:
-    """(block, blob, gram, cross): the matrix times (vectors x turn) by block,
-    with its Gram matrix and that of (vectors x turn) with it."""
-    size = len(turn)
-
-    def multiply(batches):
-        for row, col, places, values, blob in _rows(batches, 5):
-            v = np.frombuffer(blob, "<f8").reshape(-1, size) @ turn
-            i, j = np.frombuffer(places, "<i4").reshape(2, -1)
-            m = np.frombuffer(values, "<f8")
-            used, first = np.unique(i, return_index=True)
-            out = np.zeros((len(used), size))
-            at = np.searchsorted(used, i)
-            for k in range(0, len(m), STEP_ENTRIES):
-                part = slice(k, k + STEP_ENTRIES)
-                heads = np.flatnonzero(np.diff(at[part], prepend=-1))
-                out[at[part][heads]] += np.add.reduceat(m[part, None] * v[j[part]], heads)
-            yield _blocks_of([(row, col, used.astype("<i4").tobytes(), out.tobytes())],
-                             {"block": pa.int64(), "col": pa.int64(), "places": pa.binary(), "blob": pa.binary()})
-
-    def add(batches):
-        for block, own in groupby(_rows(batches, 4), key=lambda r: r[0]):
-            total = before = None
-            for _, col, places, blob in own:
-                part = np.frombuffer(blob, "<f8").reshape(-1, size)
-                if col < 0:  # the block's own vectors come first
-                    before, total = part @ turn, np.zeros(part.shape)
-                else:
-                    total[np.frombuffer(places, "<i4")] += part
-            yield _blocks_of([(block, total.tobytes(), (total.T @ total).tobytes(), (before.T @ total).tobytes())],
-                             {"block": pa.int64(), "blob": pa.binary(), "gram": pa.binary(), "cross": pa.binary()})
-
-    products = tiles.join(blocks.select(F.col("block").alias("col"), "blob"), "col").select("row", "col", "places", "values", "blob") \
-        .mapInArrow(multiply, "block long, col long, places binary, blob binary")
-    none = F.lit(None).cast("binary")
-    own = blocks.select("block", F.lit(-1).cast("long").alias("col"), none.alias("places"), "blob")
-    return products.unionByName(own).repartition(F.col("block")).sortWithinPartitions("block", "col") \
-        .mapInArrow(add, "block long, blob binary, gram binary, cross binary")
+def _sum_of(matrices, n: int) -> np.ndarray:
+    """The matrices of ``n`` groups, (group, matrix), added in the groups' order."""
+    while n > GRAMS:
+        each = GRAMS
+        matrices = matrices.map(lambda r: (r[0] // each, r)).groupByKey().map(lambda r: (r[0], _in_order(list(r[1]))))
+        n = -(-n // each)
+    return _in_order(matrices.collect())
+
+
+def _batch_of(n_groups: int):
+    """Which of the ``BATCHES`` a group is turned with."""
+    n = BATCHES
+    return lambda group: group * n // n_groups
+
+
+class Passes:
+    """Block power iteration over the row files of a fit. The vectors lie in
+    files by group and by slab of columns. A pass multiplies slab by slab and
+    turns the products batch by batch, and what is used up is removed, so that
+    there is little more than one copy of them at any time."""
+
+    def __init__(self, spark: SparkSession, layout: Layout, rows: dict[int, str], total: float, size: int, slabs: list, names: dict[int, str]):
+        self.spark, self.layout, self.rows, self.total, self.size, self.slabs = spark, layout, rows, total, size, slabs
+        self.number, self.products, self.vectors = 0, [names] * len(slabs), {}
+
+    def _jobs(self, groups: list[int], f):
+        return self.spark.sparkContext.parallelize(groups, len(groups)).map(f)
+
+    def _product(self):
+        """Reads the products of a group, all columns."""
+        folder, number, names, slabs, batch = self.layout.folder, self.number, self.products, self.slabs, _batch_of(self.layout.n_groups)
+        return lambda g: np.hstack([_read(f"{folder}/y{number}-{batch(g)}/{names[s][g]}.{s}", "<f8").reshape(-1, b - a) for s, (a, b) in enumerate(slabs)])
+
+    def gram(self) -> np.ndarray:
+        read = self._product()
+
+        def own(g):
+            v = read(g)
+            return g, v.T @ v
+
+        return _sum_of(self._jobs(self.layout.groups, own), len(self.layout.groups))
+
+    def _by_batch(self, f) -> list:
+        """f(group, its products) for all groups, whose products are removed then."""
+        read, batch, found = self._product(), _batch_of(self.layout.n_groups), []
+        for k in sorted({batch(g) for g in self.layout.groups}):
+            found += self._jobs([g for g in self.layout.groups if batch(g) == k], lambda g: f(g, read(g))).collect()
+            _remove(self.spark, f"{self.layout.folder}/y{self.number}-{k}")
+        return found
+
+    def turn(self, by: np.ndarray) -> None:
+        """Vectors are products x ``by``."""
+        folder, number, slabs = self.layout.folder, self.number, self.slabs
+
+        def write(g, v):
+            name, out = f"{g}-{TaskContext.get().taskAttemptId()}", v @ by
+            for s, (a, b) in enumerate(slabs):
+                _write(f"{folder}/q{number}-{s}/{name}", out[:, a:b])
+            return g, name
+
+        self.vectors = dict(self._by_batch(write))
+
+    def multiply(self, crossed: bool) -> np.ndarray | None:
+        """Products are the matrix x vectors: the positive pointwise mutual
+        information ln(n_ab N / (n_a n_b)) of the pairs. If ``crossed``, returns
+        vectors' x products; it is symmetric, so each slab of products meets the
+        vectors of its own and the later slabs, which are still there."""
+        lay, rows, total, number, vectors, slabs = self.layout, self.rows, self.total, self.number, self.vectors, self.slabs
+        folder, bits, mask, sizes, batch, step = lay.folder, lay.bits, (1 << lay.bits) - 1, lay.sizes, _batch_of(lay.n_groups), PRODUCT_ENTRIES
+        products, cross = [], np.zeros((self.size, self.size))
+        for s, (first, stop) in enumerate(slabs):
+            def own(g, s=s, width=stop - first):
+                out = np.zeros((sizes[g], width))
+                if g in rows:
+                    at, mine = 0, _read(f"{folder}/rows/{rows[g]}.sums", "<i8").astype(float)
+                    fs, path = pafs.FileSystem.from_uri(f"{folder}/rows/{rows[g]}")
+                    with fs.open_input_file(path) as source:
+                        for col, length in _read(f"{folder}/rows/{rows[g]}.tiles", "<i8").reshape(-1, 2).tolist():
+                            cells, counts = unpacked_cells(source.read_at(length, at))
+                            at += length
+                            i, j = cells >> bits, cells & mask
+                            m = np.log(counts * total / (mine[i] * _read(f"{folder}/rows/{rows[col]}.sums", "<i8")[j]))
+                            positive = m > 0
+                            i, j, m = i[positive], j[positive], m[positive]
+                            v = _read(f"{folder}/q{number}-{s}/{vectors[col]}", "<f8").reshape(-1, width)
+                            for k in range(0, len(m), step):
+                                part = slice(k, k + step)
+                                heads = np.flatnonzero(np.diff(i[part], prepend=-1))
+                                out[i[part][heads]] += np.add.reduceat(m[part, None] * v.take(j[part], axis=0), heads)
+                name = f"{g}-{TaskContext.get().taskAttemptId()}"
+                _write(f"{folder}/y{number + 1}-{batch(g)}/{name}.{s}", out)
+                return g, name
+
+            products.append(dict(self._jobs(lay.groups, own).collect()))
+            if crossed:
+                def met(g, s=s, width=stop - first, name=products[-1]):
+                    out = _read(f"{folder}/y{number + 1}-{batch(g)}/{name[g]}.{s}", "<f8").reshape(-1, width)
+                    return g, np.vstack([_read(f"{folder}/q{number}-{t}/{vectors[g]}", "<f8").reshape(-1, b - a).T @ out for t, (a, b) in enumerate(slabs) if t >= s])
+
+                cross[first:, first:stop] = _sum_of(self._jobs(lay.groups, met), len(lay.groups))
+                cross[first:stop, stop:] = cross[stop:, first:stop].T
+            _remove(self.spark, f"{folder}/q{number}-{s}")
+        self.number, self.products = number + 1, products
+        return cross if crossed else None
+
+    def finish(self, by: np.ndarray, to: str) -> list[tuple[int, str]]:
+        """Write products x ``by`` as ``vector_files`` has them; (block, name)."""
+        lay = self.layout
+
+        def write(g, v):
+            ids, v = _read(f"{lay.folder}/{lay.names[g]}", "<i8"), v @ by
+            block = ids % lay.n_blocks
+            cuts = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block))
+            found = [(int(block[a]), f"{block[a]}-{TaskContext.get().taskAttemptId()}") for a in cuts[:-1]]
+            for (_, name), a, b in zip(found, cuts, cuts[1:]):
+                _write(f"{to}/{name}", ids[a:b], v[a:b])
+            return found
+
+        return sorted(x for found in self._by_batch(write) for x in found)
+
+
+def filed_blocks(spark: SparkSession, folder: str, names: list[tuple[int, str]], size: int) -> DataFrame:
+    """(block, blob) of ``vector_files``."""
+    def read(batches):
+        for block, name in _rows(batches, 2):
+            raw = _read(f"{folder}/{name}", np.uint8)
+            yield _blocks_of([(block, raw[len(raw) // (8 + 8 * size) * 8:].tobytes())], {"block": pa.int64(), "blob": pa.binary()})
+
+    return spark.createDataFrame(names, "block long, name string").mapInArrow(read, "block long, blob binary")
 
 
 def train(tokenised: DataFrame, size: int = 200, window: int = 5, min_count: int = 5, passes: int = 5) -> WordVectors:
@@ -252,33 +478,32 @@ def train(tokenised: DataFrame, size: int = 200, window: int = 5, min_count: int
     without a neighbour that they meet more often than chance get zeros, as do
     dimensions beyond the matrix' positive eigenvalues. Null tokens lists
     count as empty; without words there are no vectors."""
+    spark = tokenised.sparkSession
     words = vocabulary(tokenised, min_count)
-    tiles = information_tiles(pair_counts(tokenised, window), words)
-
-    def with_gram(batches):
-        for block, blob in _rows(batches, 2):
-            v = np.frombuffer(blob, "<f8").reshape(-1, size)
-            yield _blocks_of([(block, blob, (v.T @ v).tobytes())], {"block": pa.int64(), "blob": pa.binary(), "gram": pa.binary()})
-
-    blocks = materialize(start_blocks(words, size).mapInArrow(with_gram, "block long, blob binary, gram binary"))
-    turn = _orthonormal(_sum_of(blocks, "gram", size))
-    for _ in range(passes):
-        blocks = materialize(one_pass(tiles, blocks, turn))
-        cross = _sum_of(blocks, "cross", size)
-        turn = _orthonormal(_sum_of(blocks, "gram", size))
-    # the eigenpairs of the matrix in the last subspace: vectors are M Q w / sqrt(value), close to Q w sqrt(value)
-    values, basis = np.linalg.eigh((cross + cross.T) / 2)
-    order = np.argsort(-values, kind="stable")
-    values, basis = values[order], basis[:, order]
-    basis = basis * np.where(basis[np.abs(basis).argmax(0), np.arange(size)] < 0, -1.0, 1.0)
-    last = basis * np.where(values > 1e-9 * max(values[0], 1e-300), 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
-
-    def finish(batches):
-        for block, blob in _rows(batches, 2):
-            v = np.frombuffer(blob, "<f8").reshape(-1, size) @ last
-            yield _blocks_of([(block, v.astype("<f8").tobytes())], {"block": pa.int64(), "blob": pa.binary()})
-
-    return WordVectors(words.select("word", "block", "place", "n"), materialize(blocks.select("block", "blob").mapInArrow(finish, "block long, blob binary")), size)
+    scratch, to = shared_folder(spark, "fit"), shared_folder(spark, "vectors")
+    n_slabs = -(-size // SLAB)
+    slabs = [(k * size // n_slabs, (k + 1) * size // n_slabs) for k in range(n_slabs)]
+    layout, names = start_groups(words, size, scratch, slabs)
+    found = []
+    if names:
+        pairs = pair_tiles(tokenised, window, layout)
+        _release(spark)
+        rows, total = write_rows(pairs, layout)
+        for path in {f.rsplit("/", 1)[0] for f in pairs.inputFiles()}:
+            _remove(spark, path)
+        _release(spark)
+        run = Passes(spark, layout, rows, total, size, slabs, names)
+        for k in range(passes):
+            run.turn(_orthonormal(run.gram()))
+            cross = run.multiply(k + 1 == passes)
+        # the eigenpairs of the matrix in the last subspace: vectors are M Q w / sqrt(value), close to Q w sqrt(value)
+        values, basis = np.linalg.eigh((cross + cross.T) / 2)
+        order = np.argsort(-values, kind="stable")
+        values, basis = values[order], basis[:, order]
+        basis = basis * np.where(basis[np.abs(basis).argmax(0), np.arange(size)] < 0, -1.0, 1.0)
+        found = run.finish(basis * np.where(values > 1e-9 * max(values[0], 1e-300), 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0), to)
+    _remove(spark, scratch)
+    return WordVectors(words.select("word", "block", "place", "n"), filed_blocks(spark, to, found, size), size, (to, [name for _, name in found]))
 
 
 def from_table(vectors: DataFrame, size: int) -> WordVectors:
@@ -330,8 +555,7 @@ def row_sums(notes: DataFrame, model: WordVectors) -> DataFrame:
     which it needs few is read vector by vector. A note's sum is taken in the
     order of blocks and words, whatever notes are beside it."""
     size = model.size
-    folder = shared_folder(notes.sparkSession, "vectors")
-    names = vector_files(model, folder)
+    folder, names = model.files or ((to := shared_folder(notes.sparkSession, "vectors")), vector_files(model, to))
 
     def block_of(source, words: np.ndarray):
         """Of the sorted ``words``, the places of those in the block, and their vectors."""

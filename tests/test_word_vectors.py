@@ -118,3 +118,36 @@ def test_tokens_in_one_pass_are_those_of_the_cleaned_text(spark):
     texts = ["", None, " A b\tC\n", "x[**PHI 1**]y", "[**a\nb**] q", "Ünï-cödé 𝒜𝒷 3four5 six seven", "İSTANBUL ß", "áb", "--", "日本 語"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select(text_tokens("text").alias("a"), tokens(clean_text("text")).alias("b")).collect()
     assert all(r["a"] == r["b"] for r in rows) and ["x", "y"] in [r["a"] for r in rows]
+
+
+def test_a_fit_holds_little_more_than_one_copy_of_its_vectors(spark, notes, monkeypatch):
+    from pathlib import Path
+    whole = table(W.train(notes, size=12, min_count=2))
+    for name, value in dict(BLOCK=4, GROUP_BLOCKS=1, SLAB=3, BATCHES=4, GRAMS=3, MERGED=16, PRODUCT_ENTRIES=5, STEP_TOKENS=64).items():
+        monkeypatch.setattr(W, name, value)
+    remove, held, roots = W._remove, [], set()
+
+    def watched(session, path):
+        root = Path(path.removeprefix("file:")).parent
+        held.append(sum(f.stat().st_size for f in root.glob("[qy][0-9]*/*")))
+        roots.update([root] if held[-1] else [])
+        remove(session, path)
+
+    monkeypatch.setattr(W, "_remove", watched)
+    parts = table(W.train(notes, size=12, min_count=2))
+    a, b = (np.array([t[w] for w in sorted(whole)]) for t in (whole, parts))
+    assert parts.keys() == whole.keys() and np.abs(a @ a.T - b @ b.T).max() < 1e-9  # a dimension's sign hangs on rounding
+    one = len(whole) * 12 * 8
+    assert one <= max(held) < 1.8 * one  # products and vectors are never both whole
+    assert len(roots) == 1 and not next(iter(roots)).exists()
+
+
+def test_cells_are_packed_and_added():
+    rng = np.random.default_rng(2)
+    for most in (3, 300, 1 << 20, 1 << 40):
+        cells = np.unique(rng.integers(0, most, 200))
+        counts = rng.integers(1, most + 1, len(cells))
+        a, b = W.unpacked_cells(W.packed_cells(cells, counts))
+        assert np.array_equal(a, cells) and np.array_equal(b, counts)
+        a, b = W._added([(cells, counts), (cells[:1], counts[:1]), (cells, counts)])
+        assert np.array_equal(a, cells) and b.tolist() == [3 * int(counts[0]), *(2 * counts[1:]).tolist()]
