@@ -21,6 +21,7 @@ import hashlib
 import os
 import struct
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -34,9 +35,11 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructType
 from stayframe.session import materialize, shared_folder, stage
 
 #: Words of a block, blocks of a group (of rows or columns of a tile), columns of a slab, batches of groups that are turned together.
-BLOCK, GROUP_BLOCKS, SLAB, BATCHES = 2048, 4, 50, 4
+BLOCK, GROUP_BLOCKS, SLAB, BATCHES = 2048, 8, 50, 4
 #: Tokens and entries of a step of numpy, entries of a step of products, cells that are added up at once.
-STEP_TOKENS, STEP_ENTRIES, PRODUCT_ENTRIES, MERGED = 1 << 19, 1 << 15, 1 << 12, 1 << 22
+STEP_TOKENS, STEP_ENTRIES, PRODUCT_ENTRIES, MERGED = 1 << 18, 1 << 15, 1 << 12, 1 << 22
+#: Shares of the rows whose pairs are shuffled one after another, so that only one share's shuffle files are on disk.
+SHARES = 2
 #: Notes, and tokens unless a note has more, that read the vectors of their words together.
 NOTES_PER_COPY, TOKENS_PER_COPY = 1 << 14, 1 << 21
 #: Gram matrices that the driver adds up; more are added in Spark first.
@@ -200,10 +203,29 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return cells[heads], np.add.reduceat(counts, heads)
 
 
-def start_groups(words: DataFrame, size: int, folder: str, slabs: list[tuple[int, int]]) -> tuple[Layout, dict[int, str]]:
-    """Write the ids of every group and the words' first vectors, from the MD5 of each; the layout, and the names of the vectors."""
-    n_blocks, per_group = words.agg(F.max("n_blocks")).first()[0] or 1, GROUP_BLOCKS
-    batch = _batch_of(-(-n_blocks // per_group))
+def _grouped(words: DataFrame, per_group: int, *columns: str) -> DataFrame:
+    """(group, own): the words of each group in the order of their places."""
+    own = F.array_sort(F.collect_list(F.struct("block", "place", *columns)))
+    return words.groupBy(F.floor(F.col("block") / per_group).alias("group")).agg(own.alias("own"))
+
+
+def write_ids(words: DataFrame, folder: str) -> Layout:
+    """Write the ids of every group."""
+    n_blocks = words.agg(F.max("n_blocks")).first()[0] or 1
+
+    def write(batches):
+        for group, own in _rows(batches, 2):
+            name = f"ids/{group}-{TaskContext.get().taskAttemptId()}"
+            _write(f"{folder}/{name}", np.array([e["id"] for e in own], "<i8"))
+            yield _blocks_of([(group, name, len(own))], {"group": pa.int64(), "name": pa.string(), "n": pa.int64()})
+
+    rows = _grouped(words, GROUP_BLOCKS, "id").mapInArrow(write, "group long, name string, n long").collect()
+    return Layout(folder, n_blocks, GROUP_BLOCKS, {r["group"]: r["name"] for r in rows}, {r["group"]: r["n"] for r in rows})
+
+
+def write_start(words: DataFrame, size: int, layout: Layout, slabs: list[tuple[int, int]]) -> dict[int, str]:
+    """Write the words' first vectors, from the MD5 of each; their names by group."""
+    folder, batch = layout.folder, _batch_of(layout.n_groups)
 
     def write(batches):
         for group, own in _rows(batches, 2):
@@ -212,24 +234,21 @@ def start_groups(words: DataFrame, size: int, folder: str, slabs: list[tuple[int
                 raw = b"".join(hashlib.md5(f"{entry['word']}/{part}".encode()).digest() for part in range(-(-size // 4)))
                 v[k] = np.frombuffer(raw, "<u4")[:size] / 2.0**32 - 0.5
             name = f"{group}-{TaskContext.get().taskAttemptId()}"
-            _write(f"{folder}/ids/{name}", np.array([e["id"] for e in own], "<i8"))
             for s, (a, b) in enumerate(slabs):
                 _write(f"{folder}/y0-{batch(group)}/{name}.{s}", v[:, a:b])
-            yield _blocks_of([(group, name, len(own))], {"group": pa.int64(), "name": pa.string(), "n": pa.int64()})
+            yield _blocks_of([(group, name)], {"group": pa.int64(), "name": pa.string()})
 
-    own = words.groupBy(F.floor(F.col("block") / per_group).alias("group")).agg(F.array_sort(F.collect_list(F.struct("block", "place", "id", "word"))).alias("own"))
-    rows = own.mapInArrow(write, "group long, name string, n long").collect()
-    return (Layout(folder, n_blocks, per_group, {r["group"]: f"ids/{r['name']}" for r in rows}, {r["group"]: r["n"] for r in rows}),
-            {r["group"]: r["name"] for r in rows})
+    return {r["group"]: r["name"] for r in _grouped(words, layout.per_group, "word").mapInArrow(write, "group long, name string").collect()}
 
 
-def pair_tiles(tokenised: DataFrame, window: int, layout: Layout) -> DataFrame:
+def pair_tiles(tokenised: DataFrame, window: int, layout: Layout, share: int, shares: int) -> DataFrame:
     """(row, col, blob) of unordered pairs of words at most ``window`` tokens
     apart, in tiles of row group x column group (row <= col); a pair ``d``
     apart weighs ``window + 1 - d`` (the mean of windows of every size up to
     ``window``), a pair of a word with itself counts from both ends. Pairs with
     a word outside the vocabulary count nowhere. Steps of tokens are counted in
-    numpy before the shuffle; a note may be of any length."""
+    numpy before the shuffle; a note may be of any length. Of the row groups
+    those are returned that leave ``share`` when divided by ``shares``."""
     bits, n_groups, low = layout.bits, layout.n_groups, window.bit_length()
     if 2 * bits + low + (n_groups * n_groups).bit_length() > 63:
         raise ValueError(f"{n_groups} groups of up to {1 << bits} words are too many")
@@ -239,11 +258,11 @@ def pair_tiles(tokenised: DataFrame, window: int, layout: Layout) -> DataFrame:
     def count(batches):
         for batch in batches:
             column = batch.column(0)
-            ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            note = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+            ids = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+            ends = np.cumsum(np.diff(column.offsets.to_numpy()))
             for at in range(0, len(ids), step):
                 own, local = np.unique(ids[at:at + step + window], return_inverse=True)
-                code, of, keys = layout.codes(own)[local], note[at:at + step + window], []
+                code, of, keys = layout.codes(own)[local], np.searchsorted(ends, np.arange(at, at + len(local)), "right"), []
                 for d in range(1, window + 1):
                     n = min(step, len(code) - d)
                     if n <= 0:
@@ -251,6 +270,9 @@ def pair_tiles(tokenised: DataFrame, window: int, layout: Layout) -> DataFrame:
                     x, y = code[:n], code[d:n + d]
                     same = np.flatnonzero((of[:n] == of[d:n + d]) & (x >= 0) & (y >= 0))
                     x, y = np.minimum(x[same], y[same]), np.maximum(x[same], y[same])
+                    if shares > 1:
+                        mine = (x >> bits) % shares == share
+                        x, y = x[mine], y[mine]
                     tile = (x >> bits) * n_groups + (y >> bits)
                     keys.append(((tile << bits | x & mask) << bits | y & mask) << low | window + 1 - d)
                 if not sum(map(len, keys)):
@@ -284,23 +306,27 @@ def pair_tiles(tokenised: DataFrame, window: int, layout: Layout) -> DataFrame:
     return stage(found.mapInArrow(add, schema), "pairs")
 
 
-def write_rows(tiles: DataFrame, layout: Layout) -> tuple[dict[int, str], float]:
-    """Write a file for each row group: all its tiles by column group, with
-    those of the turned pairs; beside it the columns and lengths of the tiles,
-    and the sum of each row. Returns the names by row, and the sum of all."""
+def write_rows(tiles: DataFrame, layout: Layout, share: int, shares: int) -> tuple[dict[int, str], int]:
+    """Write a file for each row group of the share: all its tiles by column
+    group, with those of the turned pairs; beside it the columns and lengths of
+    the tiles, and the sum of each row. Returns the names by row, and the sum
+    of all."""
     bits, mask, folder, sizes = layout.bits, (1 << layout.bits) - 1, layout.folder, layout.sizes
     names = {"row": pa.int64(), "col": pa.int64(), "blob": pa.binary()}
 
     def turn(batches):
         for row, col, blob in _rows(batches, 3):
-            cells, counts = unpacked_cells(blob)
-            turned = (cells & mask) << bits | cells >> bits
-            by = np.argsort(turned, kind="stable")
-            if row == col:
-                off = by[turned[by] != cells[by]]
-                yield _blocks_of([(row, col, packed_cells(*_added([(cells, counts), (turned[off], counts[off])])))], names)
-            else:
-                yield _blocks_of([(row, col, blob), (col, row, packed_cells(turned[by], counts[by]))], names)
+            if row != col and row % shares == share:
+                yield _blocks_of([(row, col, blob)], names)
+            if col % shares == share:
+                cells, counts = unpacked_cells(blob)
+                turned = (cells & mask) << bits | cells >> bits
+                by = np.argsort(turned, kind="stable")
+                if row == col:
+                    off = by[turned[by] != cells[by]]
+                    yield _blocks_of([(row, col, packed_cells(*_added([(cells, counts), (turned[off], counts[off])])))], names)
+                else:
+                    yield _blocks_of([(col, row, packed_cells(turned[by], counts[by]))], names)
 
     def write(batches):
         fs, root = pafs.FileSystem.from_uri(folder)
@@ -321,7 +347,7 @@ def write_rows(tiles: DataFrame, layout: Layout) -> tuple[dict[int, str], float]
     schema = "row long, col long, blob binary"
     dealt = tiles.mapInArrow(turn, schema).repartition(F.col("row")).sortWithinPartitions("row", "col")
     rows = dealt.mapInArrow(write, "row long, name string, n long").collect()
-    return {r["row"]: r["name"] for r in rows}, float(sum(r["n"] for r in rows))
+    return {r["row"]: r["name"] for r in rows}, sum(r["n"] for r in rows)
 
 
 def _orthonormal(gram: np.ndarray) -> np.ndarray:
@@ -483,16 +509,22 @@ def train(tokenised: DataFrame, size: int = 200, window: int = 5, min_count: int
     scratch, to = shared_folder(spark, "fit"), shared_folder(spark, "vectors")
     n_slabs = -(-size // SLAB)
     slabs = [(k * size // n_slabs, (k + 1) * size // n_slabs) for k in range(n_slabs)]
-    layout, names = start_groups(words, size, scratch, slabs)
+    layout = write_ids(words, scratch)
     found = []
-    if names:
-        pairs = pair_tiles(tokenised, window, layout)
+    if layout.names:
         _release(spark)
-        rows, total = write_rows(pairs, layout)
-        for path in {f.rsplit("/", 1)[0] for f in pairs.inputFiles()}:
+        pairs, rows, total = [], {}, 0
+        for k in range(SHARES):
+            pairs.append(pair_tiles(tokenised, window, layout, k, SHARES))
+            _release(spark)
+        whole = reduce(DataFrame.unionByName, pairs)
+        for k in range(SHARES):
+            own, n = write_rows(whole, layout, k, SHARES)
+            rows, total = rows | own, total + n
+            _release(spark)
+        for path in {f.rsplit("/", 1)[0] for f in whole.inputFiles()}:
             _remove(spark, path)
-        _release(spark)
-        run = Passes(spark, layout, rows, total, size, slabs, names)
+        run = Passes(spark, layout, rows, float(total), size, slabs, write_start(words, size, layout, slabs))
         for k in range(passes):
             run.turn(_orthonormal(run.gram()))
             cross = run.multiply(k + 1 == passes)
